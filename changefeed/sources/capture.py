@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+# The line names that mean something, and the name of an event that has none.
+FIELDS = ("data", "event", "id", "retry")
 DEFAULT_EVENT = "message"
 
 
@@ -24,77 +26,83 @@ def number_lines(lines: DataFrame) -> DataFrame:
 
 
 def sse_blocks(lines: DataFrame) -> DataFrame:
-    """One row per block closed by a blank line, numbered within its file.
+    """One row per block closed by a blank line: file, block_no, event, data, id, retry_ms.
 
-    Lines are cut into pieces inside each split, which needs one shuffle; only the pieces at
-    the edges of a split are then joined to those of its neighbours.
+    `block_no` is the number of blank lines before the block. It is counted within each split,
+    whose size the file source bounds, and shifted by the blank lines of the splits before;
+    a block cut by a split boundary so gets one number. The data lines of a block are joined
+    with newlines; of every other field the last line wins.
     """
-    blank = F.col("line") == ""
-    so_far = Window.partitionBy("file", "split").orderBy("line_no").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    content = F.when(
-        ~blank & ~F.col("line").startswith(":"), F.struct("line_no", "line")
-    )
-    pieces = (
-        lines.withColumn("piece", F.coalesce(F.count_if(blank).over(so_far), F.lit(0)))
-        .groupBy("file", "split", "piece")
-        .agg(
-            F.sort_array(F.collect_list(content)).getField("line").alias("lines"),
-            F.bool_or(blank).alias("closed"),
-        )
-    )
     earlier_splits = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     split_starts = (
-        pieces.groupBy("file", "split")
-        .agg(F.count_if("closed").alias("blocks"))
+        lines.groupBy("file", "split")
+        .agg(F.count_if(F.col("line") == "").alias("blanks"))
         .select(
-            "file", "split", F.coalesce(F.sum("blocks").over(earlier_splits), F.lit(0)).alias("blocks_before")
+            "file", "split", F.coalesce(F.sum("blanks").over(earlier_splits), F.lit(0)).alias("blanks_before")
         )
     )
-    numbered = pieces.join(split_starts, ["file", "split"]).withColumn(
-        "block_no", F.col("blocks_before") + F.col("piece")
-    )
-    at_edge = (F.col("piece") == 0) | ~F.col("closed")
-    whole = numbered.where(~at_edge).select("file", "block_no", "lines")
-    joined = (
-        numbered.where(at_edge)
+    data_by_split = F.sort_array(F.collect_list(F.struct("split", "data_lines")))
+
+    def last_of(name: str) -> Column:
+        return F.max_by(name, F.when(F.col(name).isNotNull(), F.col("split")))
+
+    return (
+        _pieces(_named_lines(lines))
+        .join(split_starts, ["file", "split"])
+        .withColumn("block_no", F.col("blanks_before") + F.col("piece"))
         .groupBy("file", "block_no")
         .agg(
-            F.flatten(F.sort_array(F.collect_list(F.struct("split", "lines"))).getField("lines")).alias("lines"),
+            F.coalesce(last_of("event"), F.lit(DEFAULT_EVENT)).alias("event"),
+            F.array_join(F.flatten(data_by_split.getField("data_lines")), "\n").alias("data"),
+            last_of("id").alias("id"),
+            last_of("retry_ms").alias("retry_ms"),
             F.bool_or("closed").alias("closed"),
         )
         .where("closed")
-        .select("file", "block_no", "lines")
+        .drop("closed")
     )
-    return _read_fields(whole.unionByName(joined))
 
 
-def _read_fields(blocks: DataFrame) -> DataFrame:
-    """`name:value` lines to event, data, id and retry; the last one wins, data lines add up."""
+def _named_lines(lines: DataFrame) -> DataFrame:
+    """`name:value` lines without one leading space; the name is null on a blank line.
 
-    def field(line: Column) -> Column:
-        name = F.substring_index(line, ":", 1)
-        value = F.substr(line, F.length(name) + 2)
-        return F.struct(name.alias("name"), F.regexp_replace(value, "^ ", "").alias("value"))
-
-    def values(name: str) -> Column:
-        chosen = F.filter("fields", lambda f: f.getField("name") == name)
-        return F.transform(chosen, lambda f: f.getField("value"))
+    Comments and lines of other names are left out here, before anything is shuffled.
+    """
+    line = F.col("line")
+    name = F.substring_index(line, ":", 1)
+    value = F.substr(line, F.length("name") + 2)
+    return (
+        lines.withColumn("name", F.when(line != "", name))
+        .where(F.col("name").isNull() | F.col("name").isin(*FIELDS))
+        .withColumn("value", value)
+        .withColumn(
+            "value", F.when(F.col("value").startswith(" "), F.substr("value", F.lit(2))).otherwise(F.col("value"))
+        )
+        .drop("line")
+    )
 
-    def last(items: Column) -> Column:
-        return F.try_element_at(items, F.lit(-1))
 
-    retries = F.filter(
-        F.transform(values("retry"), lambda text: text.try_cast("int")), lambda n: n.isNotNull()
+def _pieces(named: DataFrame) -> DataFrame:
+    """What one split holds of each block; `closed` if the block's blank line is in it."""
+    so_far = Window.partitionBy("file", "split").orderBy("line_no").rowsBetween(
+        Window.unboundedPreceding, -1
     )
-    return blocks.select("file", "block_no", F.transform("lines", field).alias("fields")).select(
-        "file",
-        "block_no",
-        F.coalesce(last(values("event")), F.lit(DEFAULT_EVENT)).alias("event"),
-        F.array_join(values("data"), "\n").alias("data"),
-        last(values("id")).alias("id"),
-        last(retries).alias("retry_ms"),
+    blank = F.col("name").isNull()
+
+    def last_of(name: str, value: Column) -> Column:
+        return F.max_by(value, F.when((F.col("name") == name) & value.isNotNull(), F.col("line_no")))
+
+    data_line = F.when(F.col("name") == "data", F.struct("line_no", "value"))
+    return (
+        named.withColumn("piece", F.coalesce(F.count_if(blank).over(so_far), F.lit(0)))
+        .groupBy("file", "split", "piece")
+        .agg(
+            last_of("event", F.col("value")).alias("event"),
+            F.sort_array(F.collect_list(data_line)).getField("value").alias("data_lines"),
+            last_of("id", F.col("value")).alias("id"),
+            last_of("retry", F.col("value").try_cast("int")).alias("retry_ms"),
+            F.bool_or(blank).alias("closed"),
+        )
     )
 
 
