@@ -20,7 +20,7 @@ def read_table(spark: SparkSession, path: str, schema: str, stream: bool = False
 
 
 def raw_records(spark: SparkSession, path: str, stream: bool = False, per_trigger: int | None = None) -> DataFrame:
-    return read_table(spark, path, RAW_RECORD, stream, per_trigger)
+    return read_table(spark, path, RAW_RECORD, stream, per_trigger).select("key", "value", "offset")
 
 
 def split_edits_table(spark: SparkSession, path: str, stream: bool = False, per_trigger: int | None = None) -> DataFrame:

@@ -47,7 +47,11 @@ class Jobs:
         return self._start(writer.partitionBy(*partitions) if partitions else writer, table)
 
     def start_ingest(self, captures: str, wikis: tuple[str, ...] = (), files_per_trigger: int = 100) -> StreamingQuery:
-        """Capture files to raw records. A batch replaces its own folder, so a retried one is not doubled."""
+        """Capture files to raw records.
+
+        A retried batch replaces its own folder, so the table never doubles; a stream that read
+        the folder before the retry may see its records again.
+        """
         lines = (
             self.spark.readStream.option("maxFilesPerTrigger", files_per_trigger)
             .text(captures)

@@ -228,6 +228,12 @@ def oracle_sql() -> dict[str, str]:
             select="""SELECT 'clean' AS outlet, "offset", CAST(NULL AS VARCHAR) AS reject_reason, wiki, title FROM clean
               UNION ALL SELECT 'dlq', "offset", reject_reason, wiki, title FROM dlq""",
         ),
+        "stream_clean": with_ctes(
+            *CLEANED,
+            rejected(),
+            select="""SELECT 'clean' AS outlet, "offset", CAST(NULL AS VARCHAR) AS reject_reason, wiki, title FROM clean
+              UNION ALL SELECT 'dlq', "offset", reject_reason, wiki, title FROM dlq""",
+        ),
         "wiki_stats": stats_query(1),
         "wiki_stats_5m": stats_query(5),
         "wiki_stats_1d": stats_query(1440),
