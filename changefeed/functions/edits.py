@@ -54,6 +54,3 @@ def wire_timestamp(moment: Column) -> Column:
     """`2024-01-01 00:00:07Z`: instant in SQL layout, fraction only when there is one."""
     return F.concat(moment.cast("string"), F.lit("Z"))
 
-
-def from_wire_timestamp(text: Column) -> Column:
-    return text.cast("timestamp")

@@ -16,13 +16,14 @@ def parse_raw(raw: DataFrame, value: str = "value") -> DataFrame:
     """Decode JSON text leniently and add `event_time`.
 
     A field of the wrong type becomes null and the rest is kept; text that is no JSON gives a
-    row of nulls. Other columns of `raw` (such as `offset`) pass through.
+    row of nulls. Other columns of `raw` (such as `offset`) pass through. The text is decoded
+    by a generator, which later filters cannot be pushed through: each text is parsed once.
     """
     kept = [name for name in raw.columns if name != value]
-    decoded = raw.select(
-        *kept, F.from_json(value, schemas.RAW_EDIT, {"mode": "PERMISSIVE"}).alias("edit")
+    decoded = F.from_json(value, schemas.RAW_EDIT, {"mode": "PERMISSIVE"})
+    return raw.select(*kept, F.inline(F.array(decoded))).withColumn(
+        "event_time", E.event_time(F.col("timestamp"))
     )
-    return decoded.select(*kept, "edit.*").withColumn("event_time", E.event_time(F.col("timestamp")))
 
 
 def split_edits(parsed: DataFrame, lossless: bool = False) -> DataFrame:

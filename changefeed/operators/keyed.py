@@ -32,18 +32,14 @@ def encode_keyed(clean: DataFrame) -> DataFrame:
 def decode_keyed(records: DataFrame) -> DataFrame:
     """Back to clean edits: the wiki is read from the key, and a damaged value fails the job."""
     wire_schema = schemas.without(schemas.CLEAN_EDIT, "wiki", "event_time") + ", event_time STRING"
-    decoded = records.select(
-        F.col("key").cast("string").alias("wiki"),
-        F.from_json(F.col("value").cast("string"), wire_schema, {"mode": "FAILFAST"}).alias("edit"),
-        *[name for name in ("offset",) if name in records.columns],
+    decoded = F.from_json(F.col("value").cast("string"), wire_schema, {"mode": "FAILFAST"})
+    kept = [name for name in ("offset",) if name in records.columns]
+    # Decoded by a generator, so that no later filter makes the text be parsed again.
+    return (
+        records.select(F.col("key").cast("string").alias("wiki"), F.inline(F.array(decoded)), *kept)
+        .withColumn("event_time", F.col("event_time").cast("timestamp"))
+        .select(*schemas.names(schemas.CLEAN_EDIT), *kept)
     )
-    columns = [
-        F.col("wiki") if name == "wiki"
-        else E.from_wire_timestamp(F.col("edit.event_time")).alias(name) if name == "event_time"
-        else F.col(f"edit.{name}")
-        for name in schemas.names(schemas.CLEAN_EDIT)
-    ]
-    return decoded.select(*columns, *[name for name in ("offset",) if name in records.columns])
 
 
 def encode_append(rows: DataFrame) -> DataFrame:

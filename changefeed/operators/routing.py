@@ -29,7 +29,9 @@ def with_route(events: DataFrame, wikis: Collection[str] = ()) -> DataFrame:
     a list of wikis, an event without wiki and domain is not accepted.
     """
     payload = F.col("data")
-    parsed = events.withColumn("_item", F.try_parse_json(F.concat(F.lit("["), payload, F.lit("]"))))
+    # Exploding keeps the parsed value from being worked out anew for each use of it.
+    as_item = F.try_parse_json(F.concat(F.lit("["), payload, F.lit("]")))
+    parsed = events.select("*", F.explode(F.array(as_item)).alias("_item"))
 
     def text(path: str) -> Column:
         return F.nullif(F.try_variant_get(F.col("_item"), path, "string"), F.lit(""))

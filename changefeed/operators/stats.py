@@ -31,6 +31,10 @@ def _measures() -> dict[str, Column]:
     }
 
 
+def _aliased(columns: dict[str, Column]) -> list[Column]:
+    return [column.alias(name) for name, column in columns.items()]
+
+
 def _tumbling(window_minutes: int) -> Column:
     return F.window("event_time", f"{check_positive('window_minutes', window_minutes)} minutes")
 
@@ -42,20 +46,16 @@ def window_parts(clean: DataFrame, window_minutes: int = 1, delay_seconds: int =
     before the shuffle, so no task ever holds the set of editors of a whole wiki.
     """
     check_positive("delay_seconds", delay_seconds)
-    measures = _measures()
-    per_editor = F.struct(
-        F.lit("user").alias("kind"),
-        F.col("user").alias("member"),
-        *[amount.alias(name) for name, amount in measures.items()],
-    )
-    per_page = F.struct(
-        F.lit("title").alias("kind"),
-        F.col("title").alias("member"),
-        *[F.lit(0).cast("bigint").alias(name) for name in measures],
-    )
+    of_editor = F.col("kind") == "user"
+    member = F.when(of_editor, F.col("user")).otherwise(F.col("title"))
+    measures = {
+        name: F.when(of_editor, amount).otherwise(F.lit(0).cast("bigint"))
+        for name, amount in _measures().items()
+    }
     return (
         clean.withWatermark("event_time", f"{delay_seconds} seconds")
-        .select("event_time", "wiki", F.inline(F.array(per_editor, per_page)))
+        .withColumn("kind", F.explode(F.array(F.lit("user"), F.lit("title"))))
+        .select("event_time", "wiki", "kind", member.alias("member"), *_aliased(measures))
         .groupBy(_tumbling(window_minutes), "wiki", "kind", "member")
         .agg(*[F.sum(name).alias(name) for name in MEASURES])
     )
@@ -95,12 +95,11 @@ def wiki_stats(
     if not approx:
         return roll_up(window_parts(clean, window_minutes, delay_seconds))
     check_positive("delay_seconds", delay_seconds)
-    measures = _measures()
     totals = (
         clean.withWatermark("event_time", f"{delay_seconds} seconds")
         .groupBy(_tumbling(window_minutes), "wiki")
         .agg(
-            *[F.sum(amount).alias(name) for name, amount in measures.items()],
+            *_aliased({name: F.sum(amount) for name, amount in _measures().items()}),
             F.approx_count_distinct("user", 0.01).alias("editors"),
             F.approx_count_distinct("title", 0.01).alias("pages_touched"),
         )
