@@ -280,7 +280,9 @@ def streamed(spark: SparkSession, edits: DataFrame, settings: Settings, start: C
     for _ in in_two_halves(edits, folder):
         finish(start(jobs, files.read_table(spark, folder, edits.schema, stream=True)))
     closer = edits.where(F.expr("false")).unionByName(
-        spark.range(1).select(F.lit("closer").alias("wiki"), F.expr(FAR_FUTURE).alias("event_time")),
+        spark.range(1).select(
+            F.lit("closer").alias("wiki"), F.lit("closer").alias("title"), F.expr(FAR_FUTURE).alias("event_time")
+        ),
         allowMissingColumns=True,
     )
     closer.write.mode("append").parquet(folder)
