@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from changefeed import schemas
 from changefeed.functions import edits as E
+from changefeed.operators.clean import CLEAN
 
 KEEP_NULLS = {"ignoreNullFields": "false"}
 
@@ -18,15 +19,33 @@ def _json(*columns: Column) -> Column:
     return F.to_json(F.struct(*columns), KEEP_NULLS)
 
 
+def _wire(ddl: str) -> list[Column]:
+    """The declared columns as they go on the wire."""
+    return [
+        E.wire_timestamp(F.col(name)).alias(name) if kind == "TIMESTAMP" else F.col(name)
+        for name, kind in schemas.fields(ddl)
+    ]
+
+
 def encode_keyed(clean: DataFrame) -> DataFrame:
     """Key is the wiki; the value is every other column as JSON, so the key is not in it."""
-    value = [
-        E.wire_timestamp(F.col("event_time")).alias("event_time") if name == "event_time" else F.col(name)
-        for name in schemas.names(schemas.CLEAN_EDIT)
-        if name != "wiki"
-    ]
     kept = [name for name in ("offset",) if name in clean.columns]
-    return clean.select(F.col("wiki").alias("key"), _json(*value).alias("value"), *kept)
+    return clean.select(F.col("wiki").alias("key"), _clean_value().alias("value"), *kept)
+
+
+def _clean_value() -> Column:
+    return _json(*_wire(schemas.without(schemas.CLEAN_EDIT, "wiki")))
+
+
+def encode_split(split: DataFrame, clean_topic: str, dead_letter_topic: str) -> DataFrame:
+    """Both outlets of split edits as records with their topic, so one read feeds two topics."""
+    is_clean = F.col("outlet") == CLEAN
+    return split.select(
+        F.when(is_clean, F.lit(clean_topic)).otherwise(F.lit(dead_letter_topic)).alias("topic"),
+        F.when(is_clean, F.col("wiki")).alias("key"),
+        F.when(is_clean, _clean_value()).otherwise(_json(*_wire(schemas.REJECTED_EDIT))).alias("value"),
+        *[name for name in ("offset",) if name in split.columns],
+    )
 
 
 def decode_keyed(records: DataFrame) -> DataFrame:
@@ -44,10 +63,7 @@ def decode_keyed(records: DataFrame) -> DataFrame:
 
 def encode_append(rows: DataFrame) -> DataFrame:
     """Unkeyed JSON records, as used for dead letters and alerts."""
-    columns = [
-        E.wire_timestamp(F.col(name)).alias(name) if kind == "timestamp" else F.col(name)
-        for name, kind in rows.dtypes
-    ]
+    columns = _wire("\n".join(f"{name} {kind.upper()}" for name, kind in rows.dtypes))
     return rows.select(F.lit(None).cast("string").alias("key"), _json(*columns).alias("value"))
 
 

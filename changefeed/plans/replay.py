@@ -16,9 +16,9 @@ from changefeed.settings import Settings
 from changefeed.sources import files
 
 
-def replay(raw: DataFrame, root: str, settings: Settings = Settings()) -> None:
+def replay(raw: DataFrame, root: str, settings: Settings = Settings(), lossless: bool = False) -> None:
     """Write tables `edits` (both outlets in one pass), `stats` and `wars` under `root`."""
-    replay_clean(raw, root)
+    replay_clean(raw, root, lossless)
     edits = clean_table(raw.sparkSession, root)
     stats.wiki_stats(edits, settings.window_minutes, settings.out_of_order_seconds).write.mode(
         "overwrite"

@@ -85,4 +85,4 @@ def names(ddl: str) -> list[str]:
 
 
 def without(ddl: str, *dropped: str) -> str:
-    return ", ".join(f"{name} {kind}" for name, kind in fields(ddl) if name not in dropped)
+    return ",\n".join(f"{name} {kind}" for name, kind in fields(ddl) if name not in dropped)

@@ -38,8 +38,10 @@ def source_options(settings: Settings, stage: str, group: str | None = None, per
     return options
 
 
-def sink_options(settings: Settings, stage: str) -> dict[str, str]:
-    return {"kafka.bootstrap.servers": settings.bootstrap_servers, "topic": settings.topic(stage), **PRODUCER}
+def sink_options(settings: Settings, stage: str | None = None) -> dict[str, str]:
+    """Without a stage, each record goes to the topic in its `topic` column."""
+    options = {"kafka.bootstrap.servers": settings.bootstrap_servers, **PRODUCER}
+    return {**options, "topic": settings.topic(stage)} if stage else options
 
 
 def read_topic(spark: SparkSession, settings: Settings, stage: str, **options) -> DataFrame:
@@ -50,12 +52,18 @@ def read_topic(spark: SparkSession, settings: Settings, stage: str, **options) -
     )
 
 
-def write_topic(records: DataFrame, settings: Settings, stage: str) -> None:
+def write_records(records: DataFrame, settings: Settings, stage: str | None = None) -> None:
     """Bounded write; delivery is at least once."""
-    records.select("key", "value").write.format("kafka").options(**sink_options(settings, stage)).save()
+    _record_columns(records).write.format("kafka").options(**sink_options(settings, stage)).save()
 
 
-def stream_to_topic(records: DataFrame, settings: Settings, stage: str, mode: str = "append") -> DataStreamWriter:
+def stream_records(
+    records: DataFrame, settings: Settings, stage: str | None = None, mode: str = "append"
+) -> DataStreamWriter:
     """Unstarted writer; delivery is at least once, so readers needing more use the table sink."""
-    writer = records.select("key", "value").writeStream.format("kafka")
+    writer = _record_columns(records).writeStream.format("kafka")
     return writer.options(**sink_options(settings, stage)).outputMode(mode)
+
+
+def _record_columns(records: DataFrame) -> DataFrame:
+    return records.select(*[name for name in ("topic", "key", "value") if name in records.columns])

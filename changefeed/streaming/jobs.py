@@ -7,12 +7,12 @@ written through the file sink, whose commit log makes them exactly-once.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from changefeed.operators import clean as C
-from changefeed.operators import routing, stats
+from changefeed.operators import stats
 from changefeed.operators.keyed import latest_per_key
+from changefeed.plans.ingest import ordered_events, store_raw
 from changefeed.settings import Settings
 from changefeed.sources import capture, files
 from changefeed.streaming.wars import edit_wars_stream
@@ -59,13 +59,9 @@ class Jobs:
         )
 
         def write_batch(batch: DataFrame, batch_id: int) -> None:
-            events = capture.sse_events(capture.sse_blocks(capture.number_lines(batch)))
-            # Arrival order within a batch: file, then block. Batches come one after another.
-            ordered = events.orderBy("file", "block_no").withColumn(
-                "offset", F.lit(batch_id << 50) + F.monotonically_increasing_id()
-            )
-            records = routing.route_raw(ordered.select("data", "offset"), wikis)
-            records.write.mode("overwrite").parquet(self.path(f"raw/batch={batch_id:08d}"))
+            # Batches come one after another; 2**50 offsets are set aside for each.
+            events = ordered_events(capture.number_lines(batch), first_offset=batch_id << 50)
+            store_raw(events, self.path(f"raw/batch={batch_id:08d}"), wikis)
 
         return self._start(lines.writeStream.foreachBatch(write_batch), "ingest")
 

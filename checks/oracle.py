@@ -142,6 +142,13 @@ keyed AS (
   FROM clean
 )"""
 
+DEAD_LETTERS = """
+dead_letters AS (
+  SELECT CAST(to_json(struct_pack(reject_reason := reject_reason, wiki := wiki, title := title, "user" := "user",
+    type := type, raw_timestamp := raw_timestamp)) AS VARCHAR) AS value, "offset"
+  FROM dlq
+)"""
+
 UPSERT = """
 upsert AS (
   SELECT CAST(to_json(struct_pack(window_start := strftime(window_start, '%Y-%m-%d %H:%M:%S'), wiki := wiki))
@@ -256,11 +263,15 @@ def oracle_sql() -> dict[str, str]:
         "decode_keyed": with_ctes(*CLEANED, select=f"SELECT {CLEAN_COLUMNS} FROM clean"),
         "encode_upsert": with_ctes(*CLEANED, stats(1), UPSERT, select="SELECT key, value FROM upsert"),
         "encode_dlq": with_ctes(
-            *SPLIT,
+            *SPLIT, rejected(), DEAD_LETTERS, select="SELECT CAST(NULL AS VARCHAR) AS key, value FROM dead_letters"
+        ),
+        "fan_out_records": with_ctes(
+            *CLEANED,
+            KEYED,
             rejected(),
-            select="""SELECT CAST(NULL AS VARCHAR) AS key, CAST(to_json(struct_pack(reject_reason := reject_reason,
-              wiki := wiki, title := title, "user" := "user", type := type, raw_timestamp := raw_timestamp))
-              AS VARCHAR) AS value FROM dlq""",
+            DEAD_LETTERS,
+            select="""SELECT 'wiki.edits.clean' AS topic, key, value, "offset" FROM keyed
+              UNION ALL SELECT 'wiki.edits.dlq', NULL, value, "offset" FROM dead_letters""",
         ),
         "encode_alerts": with_ctes(
             DENSE,

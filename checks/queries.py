@@ -150,6 +150,14 @@ def fan_out(spark, sf_dir):
     return split_feed(spark, sf_dir).select("outlet", "offset", "reject_reason", "wiki", "title")
 
 
+@query
+def fan_out_records(spark, sf_dir):
+    """Both outlets as records with their topic; the time of rejection is taken out."""
+    settings = Settings()
+    records = keyed.encode_split(split_feed(spark, sf_dir), settings.topic("clean"), settings.topic("dlq"))
+    return records.withColumn("value", F.regexp_replace("value", ',"rejected_at":"[^"]+Z"', ""))
+
+
 # -- statistics ----------------------------------------------------------------------------
 
 

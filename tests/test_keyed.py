@@ -73,6 +73,15 @@ def test_append_records(spark):
     assert value["rejected_at"].endswith("Z")
 
 
+def test_both_outlets_as_records(spark):
+    raw = spark.createDataFrame([(0, record()), (1, record(user=...))], "offset bigint, value string")
+    split = C.split_edits(C.parse_raw(raw))
+    rows = {row["topic"]: row for row in keyed.encode_split(split, "good", "bad").collect()}
+    assert rows["good"]["key"] == "enwiki" and rows["bad"]["key"] is None
+    assert rows["good"]["value"] == keyed.encode_keyed(C.clean_of(split)).first()["value"]
+    assert json.loads(rows["bad"]["value"])["reject_reason"] == "missing_user"
+
+
 def test_latest_per_key(spark):
     records = spark.createDataFrame(
         [("a", "1", 0), ("b", "2", 1), ("a", "3", 5), ("a", "2", 3)], "key string, value string, offset bigint"

@@ -60,6 +60,7 @@ def test_kafka_sink_options():
     assert options["topic"] == "wiki.alerts.edit_wars"
     assert options["kafka.acks"] == "all"
     assert options["kafka.enable.idempotence"] == "true"
+    assert "topic" not in kafka.sink_options(Settings())
 
 
 def test_schema_helpers():

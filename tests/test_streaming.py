@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from changefeed.operators import stats
 from changefeed.operators.wars import edit_wars
-from changefeed.plans import replay
+from changefeed.__main__ import main as command_line
+from changefeed.plans import ingest, replay
 from changefeed.session import scratch_table
 from changefeed.settings import Settings
 from changefeed.sources import files
@@ -165,6 +166,28 @@ def test_ingest_and_clean_jobs(spark, capture_folder):
     assert [r["reject_reason"] for r in split.where("outlet = 'dlq'").collect()] == ["missing_user"]
 
 
+def test_bounded_ingest_counts_as_it_writes(spark, capture_folder, tmp_path):
+    root = str(tmp_path / "root")
+    counted = ingest.ingest(spark, capture_folder, root)
+    assert (counted["received"], counted["produced"], counted["skipped"]) == (40, 39, 1)
+    assert files.raw_records(spark, f"{root}/raw").count() == 39
+    counted = ingest.ingest(spark, capture_folder, root, max_events=15)
+    assert (counted["received"], counted["produced"]) == (15, 14)
+    titles = {json.loads(row["value"])["title"] for row in files.raw_records(spark, f"{root}/raw").collect()}
+    assert titles == {f"T{i}" for i in range(15) if i not in (3, 5)} | {"T"}
+    assert ingest.ingest(spark, capture_folder, root, wikis=["dewiki"])["skipped"] == 40
+
+
+def test_command_line(spark, capture_folder, tmp_path, capsys):
+    root = str(tmp_path / "root")
+    for job in ("ingest", "clean", "stats", "wars"):
+        command_line([job, "--root", root, "--captures", capture_folder, "--bounded"])
+    assert spark.read.parquet(f"{root}/edits").count() == 39
+    command_line(["replay", "--root", root])
+    command_line(["counts", "--root", root])
+    assert "wiki.edits.clean" in capsys.readouterr().out
+
+
 def test_replay_can_be_repeated(spark, tmp_path):
     raw = spark.createDataFrame(
         [(i, record(user="AB"[i % 2], timestamp=1700000000 + i * 20)) for i in range(10)] + [(10, record(user=...))],
