@@ -273,28 +273,26 @@ def topic_counts(spark, sf_dir):
     return replay.counts(spark, raw, root)
 
 
-def in_two_halves(rows: DataFrame, folder: str):
-    """Append the rows to a folder in two steps, earlier offsets first."""
+def halves(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows with earlier offsets, and those with later ones."""
     middle = rows.agg((F.max("offset") / 2).alias("middle")).first()["middle"]
-    for half in (F.col("offset") <= middle, F.col("offset") > middle):
-        rows.where(half).write.mode("append").parquet(folder)
-        yield half
+    return rows.where(F.col("offset") <= middle), rows.where(F.col("offset") > middle)
 
 
 def streamed(spark: SparkSession, edits: DataFrame, settings: Settings, start: Callable[[Jobs, DataFrame], object]) -> Jobs:
-    """Run a job over clean edits in two stored halves, restarting in between, then close all windows."""
+    """Run a job over clean edits stored in two steps, restarting it in between.
+
+    With the second step comes an edit from the far future, which closes all windows.
+    """
     jobs = Jobs(spark, scratch_table(spark, "stream"), settings)
     folder = jobs.path("input")
-    for _ in in_two_halves(edits, folder):
-        finish(start(jobs, files.read_table(spark, folder, edits.schema, stream=True)))
-    closer = edits.where(F.expr("false")).unionByName(
-        spark.range(1).select(
-            F.lit("closer").alias("wiki"), F.lit("closer").alias("title"), F.expr(FAR_FUTURE).alias("event_time")
-        ),
-        allowMissingColumns=True,
+    closer = spark.range(1).select(
+        F.lit("closer").alias("wiki"), F.lit("closer").alias("title"), F.expr(FAR_FUTURE).alias("event_time")
     )
-    closer.write.mode("append").parquet(folder)
-    finish(start(jobs, files.read_table(spark, folder, edits.schema, stream=True)))
+    first, second = halves(edits)
+    for part in (first, second.unionByName(closer, allowMissingColumns=True)):
+        part.write.mode("append").parquet(folder)
+        finish(start(jobs, files.read_table(spark, folder, edits.schema, stream=True)))
     return jobs
 
 
@@ -304,7 +302,8 @@ def stream_clean(spark, sf_dir):
     jobs = Jobs(spark, scratch_table(spark, "stream"), Settings(bounded=True))
     folder = jobs.path("raw")
     raw = feed.raw_edits(spark, sf_dir).withColumn("key", F.lit(None).cast("string"))
-    for _ in in_two_halves(raw, folder):
+    for part in halves(raw):
+        part.write.mode("append").parquet(folder)
         finish(jobs.start_clean(files.raw_records(spark, folder, stream=True)))
     split = files.split_edits_table(spark, jobs.path("edits"))
     return split.select("outlet", "offset", "reject_reason", "wiki", "title")
