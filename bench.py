@@ -60,7 +60,7 @@ def main() -> None:
         "route_raw": lambda: routing.route_raw(payloads),
         "ingest_metrics": lambda: routing.ingest_metrics(payloads),
         "clean_edits": lambda: C.clean_edits(raw),
-        "fan_out": lambda: C.split_edits(C.parse_raw(raw)),
+        "fan_out": lambda: C.split_raw(raw),
         "encode_keyed": lambda: keyed.encode_keyed(clean),
         "decode_keyed": lambda: keyed.decode_keyed(keyed.encode_keyed(clean)),
         "wiki_stats": lambda: stats.wiki_stats(clean),

@@ -12,7 +12,7 @@ CLEAN = "clean"
 DEAD_LETTER = "dlq"
 
 
-def parse_raw(raw: DataFrame, value: str = "value") -> DataFrame:
+def parse_raw(raw: DataFrame, value: str = "value", schema: str = schemas.RAW_EDIT) -> DataFrame:
     """Decode JSON text leniently and add `event_time`.
 
     A field of the wrong type becomes null and the rest is kept; text that is no JSON gives a
@@ -20,7 +20,7 @@ def parse_raw(raw: DataFrame, value: str = "value") -> DataFrame:
     by a generator, which later filters cannot be pushed through: each text is parsed once.
     """
     kept = [name for name in raw.columns if name != value]
-    decoded = F.from_json(value, schemas.RAW_EDIT, {"mode": "PERMISSIVE"})
+    decoded = F.from_json(value, schema, {"mode": "PERMISSIVE"})
     return raw.select(*kept, F.inline(F.array(decoded))).withColumn(
         "event_time", E.event_time(F.col("timestamp"))
     )
@@ -74,9 +74,14 @@ def dead_letters_of(split: DataFrame) -> DataFrame:
     return split.where(F.col("outlet") == DEAD_LETTER).select(*schemas.names(schemas.REJECTED_EDIT))
 
 
+def split_raw(raw: DataFrame, lossless: bool = False) -> DataFrame:
+    """Raw records to split edits, decoding only the fields these need."""
+    return split_edits(parse_raw(raw, schema=schemas.RAW_NEEDED), lossless)
+
+
 def clean_edits(raw: DataFrame) -> DataFrame:
-    return clean_of(split_edits(parse_raw(raw)))
+    return clean_of(split_raw(raw))
 
 
 def dlq_edits(raw: DataFrame, lossless: bool = False) -> DataFrame:
-    return dead_letters_of(split_edits(parse_raw(raw), lossless))
+    return dead_letters_of(split_raw(raw, lossless))

@@ -27,7 +27,7 @@ def replay(raw: DataFrame, root: str, settings: Settings = Settings(), lossless:
 
 
 def replay_clean(raw: DataFrame, root: str, lossless: bool = False) -> None:
-    split = C.split_edits(C.parse_raw(raw), lossless).drop("key")
+    split = C.split_raw(raw, lossless).drop("key")
     split.write.mode("overwrite").partitionBy("outlet").parquet(f"{root}/edits")
 
 

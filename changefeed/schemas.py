@@ -19,6 +19,23 @@ RAW_EDIT = """
     wiki STRING
 """
 
+# The raw fields that validation and the clean edits need.
+RAW_NEEDED = """
+    meta STRUCT<domain: STRING>,
+    type STRING,
+    namespace INT,
+    title STRING,
+    comment STRING,
+    timestamp BIGINT,
+    user STRING,
+    bot BOOLEAN,
+    minor BOOLEAN,
+    length STRUCT<old: INT, new: INT>,
+    revision STRUCT<new: BIGINT>,
+    server_name STRING,
+    wiki STRING
+"""
+
 CLEAN_EDIT = """
     wiki STRING,
     server_name STRING,

@@ -47,7 +47,7 @@ class Jobs:
         return self._start(writer.partitionBy(*partitions) if partitions else writer, table)
 
     def start_ingest(self, captures: str, wikis: tuple[str, ...] = (), files_per_trigger: int = 100) -> StreamingQuery:
-        """Capture files to raw records.
+        """Capture files to raw records, in order of the files' modification times.
 
         A retried batch replaces its own folder, so the table never doubles; a stream that read
         the folder before the retry may see its records again.
@@ -67,7 +67,7 @@ class Jobs:
 
     def start_clean(self, raw: DataFrame, lossless: bool = False) -> StreamingQuery:
         """Raw records to both outlets, committed together."""
-        return self._to_table(C.split_edits(C.parse_raw(raw), lossless).drop("key"), "edits", "outlet")
+        return self._to_table(C.split_raw(raw, lossless).drop("key"), "edits", "outlet")
 
     def clean_edits(self, stream: bool = True) -> DataFrame:
         return C.clean_of(files.split_edits_table(self.spark, self.path("edits"), stream))

@@ -42,7 +42,7 @@ def clean_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.split_edits(C.parse_raw(feed.raw_edits(spark, sf_dir)))
+    return C.split_raw(feed.raw_edits(spark, sf_dir))
 
 
 def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:

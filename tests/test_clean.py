@@ -21,7 +21,7 @@ def record(**changes):
 def split(spark):
     def run(*values, lossless=False):
         raw = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "offset bigint, value string")
-        return C.split_edits(C.parse_raw(raw), lossless)
+        return C.split_raw(raw, lossless)
 
     return run
 

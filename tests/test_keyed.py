@@ -75,7 +75,7 @@ def test_append_records(spark):
 
 def test_both_outlets_as_records(spark):
     raw = spark.createDataFrame([(0, record()), (1, record(user=...))], "offset bigint, value string")
-    split = C.split_edits(C.parse_raw(raw))
+    split = C.split_raw(raw)
     rows = {row["topic"]: row for row in keyed.encode_split(split, "good", "bad").collect()}
     assert rows["good"]["key"] == "enwiki" and rows["bad"]["key"] is None
     assert rows["good"]["value"] == keyed.encode_keyed(C.clean_of(split)).first()["value"]

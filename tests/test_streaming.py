@@ -1,4 +1,5 @@
 import json
+import os
 import random
 
 import pytest
@@ -125,6 +126,15 @@ def test_wars_are_reported_once_the_watermark_has_passed(spark, edits):
     assert got == brute_wars(rows, 600)[: len(got)] and len(got) >= 8
 
 
+def test_late_edits_make_no_match(spark, edits):
+    feed = Feed(spark, edits, Jobs.start_wars)
+    feed.add([("w", "P", "A", False, 1, "edit", T0 + 1000, 0)])
+    query = feed.add([("w", "P", user, False, 1, "edit", T0 + 10 * i, i + 1) for i, user in enumerate("ABA")])
+    feed.add(closer(T0 + 10**6))
+    assert dropped(query) == 3
+    assert found(spark.read.parquet(feed.jobs.path("wars"))) == []
+
+
 def test_out_of_order_within_the_delay(spark, edits):
     rows = war_rows(2, n=120, pages=1)
     rows = [(*r[:6], T0 + i * 10, i) for i, r in enumerate(rows)]
@@ -144,7 +154,9 @@ def capture_folder(tmp_path):
     values[3], values[5] = "not json", record(user=...)
     for part in range(4):
         blocks = [f"id: {i}\ndata: {values[i]}\n\n" for i in range(part * 10, part * 10 + 10)]
-        (folder / f"capture-{part}.txt").write_text("".join(blocks))
+        path = folder / f"capture-{part}.txt"
+        path.write_text("".join(blocks))
+        os.utime(path, (1700000000 + part, 1700000000 + part))
     return str(folder)
 
 
