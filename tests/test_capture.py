@@ -24,35 +24,38 @@ def message(data, id=None, retry=None, event="message"):
     return (event, data, id, retry)
 
 
-@pytest.mark.parametrize(
-    "text, expected",
-    [
-        ('event: message\ndata: {"a": 1}\n\n', [message('{"a": 1}')]),
-        (":ok\n\n:ok\n\n", []),
-        ("data: line one\ndata: line two\n\n", [message("line one\nline two")]),
-        ("data:  two spaces\n\n", [message(" two spaces")]),
-        ("data:none\n\n", [message("none")]),
-        ("id: 42\n\n", []),
-        ("id: first\ndata: x\n\ndata: y\n\n", [message("x", "first"), message("y")]),
-        ("weird: value\ndata: x\n\n", [message("x")]),
-        ("retry: 5000\ndata: x\n\n", [message("x", retry=5000)]),
-        ("retry: x\ndata: q\n\n", [message("q")]),
-        ("retry: 7\nretry: x\ndata: q\n\n", [message("q", retry=7)]),
-        ("data: x\r\n\r\n", [message("x")]),
-        ("data: tail", []),
-        ("data: tail\n", []),
-        ("data: x\n\ndata: tail\n", [message("x")]),
-        ("\n\n\ndata: x\n\n", [message("x")]),
-        ("event: a\nevent: b\nid: 1\nid: 2\ndata: x\n\n", [message("x", "2", event="b")]),
-        ("event: a\n\ndata: x\n\n", [message("x")]),
-        ("data\n\n", []),
-        ("data\ndata: x\n\n", [message("\nx")]),
-        ("data: a:b: c\n\n", [message("a:b: c")]),
-        ("id\ndata: x\n\n", [message("x", "")]),
-    ],
-)
-def test_blocks(blocks, text, expected):
-    assert events_of(blocks(text)) == expected
+CASES = [
+    ('event: message\ndata: {"a": 1}\n\n', [message('{"a": 1}')]),
+    (":ok\n\n:ok\n\n", []),
+    ("data: line one\ndata: line two\n\n", [message("line one\nline two")]),
+    ("data:  two spaces\n\n", [message(" two spaces")]),
+    ("data:none\n\n", [message("none")]),
+    ("id: 42\n\n", []),
+    ("id: first\ndata: x\n\ndata: y\n\n", [message("x", "first"), message("y")]),
+    ("weird: value\ndata: x\n\n", [message("x")]),
+    ("retry: 5000\ndata: x\n\n", [message("x", retry=5000)]),
+    ("retry: x\ndata: q\n\n", [message("q")]),
+    ("retry: 7\nretry: x\ndata: q\n\n", [message("q", retry=7)]),
+    ("data: x\r\n\r\n", [message("x")]),
+    ("data: tail", []),
+    ("data: tail\n", []),
+    ("data: x\n\ndata: tail\n", [message("x")]),
+    ("\n\n\ndata: x\n\n", [message("x")]),
+    ("event: a\nevent: b\nid: 1\nid: 2\ndata: x\n\n", [message("x", "2", event="b")]),
+    ("event: a\n\ndata: x\n\n", [message("x")]),
+    ("data\n\n", []),
+    ("data\ndata: x\n\n", [message("\nx")]),
+    ("data: a:b: c\n\n", [message("a:b: c")]),
+    ("id\ndata: x\n\n", [message("x", "")]),
+]
+
+
+def test_blocks(blocks):
+    """Each case is a capture file of its own."""
+    rows = capture.sse_events(blocks(*[text for text, _ in CASES])).orderBy("block_no").collect()
+    for i, (text, expected) in enumerate(CASES):
+        got = [tuple(row)[2:] for row in rows if row["file"].endswith(f"capture-{i:03}.txt")]
+        assert got == expected, text
 
 
 @pytest.mark.parametrize(
