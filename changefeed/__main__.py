@@ -4,11 +4,13 @@
     clean    raw records to clean edits and dead letters
     stats    clean edits to window statistics
     wars     clean edits to revert sequences
-    replay   clean, stats and wars once over all stored raw records
+    replay   clean, stats and wars once over all stored raw records, to tables under `replay`
     counts   records per topic after a replay
+    tail     first rows of a stored table
 
-Jobs but the last two run as streams until stopped, for `--wait` seconds, or, with `--bounded`,
-until what is stored has been handled.
+Ingest, clean, stats and wars run as streams until stopped, for `--wait` seconds, or, with
+`--bounded`, until what is stored has been handled. With `--kafka`, clean, stats and wars go
+from topic to topic; `--bounded` then makes them batch runs up to the present end.
 """
 
 from __future__ import annotations
@@ -17,16 +19,22 @@ import argparse
 import sys
 from dataclasses import replace
 
-from changefeed.plans import ingest, replay
+from pyspark.sql import SparkSession
+from pyspark.sql.streaming import StreamingQuery
+
+from changefeed.plans import ingest, topics
+from changefeed.plans import replay as replaying
 from changefeed.session import build_session
 from changefeed.settings import Settings
-from changefeed.sources import files
+from changefeed.sources import files, kafka
 from changefeed.streaming.jobs import Jobs, finish, run_for
 
+STREAMS = ("ingest", "clean", "stats", "wars")
+
 
 def parse_args(argv: list[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="changefeed", description=__doc__.splitlines()[0])
-    parser.add_argument("job", choices=["ingest", "clean", "stats", "wars", "replay", "counts"])
+    parser.add_argument("job", choices=[*STREAMS, "replay", "counts", "tail"])
     parser.add_argument("--root", required=True, help="shared folder of tables and checkpoints")
     parser.add_argument("--captures", help="folder of captured feed files")
     parser.add_argument("--wikis", default="", help="comma-separated wikis to keep")
@@ -34,6 +42,9 @@ def parse_args(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--wait", type=float, help="run for N seconds, then stop")
     parser.add_argument("--bounded", action="store_true", help="stop after what is stored now")
     parser.add_argument("--lossless", action="store_true", help="reject edits without a type too")
+    parser.add_argument("--kafka", action="store_true", help="read and write topics instead of tables")
+    parser.add_argument("--table", default="stats", help="table to tail: raw, edits, stats, wars or replay/...")
+    parser.add_argument("--rows", type=int, default=5, help="rows to tail")
     return parser.parse_args(argv)
 
 
@@ -47,28 +58,47 @@ def main(argv: list[str] | None = None) -> int:
     captures = args.captures or settings.captures
 
     if args.job == "replay":
-        replay.replay(files.raw_records(spark, jobs.path("raw")), jobs.root, settings, args.lossless)
-        return 0
-    if args.job == "counts":
-        replay.counts(spark, files.raw_records(spark, jobs.path("raw")), jobs.root, settings).show(truncate=False)
-        return 0
-    if args.job == "ingest" and args.max_events is not None:
+        raw = files.raw_records(spark, jobs.path("raw"))
+        replaying.replay(raw, jobs.path("replay"), settings, args.lossless)
+    elif args.job == "counts":
+        raw = files.raw_records(spark, jobs.path("raw"))
+        replaying.counts(spark, raw, jobs.path("replay"), settings).show(truncate=False)
+    elif args.job == "tail":
+        spark.read.parquet(jobs.path(args.table)).show(args.rows, truncate=False)
+    elif args.job == "ingest" and args.max_events is not None:
         print(ingest.ingest(spark, captures, jobs.root, wikis, args.max_events))
-        return 0
-
-    start = {
-        "ingest": lambda: jobs.start_ingest(captures, wikis),
-        "clean": lambda: jobs.start_clean(files.raw_records(spark, jobs.path("raw"), stream=True), args.lossless),
-        "stats": lambda: jobs.start_stats(jobs.clean_edits()),
-        "wars": lambda: jobs.start_wars(jobs.clean_edits()),
-    }
-    query = start[args.job]()
-    if args.wait:
-        run_for(query, args.wait)
+    elif args.kafka and settings.bounded:
+        records, stage = topic_records(spark, args, settings)
+        kafka.write_records(records, settings, stage)
     else:
-        finish(query)
+        query = start(spark, args, jobs, captures, wikis)
+        run_for(query, args.wait) if args.wait else finish(query)
     return 0
 
 
+def topic_records(spark: SparkSession, args: argparse.Namespace, settings: Settings):
+    """Output records of a job over topics, and the stage they belong to (none: named in the records)."""
+    if args.job == "clean":
+        raw = kafka.read_topic(spark, settings, "raw", group="clean")
+        return topics.clean_records(raw, settings, args.lossless), None
+    clean = kafka.read_topic(spark, settings, "clean", group=args.job)
+    if args.job == "stats":
+        return topics.stats_records(clean, settings), "stats"
+    return topics.war_records(clean, settings), "alerts"
+
+
+def start(
+    spark: SparkSession, args: argparse.Namespace, jobs: Jobs, captures: str, wikis: tuple[str, ...]
+) -> StreamingQuery:
+    if args.job == "ingest":
+        return jobs.start_ingest(captures, wikis)
+    if args.kafka:
+        records, stage = topic_records(spark, args, jobs.settings)
+        return jobs.start_records(kafka.stream_records(records, jobs.settings, stage), args.job)
+    if args.job == "clean":
+        return jobs.start_clean(files.raw_records(spark, jobs.path("raw"), stream=True), args.lossless)
+    return {"stats": jobs.start_stats, "wars": jobs.start_wars}[args.job](jobs.clean_edits())
+
+
 if __name__ == "__main__":
     sys.exit(main())

@@ -6,6 +6,8 @@ written through the file sink, whose commit log makes them exactly-once.
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -32,6 +34,7 @@ class Jobs:
 
     def __init__(self, spark: SparkSession, root: str, settings: Settings = Settings()) -> None:
         self.spark, self.root, self.settings = spark, root.rstrip("/"), settings
+        self.ingested: Counter[str] = Counter()
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -49,6 +52,7 @@ class Jobs:
     def start_ingest(self, captures: str, wikis: tuple[str, ...] = (), files_per_trigger: int = 100) -> StreamingQuery:
         """Capture files to raw records, in order of the files' modification times.
 
+        `ingested` adds up what was received, produced and skipped, in events and characters.
         A retried batch replaces its own folder, so the table never doubles; a stream that read
         the folder before the retry may see its records again.
         """
@@ -61,7 +65,7 @@ class Jobs:
         def write_batch(batch: DataFrame, batch_id: int) -> None:
             # Batches come one after another; 2**50 offsets are set aside for each.
             events = ordered_events(capture.number_lines(batch), first_offset=batch_id << 50)
-            store_raw(events, self.path(f"raw/batch={batch_id:08d}"), wikis)
+            self.ingested.update(store_raw(events, self.path(f"raw/batch={batch_id:08d}"), wikis))
 
         return self._start(lines.writeStream.foreachBatch(write_batch), "ingest")
 
@@ -81,6 +85,10 @@ class Jobs:
         rows = edit_wars_stream(clean, self.settings.war_seconds, self.settings.out_of_order_seconds)
         return self._to_table(rows, "wars")
 
+    def start_records(self, writer: DataStreamWriter, job: str) -> StreamingQuery:
+        """Any writer of records, such as one to a topic, under this root's checkpoints."""
+        return self._start(writer, f"{job}_records")
+
     def start_stats_upserts(self, clean: DataFrame) -> StreamingQuery:
         """Early windows, corrected as edits come in: each batch writes the parts it changed."""
         parts = stats.window_parts(clean, self.settings.window_minutes, self.settings.out_of_order_seconds)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from changefeed.operators import stats
 from changefeed.operators.wars import edit_wars
 from changefeed.__main__ import main as command_line
-from changefeed.plans import ingest, replay
+from changefeed.plans import ingest, replay, topics
 from changefeed.session import scratch_table
 from changefeed.settings import Settings
 from changefeed.sources import files
@@ -163,6 +163,7 @@ def capture_folder(tmp_path):
 def test_ingest_and_clean_jobs(spark, capture_folder):
     jobs = Jobs(spark, scratch_table(spark, "test"), NOW)
     finish(jobs.start_ingest(capture_folder, files_per_trigger=2))
+    assert (jobs.ingested["received"], jobs.ingested["produced"], jobs.ingested["skipped"]) == (40, 39, 1)
     raw = files.raw_records(spark, jobs.path("raw"))
     rows = raw.orderBy("offset").collect()
     assert [json.loads(row["value"])["title"] for row in rows] == [f"T{i}" if i != 5 else "T" for i in range(40) if i != 3]
@@ -198,6 +199,30 @@ def test_command_line(spark, capture_folder, tmp_path, capsys):
     command_line(["replay", "--root", root])
     command_line(["counts", "--root", root])
     assert "wiki.edits.clean" in capsys.readouterr().out
+    command_line(["tail", "--root", root, "--table", "replay/stats"])
+    assert "enwiki" in capsys.readouterr().out
+
+
+def test_topic_to_topic(spark, tmp_path):
+    """Records of one job are the input of the next, bounded and as streams."""
+    values = [record(user="AB"[i % 2], timestamp=1700000000 + i * 20) for i in range(10)] + [record(user=...)]
+    raw = spark.createDataFrame([("enwiki", v, i) for i, v in enumerate(values)], "key string, value string, offset bigint")
+    settings = Settings()
+    both = topics.clean_records(raw, settings)
+    clean = both.where(F.col("topic") == settings.topic("clean")).drop("topic")
+    assert (both.count(), clean.count()) == (11, 10)
+    stat_values = [json.loads(r["value"]) for r in topics.stats_records(clean, settings).collect()]
+    assert sorted(v["edits"] for v in stat_values) == [2, 2, 3, 3]
+    want = {r["value"] for r in topics.war_records(clean, settings).collect()}
+    assert {(json.loads(v)["reverter"], json.loads(v)["seconds_elapsed"]) for v in want} == {("A", 40), ("B", 40)}
+
+    jobs = Jobs(spark, str(tmp_path / "root"), NOW)
+    end = raw.limit(1).select("key", F.lit(record(title="end", timestamp=1700100000)).alias("value"), F.lit(99).cast("bigint").alias("offset"))
+    topics.clean_records(raw.unionByName(end), settings).where("key is not null").drop("topic").write.parquet(jobs.path("topic"))
+    stream = files.read_table(spark, jobs.path("topic"), clean.schema, stream=True)
+    writer = topics.war_records(stream, settings).writeStream.format("parquet").option("path", jobs.path("alerts"))
+    finish(jobs.start_records(writer, "wars"))
+    assert {r["value"] for r in spark.read.parquet(jobs.path("alerts")).collect()} == want
 
 
 def test_replay_can_be_repeated(spark, tmp_path):
