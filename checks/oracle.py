@@ -47,30 +47,36 @@ parsed AS (
   FROM raw
 )"""
 
+def checked(lossless: bool = False) -> str:
+    """Each parsed edit with the first rule it breaks; clean ones break none and have a type."""
+    missing_type = "WHEN type IS NULL THEN 'missing_type'" if lossless else ""
+    return f"""
+checked AS (
+  SELECT *, CASE
+      WHEN wiki IS NULL THEN 'missing_wiki'
+      WHEN title IS NULL THEN 'missing_title'
+      WHEN "user" IS NULL THEN 'missing_user'
+      WHEN seconds IS NULL THEN 'missing_timestamp'
+      {missing_type}
+      WHEN type NOT IN ('edit', 'new', 'categorize', 'log') THEN 'unknown_type'
+    END AS reject_reason
+  FROM parsed
+)"""
+
+
 CLEAN = """
 clean AS (
   SELECT wiki, site AS server_name, site AS domain, type, namespace, title, "user",
-    coalesce(bot, FALSE) AS is_bot, coalesce(minor, FALSE) AS is_minor,
-    coalesce(new_length, 0) - coalesce(old_length, 0) AS byte_delta, new_length, comment,
+    ifnull(bot, FALSE) AS is_bot, ifnull(minor, FALSE) AS is_minor,
+    ifnull(new_length, 0) - ifnull(old_length, 0) AS byte_delta, new_length, comment,
     event_id AS revision_id, make_timestamp(seconds * 1000000) AS event_time, "offset"
-  FROM parsed
-  WHERE wiki IS NOT NULL AND title IS NOT NULL AND "user" IS NOT NULL AND seconds IS NOT NULL
-    AND type IN ('edit', 'new', 'categorize', 'log')
+  FROM checked WHERE reject_reason IS NULL AND type IS NOT NULL
 )"""
 
-
-def rejected(lossless: bool = False) -> str:
-    missing_type = "WHEN type IS NULL THEN 'missing_type'" if lossless else ""
-    or_missing_type = "OR type IS NULL" if lossless else ""
-    return f"""
+DLQ = """
 dlq AS (
-  SELECT CASE WHEN wiki IS NULL THEN 'missing_wiki' WHEN title IS NULL THEN 'missing_title'
-              WHEN "user" IS NULL THEN 'missing_user' WHEN seconds IS NULL THEN 'missing_timestamp'
-              {missing_type} ELSE 'unknown_type' END AS reject_reason,
-    wiki, title, "user", type, seconds AS raw_timestamp, "offset"
-  FROM parsed
-  WHERE wiki IS NULL OR title IS NULL OR "user" IS NULL OR seconds IS NULL {or_missing_type}
-    OR type NOT IN ('edit', 'new', 'categorize', 'log')
+  SELECT reject_reason, wiki, title, "user", type, seconds AS raw_timestamp, "offset"
+  FROM checked WHERE reject_reason IS NOT NULL
 )"""
 
 
@@ -78,18 +84,19 @@ def stats(minutes: int) -> str:
     width = 60 * minutes
     return f"""
 stats AS (
-  SELECT make_timestamp((seconds // {width}) * {width} * 1000000) AS window_start,
-    make_timestamp((seconds // {width} + 1) * {width} * 1000000) AS window_end, wiki,
-    count(*) AS edits, count(*) FILTER (WHERE is_bot) AS bot_edits,
-    count(*) FILTER (WHERE NOT is_bot) AS human_edits,
-    count(DISTINCT "user") AS editors, count(DISTINCT title) AS pages_touched,
-    count(*) FILTER (WHERE type = 'new') AS new_pages,
-    CAST(coalesce(sum(byte_delta) FILTER (WHERE byte_delta > 0), 0) AS BIGINT) AS bytes_added,
-    CAST(coalesce(sum(byte_delta) FILTER (WHERE byte_delta < 0), 0) AS BIGINT) AS bytes_removed,
-    CAST(coalesce(sum(byte_delta), 0) AS BIGINT) AS net_bytes,
-    CAST((20000 * count(*) FILTER (WHERE is_bot) + count(*)) // (2 * count(*)) AS DOUBLE) / 100 AS bot_share_pct
-  FROM (SELECT *, CAST(epoch(event_time) AS BIGINT) AS seconds FROM clean)
-  GROUP BY seconds // {width}, wiki
+  SELECT make_timestamp(bucket * {width} * 1000000) AS window_start,
+    make_timestamp((bucket + 1) * {width} * 1000000) AS window_end, wiki, edits, bot_edits, human_edits, editors,
+    pages_touched, new_pages, bytes_added, bytes_removed, bytes_added + bytes_removed AS net_bytes,
+    CAST((20000 * bot_edits + edits) // (2 * edits) AS DOUBLE) / 100 AS bot_share_pct
+  FROM (
+    SELECT CAST(epoch(event_time) AS BIGINT) // {width} AS bucket, wiki, count(*) AS edits,
+      CAST(count_if(is_bot) AS BIGINT) AS bot_edits, CAST(count_if(NOT is_bot) AS BIGINT) AS human_edits,
+      len(list(DISTINCT "user")) AS editors, len(list(DISTINCT title)) AS pages_touched,
+      CAST(count_if(type = 'new') AS BIGINT) AS new_pages,
+      CAST(sum(greatest(byte_delta, 0)) AS BIGINT) AS bytes_added,
+      CAST(sum(least(byte_delta, 0)) AS BIGINT) AS bytes_removed
+    FROM clean GROUP BY ALL
+  )
 )"""
 
 
@@ -196,8 +203,10 @@ def with_ctes(*ctes: str, select: str, recursive: bool = False) -> str:
     return f"WITH {'RECURSIVE ' if recursive else ''}{','.join(ctes)}\n{select}"
 
 
-SPLIT = (RAW, PARSED)
-CLEANED = (RAW, PARSED, CLEAN)
+PARSED_FEED = (RAW, PARSED)
+SPLIT = (*PARSED_FEED, checked(), DLQ)
+CLEANED = (*PARSED_FEED, checked(), CLEAN)
+BOTH = (*CLEANED, DLQ)
 CLEAN_COLUMNS = (
     'wiki, server_name, domain, type, namespace, title, "user", is_bot, is_minor, byte_delta, new_length,'
     " comment, revision_id, event_time"
@@ -215,29 +224,27 @@ def oracle_sql() -> dict[str, str]:
     return {
         "raw_scan": with_ctes(RAW, PAYLOAD, select='SELECT "offset", value FROM payloads'),
         "parse_raw": with_ctes(
-            *SPLIT,
+            *PARSED_FEED,
             select="""SELECT "offset", site AS domain, event_id AS id, type, namespace, title, comment,
               seconds AS "timestamp", "user", bot, minor, CAST(NULL AS BOOLEAN) AS patrolled, old_length, new_length,
               event_id AS revision_id, site AS server_name, wiki, make_timestamp(seconds * 1000000) AS event_time
               FROM parsed""",
         ),
         "clean_edits": with_ctes(*CLEANED, select=f"SELECT {CLEAN_COLUMNS} FROM clean"),
-        "dlq_edits": with_ctes(*SPLIT, rejected(), select=f"SELECT {REJECTED_COLUMNS} FROM dlq"),
+        "dlq_edits": with_ctes(*SPLIT, select=f"SELECT {REJECTED_COLUMNS} FROM dlq"),
         "dlq_edits_lossless": with_ctes(
-            *SPLIT, rejected(lossless=True), select=f"SELECT {REJECTED_COLUMNS} FROM dlq"
+            *PARSED_FEED, checked(lossless=True), DLQ, select=f"SELECT {REJECTED_COLUMNS} FROM dlq"
         ),
         "dlq_reasons": with_ctes(
-            *SPLIT, rejected(), select="SELECT reject_reason, count(*) AS records FROM dlq GROUP BY reject_reason"
+            *SPLIT, select="SELECT reject_reason, count(*) AS records FROM dlq GROUP BY reject_reason"
         ),
         "fan_out": with_ctes(
-            *CLEANED,
-            rejected(),
+            *BOTH,
             select="""SELECT 'clean' AS outlet, "offset", CAST(NULL AS VARCHAR) AS reject_reason, wiki, title FROM clean
               UNION ALL SELECT 'dlq', "offset", reject_reason, wiki, title FROM dlq""",
         ),
         "stream_clean": with_ctes(
-            *CLEANED,
-            rejected(),
+            *BOTH,
             select="""SELECT 'clean' AS outlet, "offset", CAST(NULL AS VARCHAR) AS reject_reason, wiki, title FROM clean
               UNION ALL SELECT 'dlq', "offset", reject_reason, wiki, title FROM dlq""",
         ),
@@ -263,12 +270,11 @@ def oracle_sql() -> dict[str, str]:
         "decode_keyed": with_ctes(*CLEANED, select=f"SELECT {CLEAN_COLUMNS} FROM clean"),
         "encode_upsert": with_ctes(*CLEANED, stats(1), UPSERT, select="SELECT key, value FROM upsert"),
         "encode_dlq": with_ctes(
-            *SPLIT, rejected(), DEAD_LETTERS, select="SELECT CAST(NULL AS VARCHAR) AS key, value FROM dead_letters"
+            *SPLIT, DEAD_LETTERS, select="SELECT CAST(NULL AS VARCHAR) AS key, value FROM dead_letters"
         ),
         "fan_out_records": with_ctes(
-            *CLEANED,
+            *BOTH,
             KEYED,
-            rejected(),
             DEAD_LETTERS,
             select="""SELECT 'wiki.edits.clean' AS topic, key, value, "offset" FROM keyed
               UNION ALL SELECT 'wiki.edits.dlq', NULL, value, "offset" FROM dead_letters""",
@@ -290,8 +296,7 @@ def oracle_sql() -> dict[str, str]:
               QUALIFY row_number() OVER (PARTITION BY key ORDER BY "offset" DESC) = 1""",
         ),
         "topic_counts": with_ctes(
-            *CLEANED,
-            rejected(),
+            *BOTH,
             stats(1),
             wars("clean", 172800),
             recursive=True,
