@@ -9,8 +9,9 @@
     tail     first rows of a stored table
 
 Ingest, clean, stats and wars run as streams until stopped, for `--wait` seconds, or, with
-`--bounded`, until what is stored has been handled. With `--kafka`, clean, stats and wars go
-from topic to topic; `--bounded` then makes them batch runs up to the present end.
+`--bounded`, until what is stored has been handled. With `--kafka`, ingest writes to a topic, and
+clean, stats and wars go from topic to topic; `--bounded` makes these batch runs up to the
+present end.
 """
 
 from __future__ import annotations
@@ -66,8 +67,9 @@ def main(argv: list[str] | None = None) -> int:
     elif args.job == "tail":
         spark.read.parquet(jobs.path(args.table)).show(args.rows, truncate=False)
     elif args.job == "ingest" and args.max_events is not None:
-        print(ingest.ingest(spark, captures, jobs.root, wikis, args.max_events))
-    elif args.kafka and settings.bounded:
+        write = ingest.to_topic(settings) if args.kafka else ingest.to_table(jobs.path("raw"))
+        print(ingest.ingest(spark, captures, write, wikis, args.max_events))
+    elif args.kafka and settings.bounded and args.job != "ingest":
         records, stage = topic_records(spark, args, settings)
         kafka.write_records(records, settings, stage)
     else:
@@ -91,7 +93,7 @@ def start(
     spark: SparkSession, args: argparse.Namespace, jobs: Jobs, captures: str, wikis: tuple[str, ...]
 ) -> StreamingQuery:
     if args.job == "ingest":
-        return jobs.start_ingest(captures, wikis)
+        return jobs.start_ingest(captures, wikis, kafka=args.kafka)
     if args.kafka:
         records, stage = topic_records(spark, args, jobs.settings)
         return jobs.start_records(kafka.stream_records(records, jobs.settings, stage), args.job)

@@ -50,7 +50,7 @@ def edit_wars(
 
     Counts the edits per page first (two columns, combined before the shuffle). Pages of at
     most `hot_page_edits` are handled whole, with a single shuffle of the edits; larger ones
-    go through `_sliced_matches`.
+    go through `_sliced_matches`. The input is thus read two to four times: give a stored table.
     """
     check_positive("within_seconds", within_seconds)
     edits = clean.where(F.col("event_time").isNotNull()).select(*USED)

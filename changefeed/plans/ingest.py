@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection
+from collections.abc import Callable, Collection
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from changefeed.operators import routing
-from changefeed.sources import capture
+from changefeed.settings import Settings
+from changefeed.sources import capture, kafka
 
 
 def ordered_events(lines: DataFrame, first_offset: int = 0) -> DataFrame:
@@ -17,20 +18,34 @@ def ordered_events(lines: DataFrame, first_offset: int = 0) -> DataFrame:
     return events.select("data", (F.lit(first_offset) + F.monotonically_increasing_id()).alias("offset"))
 
 
-def store_raw(events: DataFrame, path: str, wikis: Collection[str] = ()) -> dict[str, int]:
-    """Write the raw records of events; received, produced, skipped and bytes_in are counted on the way."""
+def store_raw(
+    events: DataFrame, write: Callable[[DataFrame], None], wikis: Collection[str] = ()
+) -> dict[str, int]:
+    """Hand the raw records of events to `write`; received, produced, skipped and bytes_in are
+    counted on the way."""
     counters = Observation()
     counted = routing.with_route(events, wikis).observe(counters, *routing.counters())
-    records = counted.where("accepted").select("key", F.col("data").alias("value"), "offset")
-    records.write.mode("overwrite").parquet(path)
+    write(counted.where("accepted").select("key", F.col("data").alias("value"), "offset"))
     return counters.get
 
 
+def to_table(path: str) -> Callable[[DataFrame], None]:
+    return lambda records: records.write.mode("overwrite").parquet(path)
+
+
+def to_topic(settings: Settings) -> Callable[[DataFrame], None]:
+    return lambda records: kafka.write_records(kafka.in_key_order(records), settings, "raw")
+
+
 def ingest(
-    spark: SparkSession, captures: str, root: str, wikis: Collection[str] = (), max_events: int | None = None
+    spark: SparkSession,
+    captures: str,
+    write: Callable[[DataFrame], None],
+    wikis: Collection[str] = (),
+    max_events: int | None = None,
 ) -> dict[str, int]:
-    """All captured events, or the first `max_events`, to the `raw` table under `root`."""
+    """All captured events, or the first `max_events`, to raw records."""
     events = ordered_events(capture.read_capture(spark, captures))
     if max_events is not None:
         events = routing.first_events(events, max_events)
-    return store_raw(events, f"{root}/raw", wikis)
+    return store_raw(events, write, wikis)

@@ -57,6 +57,12 @@ def write_records(records: DataFrame, settings: Settings, stage: str | None = No
     _record_columns(records).write.format("kafka").options(**sink_options(settings, stage)).save()
 
 
+def in_key_order(records: DataFrame) -> DataFrame:
+    """Records of a key in one task and in order of offset, so that they stay in order on their
+    topic partition. Records read from a topic keyed alike need no such step."""
+    return records.repartition("key").sortWithinPartitions("key", "offset")
+
+
 def stream_records(
     records: DataFrame, settings: Settings, stage: str | None = None, mode: str = "append"
 ) -> DataStreamWriter:

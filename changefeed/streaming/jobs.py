@@ -14,7 +14,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from changefeed.operators import clean as C
 from changefeed.operators import stats
 from changefeed.operators.keyed import latest_per_key
-from changefeed.plans.ingest import ordered_events, store_raw
+from changefeed.plans.ingest import ordered_events, store_raw, to_table, to_topic
 from changefeed.settings import Settings
 from changefeed.sources import capture, files
 from changefeed.streaming.wars import edit_wars_stream
@@ -49,12 +49,14 @@ class Jobs:
         writer = rows.writeStream.format("parquet").outputMode("append").option("path", self.path(table))
         return self._start(writer.partitionBy(*partitions) if partitions else writer, table)
 
-    def start_ingest(self, captures: str, wikis: tuple[str, ...] = (), files_per_trigger: int = 100) -> StreamingQuery:
+    def start_ingest(
+        self, captures: str, wikis: tuple[str, ...] = (), files_per_trigger: int = 100, kafka: bool = False
+    ) -> StreamingQuery:
         """Capture files to raw records, in order of the files' modification times.
 
         `ingested` adds up what was received, produced and skipped, in events and characters.
         A retried batch replaces its own folder, so the table never doubles; a stream that read
-        the folder before the retry may see its records again.
+        the folder before the retry may see its records again, and so may readers of the topic.
         """
         lines = (
             self.spark.readStream.option("maxFilesPerTrigger", files_per_trigger)
@@ -65,7 +67,8 @@ class Jobs:
         def write_batch(batch: DataFrame, batch_id: int) -> None:
             # Batches come one after another; 2**50 offsets are set aside for each.
             events = ordered_events(capture.number_lines(batch), first_offset=batch_id << 50)
-            self.ingested.update(store_raw(events, self.path(f"raw/batch={batch_id:08d}"), wikis))
+            write = to_topic(self.settings) if kafka else to_table(self.path(f"raw/batch={batch_id:08d}"))
+            self.ingested.update(store_raw(events, write, wikis))
 
         return self._start(lines.writeStream.foreachBatch(write_batch), "ingest")
 

@@ -63,6 +63,15 @@ def test_kafka_sink_options():
     assert "topic" not in kafka.sink_options(Settings())
 
 
+def test_records_of_a_key_stay_in_order(spark):
+    records = spark.range(1000).selectExpr("concat('w', id % 7) as key", "999 - id as offset")
+    tagged = kafka.in_key_order(records).selectExpr("*", "spark_partition_id() as task").collect()
+    assert len({(row["key"], row["task"]) for row in tagged}) == 7
+    for key in {row["key"] for row in tagged}:
+        offsets = [row["offset"] for row in tagged if row["key"] == key]
+        assert offsets == sorted(offsets)
+
+
 def test_schema_helpers():
     assert schemas.names(schemas.EDIT_WAR)[:2] == ["wiki", "title"]
     assert schemas.names(schemas.RAW_EDIT)[0] == "meta"

@@ -181,14 +181,15 @@ def test_ingest_and_clean_jobs(spark, capture_folder):
 
 def test_bounded_ingest_counts_as_it_writes(spark, capture_folder, tmp_path):
     root = str(tmp_path / "root")
-    counted = ingest.ingest(spark, capture_folder, root)
+    to_raw = ingest.to_table(f"{root}/raw")
+    counted = ingest.ingest(spark, capture_folder, to_raw)
     assert (counted["received"], counted["produced"], counted["skipped"]) == (40, 39, 1)
     assert files.raw_records(spark, f"{root}/raw").count() == 39
-    counted = ingest.ingest(spark, capture_folder, root, max_events=15)
+    counted = ingest.ingest(spark, capture_folder, to_raw, max_events=15)
     assert (counted["received"], counted["produced"]) == (15, 14)
     titles = {json.loads(row["value"])["title"] for row in files.raw_records(spark, f"{root}/raw").collect()}
     assert titles == {f"T{i}" for i in range(15) if i not in (3, 5)} | {"T"}
-    assert ingest.ingest(spark, capture_folder, root, wikis=["dewiki"])["skipped"] == 40
+    assert ingest.ingest(spark, capture_folder, to_raw, wikis=["dewiki"])["skipped"] == 40
 
 
 def test_command_line(spark, capture_folder, tmp_path, capsys):
