@@ -59,7 +59,11 @@ def write_records(records: DataFrame, settings: Settings, stage: str | None = No
 
 def in_key_order(records: DataFrame) -> DataFrame:
     """Records of a key in one task and in order of offset, so that they stay in order on their
-    topic partition. Records read from a topic keyed alike need no such step."""
+    topic partition, which takes them one after another anyway.
+
+    For batches of bounded size, such as one trigger's files. Records read from a topic keyed
+    alike need no such step.
+    """
     return records.repartition("key").sortWithinPartitions("key", "offset")
 
 
