@@ -5,12 +5,23 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from changefeed.session import checkpointed
+from changefeed.session import scratch_table
 
-NODE = "node BIGINT, component BIGINT"
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Written to the shared folder and read back: computed once, safe from lost executors."""
+    path = scratch_table(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def measured(df: DataFrame, name: str, **measures: Column) -> tuple[DataFrame, dict]:
+    """Like `stored`, and what the given aggregates come to; they are taken while the rows are written."""
+    seen = Observation(name)
+    return stored(df.observe(seen, *(column.alias(key) for key, column in measures.items())), name), seen.get
 
 
 def union(parent: dict[int, int], a: int, b: int) -> None:
@@ -45,25 +56,22 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Each task first reduces its edges to a forest. Large-star and small-star rounds (Kiveris et
     al., "Connected Components in MapReduce and Beyond", 2014) then join what different tasks hold
     of a tree, in a number of rounds that grows with the logarithm of the edges. A node with many
-    edges costs a map-side minimum and a join that AQE can split. Each round is checkpointed.
+    edges costs a map-side minimum and a join that AQE can split. Each round is written to the shared folder.
     Edges with a null end and loops add nothing; no edges give no rows.
     """
     stars = edges.select("a", "b").where("a <> b").mapInArrow(task_forest, "a BIGINT, b BIGINT")
-    stars = checkpointed(stars.distinct())
+    mixed = F.xxhash64("a", "b")
+    state = {"rows": F.count("*"), "bits": F.bit_xor(mixed), "low": F.sum(mixed.bitwiseAND(0xFFFFFFFF))}
+    stars, now = measured(stars.distinct(), "stars", **state)
     before = None
-    while (state := fingerprint(stars)) != before:
-        before = state
-        stars = checkpointed(small_star(large_star(stars)))
+    while now != before and now["rows"]:
+        before = now
+        stars, now = measured(small_star(large_star(stars)), "stars", **state)
     return stars.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         stars.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     )
 
 
-def fingerprint(stars: DataFrame):
-    mixed = F.xxhash64("a", "b")
-    return stars.agg(F.count("*"), F.bit_xor(mixed), F.sum(mixed.bitwiseAND(0xFFFFFFFF))).first()
-
-
 def large_star(stars: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is tied to the smallest node around it."""
     both = stars.unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))

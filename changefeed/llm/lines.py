@@ -9,7 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changefeed.llm.near import Likeness, near_components, stored
+from changefeed.llm.components import stored
+from changefeed.llm.near import Likeness, near_components
 from changefeed.llm.words import character_runs
 
 SHINGLE_CHARS = 8

@@ -2,15 +2,13 @@
 
 Texts whose sketches share a band fall into one bucket. Pairs inside a bucket are never listed:
 
-1. Every member is compared with the bucket's smallest id, the hub. Links give components.
-2. Where a bucket still spans several components, those members that are not in the hub's one are
-   compared with all members of other components by their sketches, in blocks of bounded size, and
-   each is verified against the few most alike.
-3. What is left apart after that is verified in full: every pair of a bucket that is still in two
-   components and whose sketches agree in a share of bins not far below the threshold.
-
-So no link that banding finds can be lost to the choice of a hub, while a group of n near copies
-costs about n verifications instead of n^2. Verification compares whole shingle sets.
+1. Every member is verified against the bucket's smallest id, the hub. Links give components.
+2. Where a bucket still holds members outside the hub's component, these are compared with
+   that component and with each other, in blocks of bounded size: first the sketches, then, where those agree in a
+   share of bins not far below the threshold, the whole sets, in the same task.
+
+So no link that banding finds can be lost to the choice of a hub, a group of n near copies costs about n
+verifications instead of n^2 rows, and only links leave a task.
 """
 
 from __future__ import annotations
@@ -23,11 +21,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changefeed.llm.components import connected_components
+from changefeed.llm.components import connected_components, measured, stored
 from changefeed.llm.sketch import bands, compact, sketches
-from changefeed.session import scratch_table
 
 BLOCK = 512
+BLOCK_CHARS = 4_000_000
 
 
 @dataclass(frozen=True)
@@ -56,13 +54,6 @@ class Likeness:
         return shared > 0 and 100 * shared >= self.percent * (len(a) + len(b) - shared)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Written to the shared folder and read back: computed once, safe from lost executors."""
-    path = scratch_table(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def near_components(keys: DataFrame, fetch: Callable[[DataFrame], DataFrame], likeness: Likeness) -> DataFrame:
     """(node, component) of all ids that have a link.
 
@@ -72,13 +63,10 @@ def near_components(keys: DataFrame, fetch: Callable[[DataFrame], DataFrame], li
     members = stored(bucket_members(keys), "buckets")
     texts = stored(fetch(members.select("id").distinct()), "texts")
     first = members.where("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
-    tried, links = first, stored(verified(first, texts, likeness), "links")
-    for most in (4, None):
-        labels = connected_components(links)
-        more = stored(residual_pairs(members, labels, texts, likeness, most).join(tried, ["a", "b"], "left_anti"), "pairs")
-        tried = tried.unionByName(more)
-        links = links.unionByName(stored(verified(more, texts, likeness), "links"))
-    return connected_components(links)
+    links = stored(verified(first, texts, likeness), "links")
+    labels = connected_components(links)
+    more, found = measured(residual_links(members, labels, texts, likeness), "links", rows=F.count("*"))
+    return connected_components(links.unionByName(more)) if found["rows"] else labels
 
 
 def bucket_members(keys: DataFrame) -> DataFrame:
@@ -103,60 +91,80 @@ def verified(pairs: DataFrame, texts: DataFrame, likeness: Likeness) -> DataFram
     return sides.select("a", "b", "left", "right").mapInArrow(check, "a BIGINT, b BIGINT")
 
 
-def residual_pairs(
-    members: DataFrame, labels: DataFrame, texts: DataFrame, likeness: Likeness, most: int | None
-) -> DataFrame:
-    """(a, b), a > b, of buckets that span several components: members outside the hub's component with
-    members of others whose sketches agree enough; `most` keeps the likeliest per member and block."""
+def residual_links(members: DataFrame, labels: DataFrame, texts: DataFrame, likeness: Likeness) -> DataFrame:
+    """Links (a, b) between different components that share a bucket.
+
+    A member outside its hub's component is attached to that component. Each component with such
+    members is a group: its own members, the core, and those attached. All attached ones are
+    compared with the whole group, so each text goes to a group once, however many buckets it shares.
+    """
     of = labels.select(F.col("node").alias("id"), "component")
-    hub_of = labels.select(F.col("node").alias("hub"), F.col("component").alias("main"))
-    labelled = members.join(of, "id", "left").join(hub_of, "hub", "left")
-    labelled = labelled.select(
-        "key", "id", F.coalesce("component", "id").alias("component"), F.coalesce("main", "hub").alias("main")
+    main_of = labels.select(F.col("node").alias("hub"), F.col("component").alias("main"))
+    labelled = members.join(of, "id", "left").join(main_of, "hub", "left").select(
+        "id", F.coalesce("component", "id").alias("component"), F.coalesce("main", "hub").alias("main")
     )
-    size = labelled.groupBy("key").agg(F.count("*").alias("size"), F.count_if(F.expr("component <> main")).alias("apart"))
-    open_members = labelled.join(size.where("apart > 0"), "key")
+    labelled = stored(labelled.distinct(), "labelled")
+    attached = labelled.where("component <> main").select(F.col("main").alias("group"), "id", "component").distinct()
+    core = labelled.select(F.col("component").alias("group"), "id", "component").distinct()
+    core = core.join(attached.select("group").distinct(), "group", "left_semi")
+    everyone = attached.withColumn("minor", F.lit(True)).unionByName(core.withColumn("minor", F.lit(False)))
 
     def sketched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            table = compact(likeness.sketch(batch.column("text").to_pylist()))
-            sketch = pa.array([row.tobytes() for row in table], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("id"), sketch], ["id", "sketch"])
-
-    wanted = texts.join(open_members.select("id").distinct(), "id", "left_semi").select("id", "text")
-    with_sketch = open_members.join(wanted.mapInArrow(sketched, "id BIGINT, sketch BINARY"), "id")
-
-    def blocks(rows: DataFrame, count: str, prefix: str) -> DataFrame:
-        block = F.pmod(F.xxhash64("id"), F.ceil(F.col(count) / F.lit(BLOCK)).cast("bigint"))
-        item = F.struct("id", "component", "sketch")
-        grouped = rows.groupBy("key", block.alias(f"{prefix}_block")).agg(F.collect_list(item).alias(prefix))
-        return grouped
-
-    apart = blocks(with_sketch.where("component <> main"), "apart", "minor")
-    pairs = apart.join(blocks(with_sketch, "size", "all"), "key").select("minor", "all")
+            bodies = batch.column("text").to_pylist()
+            table = compact(likeness.sketch(bodies))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("id"),
+                    pa.array([row.tobytes() for row in table], pa.binary()),
+                    pa.array([items.tobytes() for items in likeness.sets(bodies)], pa.binary()),
+                ],
+                ["id", "sketch", "items"],
+            )
+
+    wanted = texts.join(everyone.select("id").distinct(), "id", "left_semi").select("id", "text")
+    profile = wanted.mapInArrow(sketched, "id BIGINT, sketch BINARY, items BINARY")
+    placed = everyone.join(profile, "id")
+    sizes = placed.groupBy("group", "minor").agg(
+        F.greatest(
+            F.ceil(F.count("*") / F.lit(BLOCK)), F.ceil(F.sum(F.octet_length("items")) / F.lit(8 * BLOCK_CHARS))
+        ).alias("blocks")
+    )
+    block = F.pmod(F.xxhash64("id"), F.col("blocks")).alias("block")
+    item = F.struct("id", "component", "sketch", "items")
+    blocks = placed.join(sizes, ["group", "minor"]).groupBy("group", "minor", block).agg(F.collect_list(item).alias("all"))
+    blocks = stored(blocks, "blocks")
+    left = blocks.where("minor").select("group", F.col("block").alias("left_block"), F.col("all").alias("left"))
+    pairs = left.join(blocks, "group").where("not minor or left_block <= block").select("left", F.col("all").alias("right"))
     floor = (likeness.percent / 100 - likeness.slack) * likeness.bins
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for minor_items, all_items in zip(batch.column("minor"), batch.column("all"), strict=True):
-                ids_a, group_a, table_a = unpack(minor_items.values, likeness.bins)
-                ids_b, group_b, table_b = unpack(all_items.values, likeness.bins)
-                found_a, found_b = [], []
-                for k in range(len(ids_a)):
-                    agree = (table_b == table_a[k]).sum(axis=1)
-                    fit = np.flatnonzero((agree >= floor) & (group_b != group_a[k]))
-                    if most is not None and len(fit) > most:
-                        fit = fit[np.lexsort((ids_b[fit], -agree[fit]))[:most]]
-                    found_a.append(np.full(len(fit), ids_a[k]))
-                    found_b.append(ids_b[fit])
-                a, b = np.concatenate(found_a), np.concatenate(found_b)
-                yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], ["a", "b"])
+            found: list[tuple[int, int]] = []
+            for k in range(len(batch)):
+                a, b = (Block(batch.column(side)[k].values, likeness.bins) for side in ("left", "right"))
+                for x in range(len(a.ids)):
+                    joined: set[int] = set()
+                    near = (b.table == a.table[x]).sum(axis=1) >= floor
+                    for y in np.flatnonzero(near & (b.component != a.component[x])):
+                        # one link to a component is enough
+                        if b.component[y] not in joined and likeness.alike(a.items(x), b.items(y)):
+                            joined.add(b.component[y])
+                            found.append((int(a.ids[x]), int(b.ids[y])))
+            columns = list(zip(*found, strict=True)) or [(), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
 
     return pairs.mapInArrow(compare, "a BIGINT, b BIGINT").distinct()
 
 
-def unpack(items: pa.StructArray, bins: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    ids = items.field("id").to_numpy(zero_copy_only=False)
-    group = items.field("component").to_numpy(zero_copy_only=False)
-    table = np.frombuffer(b"".join(items.field("sketch").to_pylist()), np.uint8).reshape(len(ids), bins)
-    return ids, group, table
+class Block:
+    """Some members of a group: ids, components, sketches, and whole sets."""
+
+    def __init__(self, rows: pa.StructArray, bins: int) -> None:
+        self.ids = rows.field("id").to_numpy(zero_copy_only=False)
+        self.component = rows.field("component").to_numpy(zero_copy_only=False)
+        self.table = np.frombuffer(b"".join(rows.field("sketch").to_pylist()), np.uint8).reshape(len(self.ids), bins)
+        self.sets = rows.field("items")
+
+    def items(self, k: int) -> np.ndarray:
+        return np.frombuffer(self.sets[k].as_py(), np.uint64)

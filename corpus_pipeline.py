@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from changefeed.llm import decontaminate, lines, minhash, packing, toxicity
-from changefeed.llm.near import stored
+from changefeed.llm.components import stored
 from changefeed.llm.queries import read
 
 ORACLE_SQL = None  # toxicity, sketches and tokens are beyond SQL; tests compare with plain Python
