@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changefeed.llm import decontaminate, lines, minhash, packing, toxicity
+from changefeed.llm import decontaminate, language, lattice, licenses, lines, minhash, packing, secret_scan, toxicity, warc
 from changefeed.llm.oracle import ORACLE_SQL  # noqa: F401
+from changefeed.session import scratch_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -28,6 +29,11 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_overlaps(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+@query
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read(spark, sf_dir, "documents")).drop("notices")
+
+
 @query
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
@@ -36,11 +42,21 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+@query
+def op4_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.near_vectors(read(spark, sf_dir, "embeddings"))
+
+
 @query
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_classes(read(spark, sf_dir, "documents"))
 
 
+@query
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(read(spark, sf_dir, "documents")).drop("found")
+
+
 @query
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, sf_dir, "documents"))
@@ -49,3 +65,18 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
+
+
+@query
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
+    predicted = language.predict(docs, language.fit(docs, ~held_out))
+    return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_table(spark, "warc")
+    warc.write_archive(read(spark, sf_dir, "pages"), folder)
+    return warc.read_archive(spark, folder).drop("payload")
