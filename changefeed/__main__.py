@@ -23,7 +23,8 @@ from dataclasses import replace
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from changefeed.plans import ingest, topics
+from changefeed.operators import keyed
+from changefeed.plans import topics
 from changefeed.plans import replay as replaying
 from changefeed.session import build_session
 from changefeed.settings import Settings
@@ -38,9 +39,9 @@ def parse_args(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("job", choices=[*STREAMS, "replay", "counts", "tail"])
     parser.add_argument("--root", required=True, help="shared folder of tables and checkpoints")
     parser.add_argument("--captures", help="folder of captured feed files")
-    parser.add_argument("--wikis", default="", help="comma-separated wikis to keep")
-    parser.add_argument("--max-events", type=int, help="ingest only the first N events")
-    parser.add_argument("--wait", type=float, help="run for N seconds, then stop")
+    parser.add_argument("--wikis", default="", help="only records of these wikis, names separated by commas")
+    parser.add_argument("--max-events", type=int, help="append the next N captured events in one run")
+    parser.add_argument("--wait", type=float, help="how many seconds a stream may run")
     parser.add_argument("--bounded", action="store_true", help="stop after what is stored now")
     parser.add_argument("--lossless", action="store_true", help="reject edits without a type too")
     parser.add_argument("--kafka", action="store_true", help="read and write topics instead of tables")
@@ -65,10 +66,11 @@ def main(argv: list[str] | None = None) -> int:
         raw = files.raw_records(spark, jobs.path("raw"))
         replaying.counts(spark, raw, jobs.path("replay"), settings).show(truncate=False)
     elif args.job == "tail":
-        spark.read.parquet(jobs.path(args.table)).show(args.rows, truncate=False)
+        rows = spark.read.parquet(jobs.path(args.table))
+        order = next((name for name in ("offset", "window_start", "started_at") if name in rows.columns), rows.columns[0])
+        keyed.tail(rows, args.rows, order).show(truncate=False)
     elif args.job == "ingest" and args.max_events is not None:
-        write = ingest.to_topic(settings) if args.kafka else ingest.to_table(jobs.path("raw"))
-        print(ingest.ingest(spark, captures, write, wikis, args.max_events))
+        print(jobs.ingest_once(captures, wikis, args.max_events, args.kafka))
     elif args.kafka and settings.bounded and args.job != "ingest":
         records, stage = topic_records(spark, args, settings)
         kafka.write_records(records, settings, stage)
@@ -98,7 +100,8 @@ def start(
         records, stage = topic_records(spark, args, jobs.settings)
         return jobs.start_records(kafka.stream_records(records, jobs.settings, stage), args.job)
     if args.job == "clean":
-        return jobs.start_clean(files.raw_records(spark, jobs.path("raw"), stream=True), args.lossless)
+        raw = files.raw_records(spark, jobs.path("raw"), stream=True, per_trigger=jobs.settings.bytes_per_trigger)
+        return jobs.start_clean(raw, args.lossless)
     return {"stats": jobs.start_stats, "wars": jobs.start_wars}[args.job](jobs.clean_edits())
 
 

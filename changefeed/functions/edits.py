@@ -32,7 +32,8 @@ def reject_reason(
 ) -> Column:
     """First rule an edit breaks, or null.
 
-    A null type breaks no rule (`NOT IN` is unknown) unless `lossless` asks for one.
+    A null type breaks no rule (`NOT IN` is unknown), nor does a time that no calendar holds,
+    unless `lossless` asks for it.
     """
     reason = (
         F.when(wiki.isNull(), "missing_wiki")
@@ -41,7 +42,7 @@ def reject_reason(
         .when(seconds.isNull(), "missing_timestamp")
     )
     if lossless:
-        reason = reason.when(kind.isNull(), "missing_type")
+        reason = reason.when(event_time(seconds).isNull(), "bad_timestamp").when(kind.isNull(), "missing_type")
     return reason.when(~kind.isin(*EDIT_TYPES), "unknown_type")
 
 
@@ -50,7 +51,14 @@ def bot_share(bot_edits: Column, edits: Column) -> Column:
     return F.round(F.lit(100.0).cast("decimal(4,1)") * bot_edits / edits, 2).cast("double")
 
 
+def utc_text(moment: Column) -> Column:
+    """`2024-01-01 00:00:07`: an instant's UTC wall time, whatever the session's zone; fraction only when there is one."""
+    seconds = (F.unix_micros(moment).cast("decimal(20,0)") / 1_000_000).cast("decimal(18,6)")
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return (epoch + F.make_dt_interval(secs=seconds)).cast("string")
+
+
 def wire_timestamp(moment: Column) -> Column:
-    """`2024-01-01 00:00:07Z`: instant in SQL layout, fraction only when there is one."""
-    return F.concat(moment.cast("string"), F.lit("Z"))
+    """`2024-01-01 00:00:07Z`."""
+    return F.concat(utc_text(moment), F.lit("Z"))
 

@@ -20,7 +20,7 @@ def parse_raw(raw: DataFrame, value: str = "value", schema: str = schemas.RAW_ED
     by a generator, which later filters cannot be pushed through: each text is parsed once.
     """
     kept = [name for name in raw.columns if name != value]
-    decoded = F.from_json(value, schema, {"mode": "PERMISSIVE"})
+    decoded = F.from_json(value, schema, {"mode": "PERMISSIVE", **schemas.JSON_LIMITS})
     return raw.select(*kept, F.inline(F.array(decoded))).withColumn(
         "event_time", E.event_time(F.col("timestamp"))
     )
@@ -32,7 +32,8 @@ def split_edits(parsed: DataFrame, lossless: bool = False) -> DataFrame:
     The result holds the columns of clean edits and of rejected ones side by side (plus
     `offset` if given). Written with `partitionBy("outlet")`, both outputs are committed by
     the same job and cannot disagree about a record. An edit whose type is null reaches
-    neither outlet unless `lossless`.
+    neither outlet unless `lossless`; one whose time no calendar holds is clean without an
+    `event_time`, and `lossless` rejects it.
     """
     col = F.col
     reason = E.reject_reason(

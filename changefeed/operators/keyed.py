@@ -51,7 +51,7 @@ def encode_split(split: DataFrame, clean_topic: str, dead_letter_topic: str) ->
 def decode_keyed(records: DataFrame) -> DataFrame:
     """Back to clean edits: the wiki is read from the key, and a damaged value fails the job."""
     wire_schema = schemas.without(schemas.CLEAN_EDIT, "wiki", "event_time") + ", event_time STRING"
-    decoded = F.from_json(F.col("value").cast("string"), wire_schema, {"mode": "FAILFAST"})
+    decoded = F.from_json(F.col("value").cast("string"), wire_schema, {"mode": "FAILFAST", **schemas.JSON_LIMITS})
     kept = [name for name in ("offset",) if name in records.columns]
     # Decoded by a generator, so that no later filter makes the text be parsed again.
     return (
@@ -70,10 +70,10 @@ def encode_append(rows: DataFrame) -> DataFrame:
 def encode_upsert(stats: DataFrame) -> DataFrame:
     """Key is JSON of (window_start, wiki); the value is JSON of the whole row.
 
-    Window bounds carry no zone on the wire.
+    Window bounds are UTC and carry no zone on the wire.
     """
     columns = {
-        name: F.col(name).cast("string").alias(name) if kind == "timestamp" else F.col(name)
+        name: E.utc_text(F.col(name)).alias(name) if kind == "timestamp" else F.col(name)
         for name, kind in stats.dtypes
     }
     return stats.select(
@@ -84,10 +84,15 @@ def encode_upsert(stats: DataFrame) -> DataFrame:
 
 
 def latest_per_key(records: DataFrame, keys: tuple[str, ...] = ("key",), order: str = "offset") -> DataFrame:
-    """What a compacted topic keeps: the row with the greatest `order` for each key."""
-    rest = [name for name in records.columns if name not in keys]
-    newest = records.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("newest"))
-    return newest.select(*keys, "newest.*")
+    """What a compacted topic keeps: the row with the greatest `order` for each key.
+
+    `order` must tell a key's rows apart, as offsets do. Only keys and orders are combined, in
+    hash aggregates before and after the shuffle; the rows themselves are then looked up.
+    """
+    newest = records.groupBy(*keys).agg(F.max(order).alias("_newest"))
+    newest = newest.select(*[F.col(name).alias(f"_{name}") for name in keys], "_newest")
+    same = [records[name].eqNullSafe(newest[f"_{name}"]) for name in keys]
+    return records.join(newest, [*same, records[order].eqNullSafe(newest["_newest"])], "left_semi")
 
 
 def topic_counts(topics: Mapping[str, DataFrame]) -> DataFrame:

@@ -7,18 +7,23 @@ from collections.abc import Collection
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from changefeed import schemas
+
 UNKNOWN = "unknown"
 
 
-def _is_object(payload: Column, as_item: Column) -> Column:
+ITEM = "ARRAY<STRUCT<wiki: STRING, meta: STRING>>"
+
+
+def _is_object(payload: Column, items: Column) -> Column:
     """Whether the text is one JSON object and nothing else.
 
     The parser stops after the first value, so trailing text is found by parsing the payload
     as an array item; only a payload that could close that array itself is parsed again.
     """
-    one_item = F.size(F.try_variant_get(as_item, "$", "array<variant>")) == 1
-    as_field = F.try_parse_json(F.concat(F.lit('{"v":'), payload, F.lit("}")))
-    closed_inside = F.when(payload.contains("]"), as_field.isNotNull()).otherwise(F.lit(True))
+    as_field = F.from_json(F.concat(F.lit('{"v":'), payload, F.lit("}")), "v STRING", schemas.JSON_LIMITS)
+    closed_inside = F.when(payload.contains("]"), as_field["v"].isNotNull()).otherwise(F.lit(True))
+    one_item = (F.size(items) == 1) & items[0].isNotNull()
     return F.coalesce(F.ltrim(payload).startswith("{") & one_item & closed_inside, F.lit(False))
 
 
@@ -26,26 +31,25 @@ def with_route(events: DataFrame, wikis: Collection[str] = ()) -> DataFrame:
     """Add `key` and `accepted` to rows holding a payload in `data`.
 
     The key is the wiki, else the domain, else "unknown"; empty text counts as absent. With
-    a list of wikis, an event without wiki and domain is not accepted.
+    a list of wikis, an event without wiki and domain is not accepted. Repeated names (the last
+    counts), NaN and values of any length are read like any other.
     """
     payload = F.col("data")
     # Exploding keeps the parsed value from being worked out anew for each use of it.
-    as_item = F.try_parse_json(F.concat(F.lit("["), payload, F.lit("]")))
-    parsed = events.select("*", F.explode(F.array(as_item)).alias("_item"))
-
-    def text(path: str) -> Column:
-        return F.nullif(F.try_variant_get(F.col("_item"), path, "string"), F.lit(""))
-
-    source = F.coalesce(text("$[0].wiki"), text("$[0].meta.domain"))
+    items = F.from_json(F.concat(F.lit("["), payload, F.lit("]")), ITEM, schemas.JSON_LIMITS)
+    parsed = events.select("*", F.explode(F.array(items)).alias("_items"))
+    first = F.col("_items")[0]
+    domain = F.from_json(first["meta"], "domain STRING", schemas.JSON_LIMITS)["domain"]
+    source = F.coalesce(F.nullif(first["wiki"], F.lit("")), F.nullif(domain, F.lit("")))
     accepted = F.col("_valid")
     if wikis:
         accepted = accepted & F.coalesce(F.col("_source").isin(*sorted(wikis)), F.lit(False))
     return (
-        parsed.withColumn("_valid", _is_object(payload, F.col("_item")))
+        parsed.withColumn("_valid", _is_object(payload, F.col("_items")))
         .withColumn("_source", source)
         .withColumn("accepted", accepted)
         .withColumn("key", F.coalesce("_source", F.lit(UNKNOWN)))
-        .drop("_item", "_valid", "_source")
+        .drop("_items", "_valid", "_source")
     )
 
 

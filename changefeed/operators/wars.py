@@ -163,7 +163,7 @@ def _positions(edits: DataFrame, n_edits: int, slice_edits: int) -> DataFrame:
     """Number the edits 0, 1, 2, ... in order of page and time, without sorting them in one task.
 
     The range partitions are numbered inside and then shifted by the sizes of those before.
-    They are checkpointed, since both the sizes and the rows must come from the same ranges.
+    They are stored, since both the sizes and the rows must come from the same ranges.
     """
     tasks = ceil(n_edits / (slice_edits * SLICES_PER_SORT_TASK))
     ranged = checkpointed(
@@ -180,9 +180,8 @@ def _positions(edits: DataFrame, n_edits: int, slice_edits: int) -> DataFrame:
         .agg(F.count("*").alias("_rows"))
         .select("_task", F.coalesce(F.sum("_rows").over(earlier_tasks), F.lit(0)).alias("_shift"))
     )
-    # One row per sort task, a number chosen above.
     return (
-        located.join(F.broadcast(shifts), "_task")
+        located.join(shifts, "_task")
         .withColumn("pos", F.col("_shift") + F.col("_in_task"))
         .drop("_id", "_task", "_in_task", "_shift")
     )

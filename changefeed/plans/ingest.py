@@ -4,18 +4,37 @@ from __future__ import annotations
 
 from collections.abc import Callable, Collection
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from changefeed.operators import routing
 from changefeed.settings import Settings
 from changefeed.sources import capture, kafka
 
+Place = tuple[str, int]
 
-def ordered_events(lines: DataFrame, first_offset: int = 0) -> DataFrame:
-    """Events numbered in order of capture: by file name, then by block."""
-    events = capture.sse_events(capture.sse_blocks(lines)).orderBy("file", "block_no")
-    return events.select("data", (F.lit(first_offset) + F.monotonically_increasing_id()).alias("offset"))
+
+def ordered_events(lines: DataFrame, first_offset: int = 0, after: Place | None = None) -> DataFrame:
+    """Events (data, offset, file, block_no) of captured lines, those behind a place only if one is given.
+
+    A block's offset is `first_offset`, and the blocks of earlier files, by name, and of its own
+    file before it: the same whenever it is read, without sorting the events. The files'
+    sums are one row per file.
+    """
+    blanks = lines.groupBy("file").agg(F.count_if(F.col("line") == "").alias("blanks"))
+    earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = blanks.select("file", F.coalesce(F.sum("blanks").over(earlier), F.lit(0)).alias("start"))
+    events = capture.sse_events(capture.sse_blocks(lines)).join(starts, "file")
+    if after is not None:
+        events = events.where(behind(after))
+    offset = F.lit(first_offset) + F.col("start") + F.col("block_no")
+    return events.select("data", offset.cast("bigint").alias("offset"), "file", "block_no")
+
+
+def behind(place: Place):
+    """Blocks after a place, in order of file names and of blocks in a file."""
+    file, block_no = place
+    return (F.col("file") > file) | ((F.col("file") == file) & (F.col("block_no") > block_no))
 
 
 def store_raw(
@@ -30,22 +49,9 @@ def store_raw(
 
 
 def to_table(path: str) -> Callable[[DataFrame], None]:
+    """Into a folder of its own; what an attempt that failed has left there is replaced."""
     return lambda records: records.write.mode("overwrite").parquet(path)
 
 
 def to_topic(settings: Settings) -> Callable[[DataFrame], None]:
     return lambda records: kafka.write_records(kafka.in_key_order(records), settings, "raw")
-
-
-def ingest(
-    spark: SparkSession,
-    captures: str,
-    write: Callable[[DataFrame], None],
-    wikis: Collection[str] = (),
-    max_events: int | None = None,
-) -> dict[str, int]:
-    """All captured events, or the first `max_events`, to raw records."""
-    events = ordered_events(capture.read_capture(spark, captures))
-    if max_events is not None:
-        events = routing.first_events(events, max_events)
-    return store_raw(events, write, wikis)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from changefeed.operators import clean as C
 from changefeed.operators import keyed, stats
 from changefeed.operators.wars import edit_wars
+from changefeed.session import scratch_table
 from changefeed.settings import Settings
 from changefeed.streaming.wars import edit_wars_stream
 
@@ -27,8 +28,12 @@ def stats_records(clean: DataFrame, settings: Settings) -> DataFrame:
 
 
 def war_records(clean: DataFrame, settings: Settings) -> DataFrame:
-    """Clean records to alerts."""
+    """Clean records to alerts. A bounded topic is read once, to a stored table: the batch rule reads its edits
+    several times, and each read of a topic may end elsewhere."""
     edits = keyed.decode_keyed(clean)
     if edits.isStreaming:
         return keyed.encode_append(edit_wars_stream(edits, settings.war_seconds, settings.out_of_order_seconds))
-    return keyed.encode_append(edit_wars(edits, settings.war_seconds))
+    path = scratch_table(clean.sparkSession, "decoded")
+    edits.write.parquet(path)
+    stored = clean.sparkSession.read.schema(edits.schema).parquet(path)
+    return keyed.encode_append(edit_wars(stored, settings.war_seconds))

@@ -1,5 +1,8 @@
 """Declared schemas. Nothing is inferred; unknown JSON fields are ignored."""
 
+# How long a JSON string and number may be, and how deep it may nest, before the parser gives up on the whole record.
+JSON_LIMITS = {"maxStringLen": str(2**31 - 1), "maxNumLen": str(2**31 - 1), "maxNestingDepth": str(1_000_000)}
+
 # The field names and types of the feed and of each output.
 RAW_EDIT = """
     meta STRUCT<domain: STRING, dt: STRING, id: STRING, stream: STRING, uri: STRING>,

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+PACKAGE = Path(__file__).resolve().parent
+_shipped: set[str] = set()
+
 STATIC_CONF = {
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.compression.codec": "zstd",
@@ -28,6 +35,21 @@ def build_session(app: str = "changefeed", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors of the session, once: functions that run there are found by its name.
+
+    The archive is handed out by Spark's own file server, like the files of `--py-files`.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    folder = tempfile.mkdtemp(prefix="changefeed-package-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = shutil.make_archive(f"{folder}/{PACKAGE.name}", "zip", PACKAGE.parent, PACKAGE.name)
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
+
 def pin_utc(spark: SparkSession) -> SparkSession:
     """Windows, wire timestamps and casts from zone-less input all assume UTC."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -47,17 +69,29 @@ def shared_folder(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="changefeed-")
-    if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
 
 
+def session_folder(spark: SparkSession) -> str:
+    """The session's own folder under the shared one; it goes when the driver ends."""
+    context = spark.sparkContext
+    folder = f"{shared_folder(spark).rstrip('/')}/changefeed-{context.applicationId}"
+    place = context._jvm.org.apache.hadoop.fs.Path(folder)
+    files = place.getFileSystem(context._jsc.hadoopConfiguration())
+    if not files.exists(place):
+        files.mkdirs(place)
+        files.deleteOnExit(place)
+    return folder
+
+
 def scratch_table(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh path in the session's own folder."""
+    return f"{session_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the rows outlive any executor and are never computed twice."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Rows stored in the session's own folder: they outlive any executor and are never computed twice."""
+    path = scratch_table(df.sparkSession, "checkpoint")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -28,9 +28,18 @@ class Settings:
     window_minutes: int = 1
     war_seconds: int = 600
     trigger_seconds: int = 10
+    bytes_per_trigger: int = 1 << 30
+    offsets_per_trigger: int = 5_000_000
 
     def __post_init__(self) -> None:
-        for name in ("out_of_order_seconds", "window_minutes", "war_seconds", "trigger_seconds"):
+        for name in (
+            "out_of_order_seconds",
+            "window_minutes",
+            "war_seconds",
+            "trigger_seconds",
+            "bytes_per_trigger",
+            "offsets_per_trigger",
+        ):
             check_positive(name, getattr(self, name))
         unknown = set(self.topics) ^ set(TOPICS)
         if unknown:

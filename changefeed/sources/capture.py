@@ -25,6 +25,19 @@ def number_lines(lines: DataFrame) -> DataFrame:
     )
 
 
+def split_starts(lines: DataFrame) -> DataFrame:
+    """(file, split, blanks_before, file_blanks): the blank lines in earlier splits of the file, and in all of it."""
+    file = Window.partitionBy("file")
+    earlier = file.orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    blanks = lines.groupBy("file", "split").agg(F.count_if(F.col("line") == "").alias("blanks"))
+    return blanks.select(
+        "file",
+        "split",
+        F.coalesce(F.sum("blanks").over(earlier), F.lit(0)).alias("blanks_before"),
+        F.sum("blanks").over(file).alias("file_blanks"),
+    )
+
+
 def sse_blocks(lines: DataFrame) -> DataFrame:
     """One row per block closed by a blank line: file, block_no, event, data, id, retry_ms.
 
@@ -32,35 +45,32 @@ def sse_blocks(lines: DataFrame) -> DataFrame:
     whose size the file source bounds, and shifted by the blank lines of the splits before;
     a block cut by a split boundary so gets one number. The data lines of a block are joined
     with newlines; of every other field the last line wins.
+
+    Lines behind a file's last blank line belong to no closed block and go before any are
+    gathered. A block that lies inside one split is final there; only the first and last piece
+    of each split are put together with those of its neighbours, in a second, small shuffle.
     """
-    earlier_splits = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
-    split_starts = (
-        lines.groupBy("file", "split")
-        .agg(F.count_if(F.col("line") == "").alias("blanks"))
-        .select(
-            "file", "split", F.coalesce(F.sum("blanks").over(earlier_splits), F.lit(0)).alias("blanks_before")
-        )
+    pieces = _pieces(_named_lines(lines), split_starts(lines))
+    inside = F.col("closed") & (F.col("piece") > 0)
+    whole = pieces.where(inside).select(
+        "file", "block_no", "event", F.array_join("data_lines", "\n").alias("data"), "id", "retry_ms"
     )
     data_by_split = F.sort_array(F.collect_list(F.struct("split", "data_lines")))
 
     def last_of(name: str) -> Column:
         return F.max_by(name, F.when(F.col(name).isNotNull(), F.col("split")))
 
-    return (
-        _pieces(_named_lines(lines))
-        .join(split_starts, ["file", "split"])
-        .withColumn("block_no", F.col("blanks_before") + F.col("piece"))
+    joined = (
+        pieces.where(~inside)
         .groupBy("file", "block_no")
         .agg(
-            F.coalesce(last_of("event"), F.lit(DEFAULT_EVENT)).alias("event"),
+            last_of("event").alias("event"),
             F.array_join(F.flatten(data_by_split.getField("data_lines")), "\n").alias("data"),
             last_of("id").alias("id"),
             last_of("retry_ms").alias("retry_ms"),
-            F.bool_or("closed").alias("closed"),
         )
-        .where("closed")
-        .drop("closed")
     )
+    return whole.unionByName(joined).withColumn("event", F.coalesce("event", F.lit(DEFAULT_EVENT)))
 
 
 def _named_lines(lines: DataFrame) -> DataFrame:
@@ -82,11 +92,10 @@ def _named_lines(lines: DataFrame) -> DataFrame:
     )
 
 
-def _pieces(named: DataFrame) -> DataFrame:
-    """What one split holds of each block; `closed` if the block's blank line is in it."""
-    so_far = Window.partitionBy("file", "split").orderBy("line_no").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
+def _pieces(named: DataFrame, starts: DataFrame) -> DataFrame:
+    """What one split holds of each closed block; `closed` if the block's blank line is in it."""
+    split = Window.partitionBy("file", "split").orderBy("line_no")
+    so_far = split.rowsBetween(Window.unboundedPreceding, -1)
     blank = F.col("name").isNull()
 
     def last_of(name: str, value: Column) -> Column:
@@ -95,7 +104,10 @@ def _pieces(named: DataFrame) -> DataFrame:
     data_line = F.when(F.col("name") == "data", F.struct("line_no", "value"))
     return (
         named.withColumn("piece", F.coalesce(F.count_if(blank).over(so_far), F.lit(0)))
-        .groupBy("file", "split", "piece")
+        .join(starts, ["file", "split"])
+        .withColumn("block_no", F.col("blanks_before") + F.col("piece"))
+        .where("block_no < file_blanks")
+        .groupBy("file", "split", "piece", "block_no")
         .agg(
             last_of("event", F.col("value")).alias("event"),
             F.sort_array(F.collect_list(data_line)).getField("value").alias("data_lines"),

@@ -21,8 +21,9 @@ PRODUCER = {
 }
 
 
-def source_options(settings: Settings, stage: str, group: str | None = None, per_trigger: int | None = None) -> dict[str, str]:
-    """Earliest offset on, committed records only; bounded reads stop at the present end."""
+def source_options(settings: Settings, stage: str, group: str | None = None) -> dict[str, str]:
+    """Earliest offset on, committed records only; bounded reads stop at the present end, streams
+    take a bounded number of records at a time."""
     options = {
         "kafka.bootstrap.servers": settings.bootstrap_servers,
         "subscribe": settings.topic(stage),
@@ -33,8 +34,8 @@ def source_options(settings: Settings, stage: str, group: str | None = None, per
         options["kafka.group.id"] = group
     if settings.bounded:
         options["endingOffsets"] = "latest"
-    elif per_trigger:
-        options["maxOffsetsPerTrigger"] = str(per_trigger)
+    else:
+        options["maxOffsetsPerTrigger"] = str(settings.offsets_per_trigger)
     return options
 
 

@@ -6,19 +6,25 @@ written through the file sink, whose commit log makes them exactly-once.
 
 from __future__ import annotations
 
+import time
 from collections import Counter
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from changefeed.operators import clean as C
 from changefeed.operators import stats
 from changefeed.operators.keyed import latest_per_key
-from changefeed.plans.ingest import ordered_events, store_raw, to_table, to_topic
+from changefeed.operators.routing import first_events
+from changefeed.plans.ingest import behind, ordered_events, store_raw, to_table, to_topic
+from changefeed.session import ship_package
 from changefeed.settings import Settings
 from changefeed.sources import capture, files
+from changefeed.sources.log import StateLog
 from changefeed.streaming.wars import edit_wars_stream
 
+COMPACT_EVERY = 50
 PART = "window STRUCT<start: TIMESTAMP, end: TIMESTAMP>, wiki STRING, kind STRING, member STRING, " + ", ".join(
     f"{name} BIGINT" for name in stats.MEASURES
 )
@@ -35,6 +41,9 @@ class Jobs:
     def __init__(self, spark: SparkSession, root: str, settings: Settings = Settings()) -> None:
         self.spark, self.root, self.settings = spark, root.rstrip("/"), settings
         self.ingested: Counter[str] = Counter()
+        self.progress = Progress()
+        spark.streams.addListener(self.progress)
+        ship_package(spark)
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -50,34 +59,109 @@ class Jobs:
         return self._start(writer.partitionBy(*partitions) if partitions else writer, table)
 
     def start_ingest(
-        self, captures: str, wikis: tuple[str, ...] = (), files_per_trigger: int = 100, kafka: bool = False
+        self, captures: str, wikis: tuple[str, ...] = (), files_per_trigger: int | None = None, kafka: bool = False
     ) -> StreamingQuery:
         """Capture files to raw records, in order of the files' modification times.
 
-        `ingested` adds up what was received, produced and skipped, in events and characters.
-        A retried batch replaces its own folder, so the table never doubles; a stream that read
-        the folder before the retry may see its records again, and so may readers of the topic.
+        `ingested` adds up what was received, produced and skipped, in events and characters, and
+        the seconds it took. A batch that is run again after it was stored is left alone; records
+        of a topic may come twice.
         """
-        lines = (
-            self.spark.readStream.option("maxFilesPerTrigger", files_per_trigger)
-            .text(captures)
-            .select("value", "_metadata")
+        limit = ("maxFilesPerTrigger", files_per_trigger) if files_per_trigger else (
+            "maxBytesPerTrigger", self.settings.bytes_per_trigger
         )
+        lines = self.spark.readStream.option(*limit).text(captures).select("value", "_metadata")
 
         def write_batch(batch: DataFrame, batch_id: int) -> None:
-            # Batches come one after another; 2**50 offsets are set aside for each.
-            events = ordered_events(capture.number_lines(batch), first_offset=batch_id << 50)
-            write = to_topic(self.settings) if kafka else to_table(self.path(f"raw/batch={batch_id:08d}"))
-            self.ingested.update(store_raw(events, write, wikis))
+            self._append(capture.number_lines(batch), wikis, kafka, batch_id=batch_id)
 
         return self._start(lines.writeStream.foreachBatch(write_batch), "ingest")
 
+    def ingest_once(
+        self, captures: str, wikis: tuple[str, ...] = (), max_events: int | None = None, kafka: bool = False
+    ) -> dict[str, float]:
+        """Append what has been captured since the stored place, or its first `max_events` events.
+
+        A stream started later leaves out what was taken here. File names must sort in the order
+        of capture.
+        """
+        before = Counter(self.ingested)
+        self._append(capture.read_capture(self.spark, captures), wikis, kafka, max_events=max_events)
+        return {name: self.ingested[name] - before[name] for name in self.ingested}
+
+    def _append(
+        self,
+        lines: DataFrame,
+        wikis: tuple[str, ...],
+        kafka: bool,
+        batch_id: int | None = None,
+        max_events: int | None = None,
+    ) -> None:
+        """One batch of captured lines to a folder of its own: announced, written, and then counted.
+
+        The state holds the next offset, the last batch of the stream, the last place handled, the
+        last place a single run has taken, and the feed's own last event id, from which a
+        capture can go on.
+        """
+        began = time.monotonic()
+        log = StateLog(self.spark, self.path("raw_log"))
+        state = self._ingest_state(log)
+        if batch_id is not None and batch_id <= state["batch"]:
+            return
+        after = state["taken"] if batch_id is not None else state["place"]
+        if batch_id is None and after is not None:
+            lines = lines.where(F.col("file") >= after[0])
+        events = ordered_events(lines, state["next_offset"], after)
+        blocks = capture.sse_blocks(lines)
+        if max_events is not None:
+            events = first_events(events, max_events)
+            last = events.agg(F.max(F.struct("file", "block_no")).alias("last")).first()["last"]
+            blocks = blocks.where(~behind(tuple(last))) if last else blocks.limit(0)
+        seen = blocks.agg(
+            F.max(F.struct("file", "block_no")).alias("last"),
+            F.max_by("id", F.when(F.col("id") != "", F.struct("file", "block_no"))).alias("id"),
+        ).first()
+        total = lines.agg(F.count_if(F.col("line") == "").alias("n")).first()["n"]
+        place = max(filter(None, (state["place"], seen["last"] and list(seen["last"]))), default=None)
+        after_it = state | {
+            "number": state["number"] + 1,
+            "next_offset": state["next_offset"] + total,
+            "place": place,
+            "last_event_id": seen["id"] or state["last_event_id"],
+            **({"batch": batch_id} if batch_id is not None else {"taken": place}),
+        }
+        folder = self.path(f"raw/batch={after_it['number']:012d}")
+        if not kafka:
+            log.write(state | {"pending": {"folder": folder, "state": after_it}})
+        write = to_topic(self.settings) if kafka else to_table(folder)
+        self.ingested.update(store_raw(events, write, wikis))
+        log.write(after_it)
+        self.ingested.update({"seconds": time.monotonic() - began})
+
+    def _ingest_state(self, log: StateLog) -> dict:
+        """The state of ingest. A batch that was announced counts if its folder is complete, and is else taken back."""
+        state = {"number": 0, "next_offset": 0, "batch": -1, "place": None, "taken": None, "last_event_id": None}
+        state |= log.read()
+        pending = state.pop("pending", None)
+        if pending:
+            if log.complete(pending["folder"]):
+                state = pending["state"]
+            else:
+                log.remove(pending["folder"])
+            log.write(state)
+        return state
+
+    def ingest_rate(self) -> float:
+        """Events received per second of work."""
+        return self.ingested["received"] / self.ingested["seconds"] if self.ingested["seconds"] else 0.0
+
     def start_clean(self, raw: DataFrame, lossless: bool = False) -> StreamingQuery:
         """Raw records to both outlets, committed together."""
         return self._to_table(C.split_raw(raw, lossless).drop("key"), "edits", "outlet")
 
     def clean_edits(self, stream: bool = True) -> DataFrame:
-        return C.clean_of(files.split_edits_table(self.spark, self.path("edits"), stream))
+        limit = self.settings.bytes_per_trigger
+        return C.clean_of(files.split_edits_table(self.spark, self.path("edits"), stream, limit))
 
     def start_stats(self, clean: DataFrame) -> StreamingQuery:
         """Final windows, each written once."""
@@ -92,20 +176,78 @@ class Jobs:
         """Any writer of records, such as one to a topic, under this root's checkpoints."""
         return self._start(writer, f"{job}_records")
 
-    def start_stats_upserts(self, clean: DataFrame) -> StreamingQuery:
-        """Early windows, corrected as edits come in: each batch writes the parts it changed."""
+    def start_stats_upserts(self, clean: DataFrame, compact_every: int = COMPACT_EVERY) -> StreamingQuery:
+        """Early windows, corrected as edits come in: each batch writes the parts it changed.
+
+        Every so many batches the newest version of every part is written together, and what it
+        was made of goes with the next compaction.
+        """
         parts = stats.window_parts(clean, self.settings.window_minutes, self.settings.out_of_order_seconds)
 
         def write_batch(batch: DataFrame, batch_id: int) -> None:
-            batch.write.mode("overwrite").parquet(self.path(f"stats_parts/batch={batch_id:08d}"))
+            log = StateLog(self.spark, self.path("stats_log"))
+            state = {"table": None, "batches": [], "stale": []} | log.read()
+            if batch_id in state["batches"]:
+                return
+            folder = self.path(f"stats_parts/batch={batch_id:08d}")
+            batch.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").parquet(folder)
+            state["batches"].append(batch_id)
+            stale = []
+            if len(state["batches"]) >= compact_every:
+                table = self.path(f"stats_parts/upto={batch_id:08d}")
+                self._newest_parts(state).write.mode("overwrite").parquet(table)
+                stale = [self.path(f"stats_parts/batch={n:08d}") for n in state["batches"]]
+                stale += [state["table"]] if state["table"] else []
+                for old in state["stale"]:
+                    log.remove(old)
+                state |= {"table": table, "batches": [], "stale": stale}
+            log.write(state)
 
         return self._start(parts.writeStream.outputMode("update").foreachBatch(write_batch), "stats_upserts")
 
+    def _newest_parts(self, state: dict) -> DataFrame:
+        """The newest version of every part, of the compacted table and the batches since."""
+        paths = [self.path(f"stats_parts/batch={n:08d}") for n in state["batches"]]
+        paths += [state["table"]] if state["table"] else []
+        parts = self.spark.read.schema(f"{PART}, batch INT").parquet(*paths)
+        return latest_per_key(parts, keys=("window", "wiki", "kind", "member"), order="batch")
+
     def corrected_stats(self) -> DataFrame:
         """Statistics from the newest version of every part."""
-        parts = files.read_table(self.spark, self.path("stats_parts"), f"{PART}, batch INT")
-        newest = latest_per_key(parts, keys=("window", "wiki", "kind", "member"), order="batch")
-        return stats.roll_up(newest.drop("batch"))
+        state = {"table": None, "batches": []} | StateLog(self.spark, self.path("stats_log")).read()
+        return stats.roll_up(self._newest_parts(state).drop("batch"))
+
+    def changed_stats(self, since: int) -> DataFrame:
+        """Whole rows of the windows that batches after `since` have changed: the corrections to send on."""
+        state = {"table": None, "batches": []} | StateLog(self.spark, self.path("stats_log")).read()
+        parts = self._newest_parts(state)
+        changed = parts.where(F.col("batch") > since).select("window", "wiki").distinct()
+        same = [parts[name].eqNullSafe(changed[name]) for name in ("window", "wiki")]
+        return stats.roll_up(parts.join(changed, same, "left_semi").drop("batch"))
+
+
+class Progress(StreamingQueryListener):
+    """Adds up, per job, the rows read and those that came too late for the watermark."""
+
+    def __init__(self) -> None:
+        self.late: Counter[str] = Counter()
+        self.rows: Counter[str] = Counter()
+        self.rate: dict[str, float] = {}
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        self.late[progress.name] += sum(op.numRowsDroppedByWatermark for op in progress.stateOperators)
+        self.rows[progress.name] += progress.numInputRows
+        self.rate[progress.name] = progress.inputRowsPerSecond
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
 
 
 def run_for(query: StreamingQuery, seconds: float) -> None:

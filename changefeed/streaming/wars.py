@@ -21,9 +21,9 @@ from changefeed.functions import edits as E
 from changefeed.operators.wars import PAGE
 from changefeed.settings import check_positive
 
-WAITING = "micros ARRAY<BIGINT>, offset ARRAY<BIGINT>, user ARRAY<STRING>, is_bot ARRAY<BOOLEAN>, byte_delta ARRAY<INT>"
-EDIT = ("micros", "offset", "user", "is_bot", "byte_delta")
-MATCH = "wiki STRING, title STRING, reverter STRING, opponent STRING, started BIGINT, ended BIGINT, swing BIGINT"
+WAITING = "micros ARRAY<BIGINT>, offset ARRAY<BIGINT>, user ARRAY<STRING>, person ARRAY<BOOLEAN>, byte_delta ARRAY<STRING>"
+EDIT = ("micros", "offset", "user", "person", "byte_delta")
+MATCH = "wiki STRING, title STRING, reverter STRING, opponent STRING, started BIGINT, ended BIGINT, swing STRING"
 
 
 def edit_wars_stream(clean: DataFrame, within_seconds: int = 600, delay_seconds: int = 15) -> DataFrame:
@@ -33,7 +33,16 @@ def edit_wars_stream(clean: DataFrame, within_seconds: int = 600, delay_seconds:
     edits = (
         clean.where(F.col("event_time").isNotNull() & F.col("wiki").isNotNull() & F.col("title").isNotNull())
         .withWatermark("event_time", f"{delay_seconds} seconds")
-        .select(*PAGE, "event_time", F.unix_micros("event_time").alias("micros"), *EDIT[1:])
+        .select(
+            *PAGE,
+            "event_time",
+            F.unix_micros("event_time").alias("micros"),
+            F.coalesce("offset", F.lit(0)).cast("bigint").alias("offset"),
+            "user",
+            # kept free of null numbers and flags, which pandas would turn into floats
+            F.coalesce(~F.col("is_bot"), F.lit(False)).alias("person"),
+            F.col("byte_delta").cast("string").alias("byte_delta"),
+        )
     )
     matches = edits.groupBy(*PAGE).applyInPandasWithState(
         partial(_follow_page, within_seconds * 1_000_000),
@@ -49,7 +58,7 @@ def edit_wars_stream(clean: DataFrame, within_seconds: int = 600, delay_seconds:
         F.timestamp_micros("started").alias("started_at"),
         F.timestamp_micros("ended").alias("ended_at"),
         F.floor((F.col("ended") - F.col("started")) / 1_000_000).alias("seconds_elapsed"),
-        E.wrapped_int(F.col("swing")).alias("swing_bytes"),
+        E.wrapped_int(F.col("swing").cast("bigint")).alias("swing_bytes"),
     ).select(*schemas.names(schemas.EDIT_WAR))
 
 
@@ -80,13 +89,15 @@ def _settled_matches(edits: list[tuple], settled: int, watermark: int, within: i
     """Matches among the settled edits, and how many leading edits can be forgotten."""
     matches, at = [], 0
     while at < settled:
-        start, _, user, is_bot, _ = edits[at]
+        start, _, user, person, _ = edits[at]
         if at + 2 < settled:
-            _, _, opponent, opponent_is_bot, opponent_delta = edits[at + 1]
+            _, _, opponent, opponent_person, opponent_delta = edits[at + 1]
             end, _, last_user, _, last_delta = edits[at + 2]
-            people = not (is_bot or opponent_is_bot)
-            if people and opponent != user and last_user == user and end - start < within:
-                matches.append((user, opponent, start, end, opponent_delta + last_delta))
+            known = user is not None and opponent is not None and last_user is not None
+            if known and person and opponent_person and opponent != user and last_user == user and end - start < within:
+                deltas = (opponent_delta, last_delta)
+                swing = None if None in deltas else str(sum(map(int, deltas)))
+                matches.append((user, opponent, start, end, swing))
                 at += 3
                 continue
         elif watermark < start + within:

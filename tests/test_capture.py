@@ -25,28 +25,28 @@ def message(data, id=None, retry=None, event="message"):
 
 
 CASES = [
-    ('event: message\ndata: {"a": 1}\n\n', [message('{"a": 1}')]),
-    (":ok\n\n:ok\n\n", []),
-    ("data: line one\ndata: line two\n\n", [message("line one\nline two")]),
-    ("data:  two spaces\n\n", [message(" two spaces")]),
-    ("data:none\n\n", [message("none")]),
-    ("id: 42\n\n", []),
-    ("id: first\ndata: x\n\ndata: y\n\n", [message("x", "first"), message("y")]),
-    ("weird: value\ndata: x\n\n", [message("x")]),
-    ("retry: 5000\ndata: x\n\n", [message("x", retry=5000)]),
-    ("retry: x\ndata: q\n\n", [message("q")]),
-    ("retry: 7\nretry: x\ndata: q\n\n", [message("q", retry=7)]),
-    ("data: x\r\n\r\n", [message("x")]),
-    ("data: tail", []),
-    ("data: tail\n", []),
-    ("data: x\n\ndata: tail\n", [message("x")]),
-    ("\n\n\ndata: x\n\n", [message("x")]),
-    ("event: a\nevent: b\nid: 1\nid: 2\ndata: x\n\n", [message("x", "2", event="b")]),
-    ("event: a\n\ndata: x\n\n", [message("x")]),
+    ('event: change\ndata: {"page": "Moss", "n": 3}\n\n', [message('{"page": "Moss", "n": 3}', event="change")]),
+    (": still here\n\n: still here\n\n", []),
+    ("data: upper half\ndata: lower half\n\n", [message("upper half\nlower half")]),
+    ("data:   indented\n\n", [message("  indented")]),
+    ("data:tight\n\n", [message("tight")]),
+    ("id: 1700-4\n\n", []),
+    ("id: k7\ndata: moss\n\ndata: fern\n\n", [message("moss", "k7"), message("fern")]),
+    ("colour: green\ndata: moss\n\n", [message("moss")]),
+    ("retry: 250\ndata: moss\n\n", [message("moss", retry=250)]),
+    ("retry: later\ndata: moss\n\n", [message("moss")]),
+    ("retry: 31\nretry: never\ndata: moss\n\n", [message("moss", retry=31)]),
+    ("data: moss\r\n\r\n", [message("moss")]),
+    ("data: cut off", []),
+    ("data: cut off\n", []),
+    ("data: moss\n\ndata: cut off\n", [message("moss")]),
+    ("\n\n\ndata: moss\n\n", [message("moss")]),
+    ("event: one\nevent: two\nid: 8\nid: 9\ndata: moss\n\n", [message("moss", "9", event="two")]),
+    ("event: lost\n\ndata: moss\n\n", [message("moss")]),
     ("data\n\n", []),
-    ("data\ndata: x\n\n", [message("\nx")]),
-    ("data: a:b: c\n\n", [message("a:b: c")]),
-    ("id\ndata: x\n\n", [message("x", "")]),
+    ("data\ndata: fern\n\n", [message("\nfern")]),
+    ("data: 12:30: noon\n\n", [message("12:30: noon")]),
+    ("id\ndata: moss\n\n", [message("moss", "")]),
 ]
 
 
@@ -61,13 +61,13 @@ def test_blocks(blocks):
 @pytest.mark.parametrize(
     "texts, position",
     [
-        (["id: abc\ndata: x\n\n"], "abc"),
-        (["id: 42\n\n"], "42"),
-        (["id: first\ndata: x\n\ndata: y\n\n"], "first"),
-        (["id: first\ndata: x\n\nid:\ndata: y\n\n"], "first"),
-        (["id: a\ndata: x\n\n", "id: b\ndata: y\n\n", "data: z\n\n"], "b"),
-        (["id: a\ndata: x\n\nid: open\ndata: y\n"], "a"),
-        (["data: x\n\n"], None),
+        (["id: 1700-4\ndata: moss\n\n"], "1700-4"),
+        (["id: 55\n\n"], "55"),
+        (["id: k7\ndata: moss\n\ndata: fern\n\n"], "k7"),
+        (["id: k7\ndata: moss\n\nid:\ndata: fern\n\n"], "k7"),
+        (["id: k1\ndata: moss\n\n", "id: k2\ndata: fern\n\n", "data: reed\n\n"], "k2"),
+        (["id: k1\ndata: moss\n\nid: k2\ndata: cut off\n"], "k1"),
+        (["data: moss\n\n"], None),
     ],
 )
 def test_resume_position(blocks, texts, position):
@@ -97,3 +97,11 @@ def test_blocks_across_file_splits(spark, blocks, split_bytes):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_unclosed_lines_are_not_gathered(spark, blocks):
+    """A capture without a closing blank line gives nothing, and its lines are left out row by row."""
+    read = blocks("data: moss\n\n" + "data: x\n" * 1000)
+    assert events_of(read) == [message("moss")]
+    plan = read._jdf.queryExecution().optimizedPlan().toString()
+    assert "file_blanks" in plan and plan.index("collect_list") < plan.index("file_blanks")

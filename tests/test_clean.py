@@ -51,6 +51,21 @@ def test_clean(split):
         assert {name: rows[i][name] for name in expected} == expected, changes
 
 
+def test_huge_numbers_and_deep_nesting_do_not_lose_the_record(split):
+    odd = [record(extra=0).replace('"extra": 0', extra) for extra in ('"extra": ' + "9" * 1200, '"extra": ' + "[" * 1200 + "]" * 1200)]
+    rows = C.clean_of(split(*odd)).collect()
+    assert [row["wiki"] for row in rows] == ["enwiki"] * 2
+
+
+def test_no_edit_vanishes_when_lossless(split):
+    values = [record(), record(timestamp=1700000000 * 10**6), record(timestamp=-(10**15)), record(type=...), "not json"]
+    both = split(*values, lossless=True)
+    reasons = sorted(row["reject_reason"] for row in C.dead_letters_of(both).collect())
+    assert reasons == ["bad_timestamp", "bad_timestamp", "missing_type", "missing_wiki"]
+    clean = C.clean_of(both)
+    assert clean.count() == 1 and clean.where("event_time is null").count() == 0
+
+
 def test_clean_columns_and_event_time(split):
     rows = C.clean_of(split(record()))
     assert rows.columns == [*schemas.names(schemas.CLEAN_EDIT), "offset"]

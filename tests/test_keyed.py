@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from changefeed import schemas
+from changefeed.functions import edits as E
 from changefeed.operators import clean as C
 from changefeed.operators import keyed, stats
 from tests.test_clean import record
@@ -28,6 +29,26 @@ def test_key_is_not_in_the_value(clean):
     assert value["event_time"] == "2023-11-14 22:13:20Z"
 
 
+def test_records_do_not_depend_on_the_session_zone(spark, clean):
+    def records():
+        dead = C.dlq_edits(spark.createDataFrame([(0, record(user=...))], "offset bigint, value string")).drop("rejected_at")
+        wire = [keyed.encode_keyed(clean), keyed.encode_upsert(stats.wiki_stats(clean)), keyed.encode_append(dead)]
+        instants = keyed.decode_keyed(wire[0]).select(F.unix_micros("event_time"))
+        return [sorted(map(str, rows.collect())) for rows in (*wire, instants)]
+
+    utc = records()
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert records() == utc
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_wire_timestamps_keep_fractions(spark):
+    rows = spark.sql("select timestamp '2024-01-01 00:00:07.25Z' t union all select timestamp '1965-03-04 05:06:07Z'")
+    assert sorted(r[0] for r in rows.select(E.wire_timestamp(F.col("t"))).collect()) == ["1965-03-04 05:06:07Z", "2024-01-01 00:00:07.25Z"]
+
+
 def test_nulls_are_written(clean):
     rows = keyed.encode_keyed(clean).orderBy("offset").collect()
     value = json.loads(rows[2]["value"])
@@ -95,3 +116,8 @@ def test_counts_and_tail(spark):
     counts = keyed.topic_counts({"x": records, "none": records.where("false")})
     assert {tuple(row) for row in counts.collect()} == {("x", 100), ("none", 0)}
     assert [row["offset"] for row in keyed.tail(records, 3).collect()] == [0, 1, 2]
+
+
+def test_compaction_sorts_no_rows(clean):
+    plan = keyed.latest_per_key(keyed.encode_keyed(clean))._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan

@@ -21,9 +21,19 @@ PAYLOADS = [
     ('"text"', None),
     ("5", None),
     ("null", None),
+    ('{"wiki":"first","wiki":"second"}', "second"),
+    ('{"wiki":"nan","size":NaN}', "nan"),
+    ('{"wiki":"digits","n":' + "7" * 1200 + "}", "digits"),
+    ('{"wiki":"nested","n":' + "[" * 1200 + "]" * 1200 + "}", "nested"),
 ]
 
 
+def test_very_long_strings(spark):
+    row = [('{"wiki":"long","comment":"' + "x" * 21_000_000 + '"}',)]
+    events = spark.createDataFrame(row, "data string")
+    assert routing.ingest_metrics(events).first()["produced"] == 1
+
+
 @pytest.fixture
 def events(spark):
     rows = [(i, payload) for i, (payload, _) in enumerate(PAYLOADS)]
@@ -48,7 +58,7 @@ def test_limit_counts_events_before_filtering(events):
 
 def test_metrics(events):
     row = routing.ingest_metrics(events).first()
-    assert (row["received"], row["produced"], row["skipped"]) == (18, 7, 11)
+    assert (row["received"], row["produced"], row["skipped"]) == (22, 11, 11)
     assert row["bytes_in"] == sum(len(payload) for payload, _ in PAYLOADS)
     assert routing.ingest_metrics(events, {"dewiki"}).first()["produced"] == 1
 

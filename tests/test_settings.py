@@ -1,3 +1,7 @@
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 from changefeed import Settings, schemas
@@ -40,7 +44,7 @@ def test_environment_overrides():
 
 
 def test_kafka_source_options():
-    options = kafka.source_options(Settings(), "clean", group="stats", per_trigger=1000)
+    options = kafka.source_options(Settings(offsets_per_trigger=1000), "clean", group="stats")
     assert options["subscribe"] == "wiki.edits.clean"
     assert options["startingOffsets"] == "earliest"
     assert options["kafka.isolation.level"] == "read_committed"
@@ -50,7 +54,7 @@ def test_kafka_source_options():
 
 
 def test_kafka_bounded_source_stops_at_the_latest_offset():
-    options = kafka.source_options(Settings(bounded=True), "raw", per_trigger=1000)
+    options = kafka.source_options(Settings(bounded=True), "raw")
     assert options["endingOffsets"] == "latest"
     assert "maxOffsetsPerTrigger" not in options
 
@@ -82,3 +86,23 @@ def test_shared_folder_is_read_from_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert scratch_table(spark, "x").startswith(shared_folder(spark))
     assert scratch_table(spark, "x") != scratch_table(spark, "x")
+
+
+def test_nothing_is_left_in_the_shared_folder(tmp_path):
+    """Intermediate tables and checkpoints go with the session."""
+    root, shared = Path(__file__).resolve().parents[1], tmp_path / "shared"
+    script = tmp_path / "run.py"
+    script.write_text(
+        f"""
+import sys
+sys.path.insert(0, {str(root)!r})
+from changefeed.session import build_session, checkpointed, scratch_table
+spark = build_session(master="local[2]", **{{"spark.ui.enabled": "false", "spark.checkpoint.dir": {str(shared)!r}}})
+spark.range(5).write.parquet(scratch_table(spark, "numbers"))
+print("before", checkpointed(spark.range(5)).count())
+spark.stop()
+"""
+    )
+    done = subprocess.run([sys.executable, str(script)], capture_output=True, text=True, timeout=300)
+    assert "before 5" in done.stdout, done.stderr[-2000:]
+    assert not [path for path in shared.rglob("*") if path.is_file()]

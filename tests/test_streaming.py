@@ -1,6 +1,10 @@
 import json
 import os
 import random
+import subprocess
+import sys
+import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,16 +12,18 @@ from pyspark.sql import functions as F
 from changefeed.operators import stats
 from changefeed.operators.wars import edit_wars
 from changefeed.__main__ import main as command_line
-from changefeed.plans import ingest, replay, topics
+from changefeed.plans import replay, topics
 from changefeed.session import scratch_table
 from changefeed.settings import Settings
-from changefeed.sources import files
+from changefeed.sources import capture, files
+from changefeed.sources.log import StateLog
 from changefeed.streaming.jobs import Jobs, finish, run_for
 from tests.brute import wars as brute_wars
 from tests.test_clean import record
 from tests.test_wars import found
 
 T0 = 1700000040
+SF_DIR = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
 NOW = Settings(bounded=True)
 
 
@@ -179,17 +185,153 @@ def test_ingest_and_clean_jobs(spark, capture_folder):
     assert [r["reject_reason"] for r in split.where("outlet = 'dlq'").collect()] == ["missing_user"]
 
 
-def test_bounded_ingest_counts_as_it_writes(spark, capture_folder, tmp_path):
-    root = str(tmp_path / "root")
-    to_raw = ingest.to_table(f"{root}/raw")
-    counted = ingest.ingest(spark, capture_folder, to_raw)
-    assert (counted["received"], counted["produced"], counted["skipped"]) == (40, 39, 1)
-    assert files.raw_records(spark, f"{root}/raw").count() == 39
-    counted = ingest.ingest(spark, capture_folder, to_raw, max_events=15)
-    assert (counted["received"], counted["produced"]) == (15, 14)
-    titles = {json.loads(row["value"])["title"] for row in files.raw_records(spark, f"{root}/raw").collect()}
-    assert titles == {f"T{i}" for i in range(15) if i not in (3, 5)} | {"T"}
-    assert ingest.ingest(spark, capture_folder, to_raw, wikis=["dewiki"])["skipped"] == 40
+def titles(spark, jobs):
+    rows = files.raw_records(spark, jobs.path("raw")).orderBy("offset").collect()
+    return [json.loads(row["value"])["title"] for row in rows]
+
+
+def add_capture(folder, part, first, count):
+    path = os.path.join(folder, f"capture-{part}.txt")
+    with open(path, "w") as file:
+        file.write("".join(f"id: {i}\ndata: {record(title=f'T{i}')}\n\n" for i in range(first, first + count)))
+    os.utime(path, (1700000000 + part, 1700000000 + part))
+
+
+def test_ingest_appends_and_resumes(spark, tmp_path):
+    """A stream, single runs and the stream again lose nothing and double nothing."""
+    folder = tmp_path / "captures"
+    folder.mkdir()
+    jobs = Jobs(spark, scratch_table(spark, "test"), NOW)
+    add_capture(folder, 0, 0, 20)
+    finish(jobs.start_ingest(str(folder)))
+    add_capture(folder, 1, 20, 10)
+    counted = jobs.ingest_once(str(folder), max_events=3)
+    assert (counted["received"], counted["produced"]) == (3, 3)
+    assert titles(spark, jobs) == [f"T{i}" for i in range(23)]
+    assert jobs.ingest_once(str(folder), max_events=2)["received"] == 2
+    add_capture(folder, 2, 30, 4)
+    finish(jobs.start_ingest(str(folder)))
+    assert titles(spark, jobs) == [f"T{i}" for i in range(34)]
+    finish(Jobs(spark, jobs.root, NOW).start_ingest(str(folder)))
+    assert titles(spark, jobs) == [f"T{i}" for i in range(34)]
+    assert jobs.ingest_once(str(folder))["received"] == 0
+    assert StateLog(spark, jobs.path("raw_log")).read()["last_event_id"] == "33"
+    assert jobs.ingest_rate() > 0
+
+
+def test_batches_without_end_and_run_again(spark, tmp_path):
+    folder = tmp_path / "captures"
+    folder.mkdir()
+    add_capture(folder, 0, 0, 5)
+    jobs = Jobs(spark, scratch_table(spark, "test"), NOW)
+    lines = capture.read_capture(spark, str(folder))
+    for batch_id in (10_000_000, 10_000_000, 9_999_999):
+        jobs._append(lines, (), False, batch_id=batch_id)
+    assert titles(spark, jobs) == [f"T{i}" for i in range(5)]
+    assert jobs.ingested["received"] == 5
+
+
+def test_an_announced_batch_counts_if_it_is_complete(spark, tmp_path):
+    folder = tmp_path / "captures"
+    folder.mkdir()
+    add_capture(folder, 0, 0, 5)
+    jobs = Jobs(spark, scratch_table(spark, "test"), NOW)
+    log = StateLog(spark, jobs.path("raw_log"))
+    jobs.ingest_once(str(folder))
+    done = log.read()
+    # the driver stopped after the rows were written but before they were counted
+    log.write({"pending": {"folder": jobs.path("raw/batch=000000000001"), "state": done}})
+    assert jobs.ingest_once(str(folder))["received"] == 0
+    assert titles(spark, jobs) == [f"T{i}" for i in range(5)]
+    # and here before they were complete
+    add_capture(folder, 1, 5, 2)
+    log.write(done | {"pending": {"folder": jobs.path("raw/batch=000000000009"), "state": {}}})
+    assert jobs.ingest_once(str(folder))["received"] == 2
+    assert titles(spark, jobs) == [f"T{i}" for i in range(7)]
+
+
+def test_a_backlog_takes_several_batches(spark, edits, tmp_path):
+    rows = war_rows(5, n=200) + closer(T0 + 10**6)
+    jobs = Jobs(spark, scratch_table(spark, "test"), Settings(bounded=True, bytes_per_trigger=1))
+    for at in range(0, len(rows), 50):
+        edits(rows[at : at + 50]).coalesce(1).write.mode("append").parquet(jobs.path("input"))
+    schema = edits(rows[:1]).schema
+    stream = files.read_table(spark, jobs.path("input"), schema, stream=True, per_trigger=jobs.settings.bytes_per_trigger)
+    query = jobs.start_wars(stream)
+    finish(query)
+    assert sum(p.numInputRows > 0 for p in query.recentProgress) == 5
+    assert found(spark.read.parquet(jobs.path("wars"))) == brute_wars(rows, 600)
+
+
+def test_late_edits_are_counted(spark, edits):
+    feed = Feed(spark, edits, Jobs.start_stats)
+    feed.add(hand_rows())
+    feed.add(closer(T0 + 2000))
+    feed.add([("enwiki", "P", "A", False, 5, "edit", T0 + 10, 6)] + closer(T0 + 2300))
+    for _ in range(50):
+        if feed.jobs.progress.late["stats"]:
+            break
+        time.sleep(0.1)
+    assert feed.jobs.progress.late["stats"] >= 1 and feed.jobs.progress.rows["stats"] >= 8
+
+
+def test_parts_are_compacted(spark, edits):
+    rows = hand_rows()
+    feed = Feed(spark, edits, lambda jobs, clean: jobs.start_stats_upserts(clean, compact_every=2))
+    for row in rows:
+        feed.add([row])
+    assert same(feed.jobs.corrected_stats(), stats.wiki_stats(edits(rows)))
+    state = StateLog(spark, feed.jobs.path("stats_log")).read()
+    assert len(state["batches"]) < 2 and state["table"]
+    kept = os.listdir(feed.jobs.path("stats_parts").removeprefix("file:"))
+    assert len(kept) <= 6
+    newest = max(int(name[5:]) for name in kept if name.startswith(("upto=", "batch=")) for name in [name.replace("batch=", "upto=")])
+    changed = feed.jobs.changed_stats(newest - 1)
+    assert 0 < changed.count() < feed.jobs.corrected_stats().count()
+    assert changed.exceptAll(feed.jobs.corrected_stats()).count() == 0
+
+
+def test_nulls_give_the_same_on_a_stream_and_in_a_batch(spark, edits):
+    rows = []
+    for page, (users, bots, deltas) in enumerate(
+        [
+            (("A", None, "A"), (False,) * 3, (1, 2, 3)),
+            ((None, "B", None), (False,) * 3, (1, 2, 3)),
+            (("A", "B", "A"), (None, False, False), (1, 2, 3)),
+            (("A", "B", "A"), (False, None, False), (1, 2, 3)),
+            (("A", "B", "A"), (False, False, None), (1, 2, 3)),
+            (("A", "B", "A"), (False,) * 3, (1, None, 3)),
+            (("A", "B", "A"), (False,) * 3, (None, 2, 3)),
+            (("A", "B", "A"), (False,) * 3, (1, 2, None)),
+        ]
+    ):
+        for k in range(3):
+            rows.append(("w", f"P{page}", users[k], bots[k], deltas[k], "edit", T0 + k, 10 * page + k))
+    feed = Feed(spark, edits, Jobs.start_wars)
+    feed.add(rows)
+    feed.add(closer(T0 + 10**6))
+    batch = edit_wars(edits(rows))
+    assert batch.count() == 4
+    assert same(spark.read.parquet(feed.jobs.path("wars")), batch)
+
+
+def test_wars_start_from_any_folder(tmp_path):
+    """Only the driver knows where the package lies; executors get it from the session."""
+    root = Path(__file__).resolve().parents[1]
+    script = tmp_path / "run.py"
+    script.write_text(
+        f"""
+import sys
+sys.path.insert(0, {str(root)!r})
+from changefeed.session import build_session, scratch_table
+import __spark_entry__ as entry
+spark = build_session(master="local[2]", **{{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "2", "spark.checkpoint.dir": {str(tmp_path / "shared")!r}}})
+print("rows", entry.queries()["stream_wars"](spark, {SF_DIR!r}).count())
+"""
+    )
+    env = {name: value for name, value in os.environ.items() if name != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "rows" in done.stdout, done.stderr[-2000:]
 
 
 def test_command_line(spark, capture_folder, tmp_path, capsys):
