@@ -3,21 +3,29 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changefeed.llm import decontaminate, language, lattice, licenses, lines, minhash, packing, secret_scan, toxicity, warc
 from changefeed.llm.oracle import ORACLE_SQL  # noqa: F401
-from changefeed.session import scratch_table
+from changefeed.session import scratch_table, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
 def query(build: Query) -> Query:
-    QUERIES[build.__name__] = build
-    return build
+    """Register under the function's name; executors get the package first."""
+
+    @wraps(build)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return build(spark, sf_dir)
+
+    QUERIES[build.__name__] = run
+    return run
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from changefeed.llm import decontaminate, lines, minhash, packing, toxicity
 from changefeed.llm.components import stored
 from changefeed.llm.queries import read
+from changefeed.session import ship_package
 
 ORACLE_SQL = None  # toxicity, sketches and tokens are beyond SQL; tests compare with plain Python
 
@@ -42,6 +43,7 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over `documents`; what each returns is written to the shared folder and read back."""
+    ship_package(spark)
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
