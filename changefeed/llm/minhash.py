@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from changefeed.llm.components import stored
 from changefeed.llm.near import Likeness, near_components
 from changefeed.llm.sketch import bands, sketches
-from changefeed.llm.words import SPACES, U, ascii_lower, mix, runs, text_words
+from changefeed.llm.words import SPACES, U, ascii_lower, mix, runs, slices, text_words
 
 SHINGLE_WORDS = 5
 PERCENT = 75
@@ -29,10 +29,18 @@ def document_sets(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 LIKENESS = Likeness(document_sets, BINS, ROWS, PERCENT, slack=0.17)
 
 
+def parts_of(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[str | None]]]:
+    """Ids and texts in parts of bounded size."""
+    for batch in batches:
+        done = 0
+        for texts in slices(batch.column("text").to_pylist()):
+            yield batch.column("doc_id").slice(done, len(texts)), texts
+            done += len(texts)
+
+
 def profiles(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Set size, two sums that tell whole sets apart, and band keys."""
-    for batch in batches:
-        texts = batch.column("text").to_pylist()
+    for ids, texts in parts_of(batches):
         flat, sizes = document_sets(texts)
         sums = []
         for part in (flat, mix(flat ^ U(0xA5A5A5A5A5A5A5A5))):
@@ -42,7 +50,7 @@ def profiles(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = bands(sketches(flat, sizes, BINS), ROWS)
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column("doc_id"),
+                ids,
                 pa.array(sizes),
                 pa.array(sums[0]),
                 pa.array(sums[1]),

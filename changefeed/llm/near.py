@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from changefeed.llm.components import connected_components, measured, stored
 from changefeed.llm.sketch import bands, compact, sketches
+from changefeed.llm.words import slices
 
 BLOCK = 512
 BLOCK_CHARS = 4_000_000
@@ -40,14 +41,18 @@ class Likeness:
     slack: float
 
     def sketch(self, texts: list[str | None]) -> np.ndarray:
-        return sketches(*self.shingles(texts), self.bins)
+        parts = [sketches(*self.shingles(part), self.bins) for part in slices(texts)]
+        return np.concatenate([np.zeros((0, self.bins), np.uint64), *parts])
 
     def keys(self, texts: list[str | None]) -> np.ndarray:
         return bands(self.sketch(texts), self.rows)
 
     def sets(self, texts: list[str | None]) -> list[np.ndarray]:
-        flat, sizes = self.shingles(texts)
-        return [np.unique(part) for part in np.split(flat, np.cumsum(sizes)[:-1])] if len(sizes) else []
+        found = []
+        for part in slices(texts):
+            flat, sizes = self.shingles(part)
+            found += [np.unique(items) for items in np.split(flat, np.cumsum(sizes)[:-1])]
+        return found
 
     def alike(self, a: np.ndarray, b: np.ndarray) -> bool:
         shared = len(np.intersect1d(a, b, assume_unique=True))

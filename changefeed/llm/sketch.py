@@ -14,6 +14,7 @@ import numpy as np
 from changefeed.llm.words import RUN, U, mix
 
 EMPTY = np.iinfo(np.uint64).max
+CHUNK = 1 << 20
 ROUND_SHIFT = U(54)
 LOW = U((1 << 54) - 1)
 SEEDS = np.random.default_rng(20240302).integers(1 << 63, size=2048, dtype=np.uint64)
@@ -27,12 +28,14 @@ def sketches(elements: np.ndarray, sizes: np.ndarray, bins: int) -> np.ndarray:
     for turn in range(2 * bins):
         if not len(elements):
             break
-        hashed = mix(elements ^ SEEDS[turn])
-        if turn < bins:
-            place = (((hashed >> U(32)) * U(bins)) >> U(32)).astype(np.int64)
-        else:
-            place = turn - bins
-        np.minimum.at(out, owner * bins + place, (U(turn) << ROUND_SHIFT) | (hashed & LOW))
+        for at in range(0, len(elements), CHUNK):  # what is made on the way stays small, however large the sets
+            hashed = mix(elements[at : at + CHUNK] ^ SEEDS[turn])
+            if turn < bins:
+                place = (((hashed >> U(32)) * U(bins)) >> U(32)).astype(np.int64)
+            else:
+                place = turn - bins
+            value = (U(turn) << ROUND_SHIFT) | (hashed & LOW)
+            np.minimum.at(out, owner[at : at + CHUNK] * bins + place, value)
         live = np.unique(owner)
         open_sets = np.zeros(len(sizes), bool)
         open_sets[live] = (table[live] == EMPTY).any(axis=1)

@@ -163,3 +163,17 @@ def piece_runs(texts: list[str], length: int) -> tuple[np.ndarray, np.ndarray]:
     whole = (left >= length) | (first & (left < length))
     owner = np.repeat(np.arange(len(texts)), lengths)
     return mix(total[whole]), np.bincount(owner[whole], minlength=len(texts))
+
+
+def slices(texts: list[str | None], size: int = SEGMENT_BYTES) -> Iterator[list[str | None]]:
+    """The texts in order, in lists of about `size` characters or one longer text."""
+    part: list[str | None] = []
+    filled = 0
+    for text in texts:
+        part.append(text)
+        filled += len(text or "") + 1
+        if filled >= size:
+            yield part
+            part, filled = [], 0
+    if part:
+        yield part
