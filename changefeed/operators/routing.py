@@ -12,6 +12,7 @@ from changefeed import schemas
 UNKNOWN = "unknown"
 
 
+FIELD = "v STRUCT<wiki: STRING>"
 ITEM = "ARRAY<STRUCT<wiki: STRING, meta: STRING>>"
 
 
@@ -21,9 +22,9 @@ def _is_object(payload: Column, items: Column) -> Column:
     The parser stops after the first value, so trailing text is found by parsing the payload
     as an array item; only a payload that could close that array itself is parsed again.
     """
-    as_field = F.from_json(F.concat(F.lit('{"v":'), payload, F.lit("}")), "v STRING", schemas.JSON_LIMITS)
+    as_field = F.from_json(F.concat(F.lit('{"v":'), payload, F.lit("}")), FIELD, schemas.JSON_LIMITS)
     closed_inside = F.when(payload.contains("]"), as_field["v"].isNotNull()).otherwise(F.lit(True))
-    one_item = (F.size(items) == 1) & items[0].isNotNull()
+    one_item = (F.size(items) == 1) & F.get(items, F.lit(0)).isNotNull()
     return F.coalesce(F.ltrim(payload).startswith("{") & one_item & closed_inside, F.lit(False))
 
 
@@ -38,7 +39,7 @@ def with_route(events: DataFrame, wikis: Collection[str] = ()) -> DataFrame:
     # Exploding keeps the parsed value from being worked out anew for each use of it.
     items = F.from_json(F.concat(F.lit("["), payload, F.lit("]")), ITEM, schemas.JSON_LIMITS)
     parsed = events.select("*", F.explode(F.array(items)).alias("_items"))
-    first = F.col("_items")[0]
+    first = F.get(F.col("_items"), F.lit(0))
     domain = F.from_json(first["meta"], "domain STRING", schemas.JSON_LIMITS)["domain"]
     source = F.coalesce(F.nullif(first["wiki"], F.lit("")), F.nullif(domain, F.lit("")))
     accepted = F.col("_valid")

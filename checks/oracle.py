@@ -269,6 +269,7 @@ def oracle_sql() -> dict[str, str]:
         "encode_keyed": with_ctes(*CLEANED, KEYED, select="SELECT key, value FROM keyed"),
         "decode_keyed": with_ctes(*CLEANED, select=f"SELECT {CLEAN_COLUMNS} FROM clean"),
         "encode_upsert": with_ctes(*CLEANED, stats(1), UPSERT, select="SELECT key, value FROM upsert"),
+        "latest_upserts": with_ctes(*CLEANED, stats(1), UPSERT, select="SELECT key, value FROM upsert"),
         "encode_dlq": with_ctes(
             *SPLIT, DEAD_LETTERS, select="SELECT CAST(NULL AS VARCHAR) AS key, value FROM dead_letters"
         ),
@@ -324,6 +325,13 @@ def oracle_sql() -> dict[str, str]:
             ROUTED,
             select="""SELECT coalesce(source, 'unknown') AS key, value, "offset" FROM routed WHERE is_json""",
         ),
+        "ingest_appends": with_ctes(
+            RAW,
+            PAYLOAD,
+            ROUTED,
+            select="""SELECT coalesce(source, 'unknown') AS key, value FROM routed
+              WHERE is_json AND "offset" % 8 <> 0 AND "offset" % 17 <> 0""",
+        ),
         "route_raw_filtered": with_ctes(
             RAW,
             PAYLOAD,

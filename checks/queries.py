@@ -116,6 +116,18 @@ def route_raw_limited(spark, sf_dir):
     return routing.route_raw(routing.first_events(payloads(spark, sf_dir), 1000))
 
 
+@query
+def ingest_appends(spark, sf_dir):
+    """Two single runs and a stream, one after another, over the same capture files."""
+    folder = scratch_table(spark, "captures")
+    feed.capture_lines(feed.raw_edits(spark, sf_dir)).write.text(folder)
+    jobs = Jobs(spark, scratch_table(spark, "ingest"), Settings(bounded=True))
+    jobs.ingest_once(folder, max_events=70)
+    jobs.ingest_once(folder, max_events=30)
+    finish(jobs.start_ingest(folder))
+    return files.raw_records(spark, jobs.path("raw")).select("key", "value")
+
+
 @query
 def ingest_metrics(spark, sf_dir):
     return routing.ingest_metrics(payloads(spark, sf_dir))
@@ -226,6 +238,15 @@ def encode_upsert(spark, sf_dir):
     return keyed.encode_upsert(stats.wiki_stats(clean_feed(spark, sf_dir)))
 
 
+@query
+def latest_upserts(spark, sf_dir):
+    """What a compacted topic keeps of early windows and their corrections."""
+    clean = clean_feed(spark, sf_dir)
+    early = keyed.encode_upsert(stats.wiki_stats(halves(clean)[0])).withColumn("offset", F.lit(0))
+    final = keyed.encode_upsert(stats.wiki_stats(clean)).withColumn("offset", F.lit(1))
+    return keyed.latest_per_key(early.unionByName(final)).select("key", "value")
+
+
 @query
 def encode_dlq(spark, sf_dir):
     return keyed.encode_append(C.dlq_edits(feed.raw_edits(spark, sf_dir)).drop("rejected_at"))
