@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Collection
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from changefeed import schemas
 
 UNKNOWN = "unknown"
+BLOCK_BITS = 16
 
 
 FIELD = "v STRUCT<wiki: STRING>"
@@ -61,8 +62,21 @@ def route_raw(events: DataFrame, wikis: Collection[str] = ()) -> DataFrame:
 
 
 def first_events(events: DataFrame, n: int, order: str = "offset") -> DataFrame:
-    """Stop after `n` received events, before any is filtered."""
-    return events.orderBy(order).limit(n)
+    """Stop after `n` received events, before any is filtered.
+
+    Offsets are cut into blocks and counted; blocks that lie wholly within the first `n` are
+    taken as they are, and only the one in which the limit falls is put in order. `order` must
+    tell the events apart.
+    """
+    block = F.shiftright(F.col(order).cast("bigint"), BLOCK_BITS)
+    earlier = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = events.groupBy(block.alias("_block")).agg(F.count("*").alias("_size"))
+    blocks = blocks.select("_block", "_size", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"))
+    placed = events.withColumn("_block", block).join(blocks.where(F.col("_before") < n), "_block")
+    whole = F.col("_before") + F.col("_size") <= n
+    rank = F.row_number().over(Window.partitionBy("_block").orderBy(order))
+    part = placed.where(~whole).withColumn("_rank", rank).where(F.col("_before") + F.col("_rank") <= n)
+    return placed.where(whole).select(*events.columns).unionByName(part.select(*events.columns))
 
 
 def counters() -> list[Column]:

@@ -56,6 +56,13 @@ def test_limit_counts_events_before_filtering(events):
     assert routing.ingest_metrics(first).first()["received"] == 8
 
 
+def test_limit_falls_inside_a_block(spark):
+    events = spark.range(0, 400_000, 2).selectExpr("id as offset", "cast(id as string) as data").repartition(5)
+    for n in (1, 32_768, 32_769, 100_000, 10**6):
+        row = routing.first_events(events, n).selectExpr("count(*) n", "max(offset) last").first()
+        assert (row["n"], row["last"]) == (min(n, 200_000), 2 * min(n, 200_000) - 2)
+
+
 def test_metrics(events):
     row = routing.ingest_metrics(events).first()
     assert (row["received"], row["produced"], row["skipped"]) == (22, 11, 11)

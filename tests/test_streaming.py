@@ -285,7 +285,7 @@ def test_parts_are_compacted(spark, edits):
     assert len(state["batches"]) < 2 and state["table"]
     kept = os.listdir(feed.jobs.path("stats_parts").removeprefix("file:"))
     assert len(kept) <= 6
-    newest = max(int(name[5:]) for name in kept if name.startswith(("upto=", "batch=")) for name in [name.replace("batch=", "upto=")])
+    newest = feed.jobs._newest_parts(state).agg(F.max("batch")).first()[0]
     changed = feed.jobs.changed_stats(newest - 1)
     assert 0 < changed.count() < feed.jobs.corrected_stats().count()
     assert changed.exceptAll(feed.jobs.corrected_stats()).count() == 0
