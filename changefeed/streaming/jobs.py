@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import time
 from collections import Counter
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -176,23 +177,31 @@ class Jobs:
         """Any writer of records, such as one to a topic, under this root's checkpoints."""
         return self._start(writer, f"{job}_records")
 
-    def start_stats_upserts(self, clean: DataFrame, compact_every: int = COMPACT_EVERY) -> StreamingQuery:
+    def start_stats_upserts(
+        self,
+        clean: DataFrame,
+        compact_every: int = COMPACT_EVERY,
+        send: Callable[[DataFrame], None] | None = None,
+    ) -> StreamingQuery:
         """Early windows, corrected as edits come in: each batch writes the parts it changed.
 
-        Every so many batches the newest version of every part is written together, and what it
-        was made of goes with the next compaction.
+        `send` gets the whole rows of the windows a batch has changed, at least once, to write
+        them to a topic for example. Every so many batches the newest version of every part is
+        written together, and what it was made of goes with the next compaction.
         """
         parts = stats.window_parts(clean, self.settings.window_minutes, self.settings.out_of_order_seconds)
 
         def write_batch(batch: DataFrame, batch_id: int) -> None:
             log = StateLog(self.spark, self.path("stats_log"))
-            state = {"table": None, "batches": [], "stale": []} | log.read()
-            if batch_id in state["batches"]:
+            state = {"table": None, "batches": [], "stale": [], "last": -1} | log.read()
+            if batch_id <= state["last"]:
                 return
             folder = self.path(f"stats_parts/batch={batch_id:08d}")
             batch.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").parquet(folder)
             state["batches"].append(batch_id)
-            stale = []
+            state["last"] = batch_id
+            if send is not None:
+                send(self._changed_stats(state, batch_id - 1))
             if len(state["batches"]) >= compact_every:
                 table = self.path(f"stats_parts/upto={batch_id:08d}")
                 self._newest_parts(state).write.mode("overwrite").parquet(table)
@@ -220,6 +229,9 @@ class Jobs:
     def changed_stats(self, since: int) -> DataFrame:
         """Whole rows of the windows that batches after `since` have changed: the corrections to send on."""
         state = {"table": None, "batches": []} | StateLog(self.spark, self.path("stats_log")).read()
+        return self._changed_stats(state, since)
+
+    def _changed_stats(self, state: dict, since: int) -> DataFrame:
         parts = self._newest_parts(state)
         changed = parts.where(F.col("batch") > since).select("window", "wiki").distinct()
         same = [parts[name].eqNullSafe(changed[name]) for name in ("window", "wiki")]

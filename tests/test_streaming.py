@@ -9,7 +9,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from changefeed.operators import stats
+from changefeed.operators import keyed, stats
 from changefeed.operators.wars import edit_wars
 from changefeed.__main__ import main as command_line
 from changefeed.plans import replay, topics
@@ -277,9 +277,16 @@ def test_late_edits_are_counted(spark, edits):
 
 def test_parts_are_compacted(spark, edits):
     rows = hand_rows()
-    feed = Feed(spark, edits, lambda jobs, clean: jobs.start_stats_upserts(clean, compact_every=2))
+    sent = {}
+
+    def send(changed):
+        sent.update({r["key"]: r["value"] for r in keyed.encode_upsert(changed).collect()})
+
+    feed = Feed(spark, edits, lambda jobs, clean: jobs.start_stats_upserts(clean, compact_every=2, send=send))
     for row in rows:
         feed.add([row])
+    final = keyed.encode_upsert(stats.wiki_stats(edits(rows))).collect()
+    assert sent == {r["key"]: r["value"] for r in final}
     assert same(feed.jobs.corrected_stats(), stats.wiki_stats(edits(rows)))
     state = StateLog(spark, feed.jobs.path("stats_log")).read()
     assert len(state["batches"]) < 2 and state["table"]
