@@ -19,7 +19,7 @@ PIECE_WORDS, PIECE_OVERLAP = 2048, 64
 INDEX_WORDS = 1_000_000
 ENOUGH_WORDS, SHARE = 13, 0.8
 MISS = 2
-FILTER_BITS = U(22)
+FILTER_FACTOR = 16  # places of the quick filter per hash
 
 MATCH = (
     "doc_id BIGINT, item_id BIGINT, doc_start BIGINT, doc_end BIGINT, item_start BIGINT, item_end BIGINT, n_equal BIGINT"
@@ -64,8 +64,9 @@ class Index:
             self.hashes.append(hashes[order])
             self.owners.append(np.repeat(np.arange(len(found)), sizes)[order])
             self.places.append(np.concatenate([np.zeros(0, np.int64), *(np.arange(n) for n in sizes)])[order])
-            seen = np.zeros(1 << int(FILTER_BITS), bool)
-            seen[hashes >> (U(64) - FILTER_BITS)] = True
+            bits = max(10, int(FILTER_FACTOR * len(hashes)).bit_length())
+            seen = np.zeros(1 << bits, bool)
+            seen[hashes >> U(64 - bits)] = True
             self.filters.append(seen)
 
     def overlaps(self, words: np.ndarray) -> list[tuple[int | None, int, int, int, int, int]]:
@@ -75,7 +76,7 @@ class Index:
             self.masks, self.hashes, self.owners, self.places, self.filters, strict=True
         ):
             windows = masked(words, mask)
-            hits = np.flatnonzero(seen[windows >> (U(64) - FILTER_BITS)])
+            hits = np.flatnonzero(seen[windows >> U(65 - len(seen).bit_length())])
             low, high = (np.searchsorted(hashes, windows[hits], side) for side in ("left", "right"))
             for at, first, last in zip(hits[high > low].tolist(), low[high > low], high[high > low], strict=True):
                 for k in range(first, last):

@@ -36,7 +36,7 @@ def leaks():
     return items, docs, [(100 + k, prose(rng, 400), None) for k in range(20)]
 
 
-@pytest.mark.parametrize("index_words", [1_000_000, 50])
+@pytest.mark.parametrize("index_words", [1_000_000, 3_000])
 def test_leaks_are_found(spark, leaks, index_words):
     items, planted, clean = leaks
     docs = spark.createDataFrame([(i, text) for i, text, _ in planted + clean], DOC)
