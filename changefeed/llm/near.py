@@ -4,11 +4,12 @@ Texts whose sketches share a band fall into one bucket. Pairs inside a bucket ar
 
 1. Every member is verified against the bucket's smallest id, the hub. Links give components.
 2. Where a bucket still holds members outside the hub's component, these are compared with
-   that component and with each other, in blocks of bounded size: first the sketches, then, where those agree in a
-   share of bins not far below the threshold, the whole sets, in the same task.
+   that component and with each other, in blocks of bounded size: first the sketches, then,
+   where those agree in a share of bins not far below the threshold, the whole sets, in the
+   same task.
 
-So no link that banding finds can be lost to the choice of a hub, a group of n near copies costs about n
-verifications instead of n^2 rows, and only links leave a task.
+So no link that banding finds can be lost to the choice of a hub, a group of n near copies
+costs about n rows instead of n^2, and only links leave a task.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from changefeed.llm.sketch import bands, compact, sketches
 from changefeed.llm.words import slices
 
 BLOCK = 512
-BLOCK_CHARS = 4_000_000
+BLOCK_BYTES = 4_000_000
 
 
 @dataclass(frozen=True)
@@ -75,10 +76,41 @@ def near_components(keys: DataFrame, fetch: Callable[[DataFrame], DataFrame], li
 
 
 def bucket_members(keys: DataFrame) -> DataFrame:
-    """(key, id, hub) of buckets with several ids. One shuffle of narrow rows serves count and join."""
-    dealt = keys.repartition("key")
-    hubs = dealt.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub <> last")
-    return dealt.join(hubs.drop("last").hint("shuffle_hash"), "key").select("key", "id", "hub").distinct()
+    """(key, id, hub) of buckets with several ids. One shuffle of narrow rows, sorted in each task and
+    read as a stream, so that no bucket is held in memory."""
+    return keys.repartition("key").sortWithinPartitions("key", "id").mapInArrow(shared_keys, "key BIGINT, id BIGINT, hub BIGINT")
+
+
+def shared_keys(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by (key, id), those whose key has several ids, each once, with its smallest id."""
+    last: tuple[int, int, int] | None = None  # key, id and hub of the row before
+    alone = False  # whether that row is the only one of its key so far
+    for batch in batches:
+        key, item = batch.column("key").to_numpy(), batch.column("id").to_numpy()
+        hub_before = np.zeros(0, np.int64)
+        if last is not None:
+            key, item = np.append(last[0], key), np.append(last[1], item)
+            hub_before = np.array([last[2]])
+        fresh = np.append(True, (key[1:] != key[:-1]) | (item[1:] != item[:-1])) if len(key) else np.zeros(0, bool)
+        key, item = key[fresh], item[fresh]
+        if not len(key):
+            continue
+        starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        hubs = item[starts]
+        hubs[: len(hub_before)] = hub_before
+        sizes = np.diff(np.append(starts, len(key)))
+        several = sizes > 1
+        hub = np.repeat(hubs, sizes)
+        out = np.repeat(several, sizes)
+        if last is not None and not alone:
+            out[0] = False  # has been given already
+        previous = last
+        last = (key[-1], item[-1], hub[-1])
+        if len(starts) > 1 or previous is None:
+            alone = bool(sizes[-1] == 1)
+        else:
+            alone = alone and bool(sizes[-1] == 1)
+        yield pa.RecordBatch.from_arrays([pa.array(key[out]), pa.array(item[out]), pa.array(hub[out])], ["key", "id", "hub"])
 
 
 def verified(pairs: DataFrame, texts: DataFrame, likeness: Likeness) -> DataFrame:
@@ -86,10 +118,13 @@ def verified(pairs: DataFrame, texts: DataFrame, likeness: Likeness) -> DataFram
 
     def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left = likeness.sets(batch.column("left").to_pylist())
-            right = likeness.sets(batch.column("right").to_pylist())
-            linked = np.fromiter((likeness.alike(x, y) for x, y in zip(left, right, strict=True)), bool, len(left))
-            yield batch.select(["a", "b"]).filter(pa.array(linked))
+            done = 0
+            for texts_a in slices(batch.column("left").to_pylist()):
+                part = batch.slice(done, len(texts_a))
+                done += len(texts_a)
+                sets = zip(likeness.sets(texts_a), likeness.sets(part.column("right").to_pylist()), strict=True)
+                linked = np.fromiter((likeness.alike(x, y) for x, y in sets), bool, len(part))
+                yield part.select(["a", "b"]).filter(pa.array(linked))
 
     sides = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("left")), "a")
     sides = sides.join(texts.select(F.col("id").alias("b"), F.col("text").alias("right")), "b")
@@ -114,30 +149,22 @@ def residual_links(members: DataFrame, labels: DataFrame, texts: DataFrame, like
     core = core.join(attached.select("group").distinct(), "group", "left_semi")
     everyone = attached.withColumn("minor", F.lit(True)).unionByName(core.withColumn("minor", F.lit(False)))
 
+    lengths = texts.select("id", F.octet_length("text").alias("bytes"))
+    sizes = F.greatest(F.ceil(F.count("*") / F.lit(BLOCK)), F.ceil(F.sum("bytes") / F.lit(BLOCK_BYTES)))
+    sizes = everyone.join(lengths, "id").groupBy("group", "minor").agg(sizes.alias("blocks"))
+    block = F.pmod(F.xxhash64("id"), F.col("blocks")).alias("block")
+    placed = everyone.join(sizes, ["group", "minor"]).select("group", "minor", block, "id", "component")
+
     def sketched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bodies = batch.column("text").to_pylist()
-            table = compact(likeness.sketch(bodies))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("id"),
-                    pa.array([row.tobytes() for row in table], pa.binary()),
-                    pa.array([items.tobytes() for items in likeness.sets(bodies)], pa.binary()),
-                ],
-                ["id", "sketch", "items"],
-            )
+            table = compact(likeness.sketch(batch.column("text").to_pylist()))
+            sketch = pa.array([row.tobytes() for row in table], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("id"), sketch, batch.column("text")], ["id", "sketch", "text"])
 
     wanted = texts.join(everyone.select("id").distinct(), "id", "left_semi").select("id", "text")
-    profile = wanted.mapInArrow(sketched, "id BIGINT, sketch BINARY, items BINARY")
-    placed = everyone.join(profile, "id")
-    sizes = placed.groupBy("group", "minor").agg(
-        F.greatest(
-            F.ceil(F.count("*") / F.lit(BLOCK)), F.ceil(F.sum(F.octet_length("items")) / F.lit(8 * BLOCK_CHARS))
-        ).alias("blocks")
-    )
-    block = F.pmod(F.xxhash64("id"), F.col("blocks")).alias("block")
-    item = F.struct("id", "component", "sketch", "items")
-    blocks = placed.join(sizes, ["group", "minor"]).groupBy("group", "minor", block).agg(F.collect_list(item).alias("all"))
+    profile = wanted.mapInArrow(sketched, "id BIGINT, sketch BINARY, text STRING")
+    item = F.struct("id", "component", "sketch", "text")
+    blocks = placed.join(profile, "id").groupBy("group", "minor", "block").agg(F.collect_list(item).alias("all"))
     blocks = stored(blocks, "blocks")
     left = blocks.where("minor").select("group", F.col("block").alias("left_block"), F.col("all").alias("left"))
     pairs = left.join(blocks, "group").where("not minor or left_block <= block").select("left", F.col("all").alias("right"))
@@ -147,7 +174,7 @@ def residual_links(members: DataFrame, labels: DataFrame, texts: DataFrame, like
         for batch in batches:
             found: list[tuple[int, int]] = []
             for k in range(len(batch)):
-                a, b = (Block(batch.column(side)[k].values, likeness.bins) for side in ("left", "right"))
+                a, b = (Block(batch.column(side)[k].values, likeness) for side in ("left", "right"))
                 for x in range(len(a.ids)):
                     joined: set[int] = set()
                     near = (b.table == a.table[x]).sum(axis=1) >= floor
@@ -163,13 +190,17 @@ def residual_links(members: DataFrame, labels: DataFrame, texts: DataFrame, like
 
 
 class Block:
-    """Some members of a group: ids, components, sketches, and whole sets."""
+    """Some members of a group: ids, components, sketches, and whole sets as they are asked for."""
 
-    def __init__(self, rows: pa.StructArray, bins: int) -> None:
+    def __init__(self, rows: pa.StructArray, likeness: Likeness) -> None:
         self.ids = rows.field("id").to_numpy(zero_copy_only=False)
         self.component = rows.field("component").to_numpy(zero_copy_only=False)
-        self.table = np.frombuffer(b"".join(rows.field("sketch").to_pylist()), np.uint8).reshape(len(self.ids), bins)
-        self.sets = rows.field("items")
+        sketch = b"".join(rows.field("sketch").to_pylist())
+        self.table = np.frombuffer(sketch, np.uint8).reshape(len(self.ids), likeness.bins)
+        self.texts, self.likeness = rows.field("text"), likeness
+        self.known: dict[int, np.ndarray] = {}
 
     def items(self, k: int) -> np.ndarray:
-        return np.frombuffer(self.sets[k].as_py(), np.uint64)
+        if k not in self.known:
+            self.known[k] = self.likeness.sets([self.texts[int(k)].as_py()])[0]
+        return self.known[k]

@@ -149,20 +149,21 @@ def character_runs(texts: list[str], length: int) -> tuple[np.ndarray, np.ndarra
 def piece_runs(texts: list[str], length: int) -> tuple[np.ndarray, np.ndarray]:
     lengths = np.fromiter(map(len, texts), np.int64, len(texts))
     points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4").astype(U)
-    ends = np.repeat(np.cumsum(lengths), lengths)
-    left = ends - np.arange(len(points))
-    first = np.zeros(len(points), bool)
-    first[(np.cumsum(lengths) - lengths)[lengths > 0]] = True
-    points = np.concatenate([points, np.zeros(length, U)])
-    total = np.zeros(len(left), U)
-    for k in range(length):
-        step = points[k : k + len(left)] * RUN[k]
-        if k:
-            step[left <= k] = 0
-        total += step
-    whole = (left >= length) | (first & (left < length))
-    owner = np.repeat(np.arange(len(texts)), lengths)
-    return mix(total[whole]), np.bincount(owner[whole], minlength=len(texts))
+    n = max(0, len(points) - length + 1)
+    total = points[:n] * RUN[0]
+    for k in range(1, length):
+        total += points[k : k + n] * RUN[k]
+    counts = np.maximum(lengths - length + 1, 0)
+    starts = np.cumsum(lengths) - lengths
+    # places of runs that lie within one text
+    places = np.arange(counts.sum()) + np.repeat(starts - (np.cumsum(counts) - counts), counts)
+    found = total[places]
+    short = np.flatnonzero((lengths > 0) & (lengths < length))
+    if len(short):
+        whole = [(points[starts[k] : starts[k] + lengths[k]] * RUN[: lengths[k]]).sum(dtype=U) for k in short]
+        found = np.insert(found, (np.cumsum(counts) - counts)[short], np.array(whole, U))
+        counts[short] = 1
+    return mix(found), counts
 
 
 def slices(texts: list[str | None], size: int = SEGMENT_BYTES) -> Iterator[list[str | None]]:
