@@ -107,6 +107,7 @@ class Bundle:
     files: pafs.FileSystem
     path: str
     name: str
+    frame_bytes: int = FRAME_BYTES
     sizes: list[tuple[int, int]] = field(default_factory=list)
     written: int = 0
 
@@ -117,7 +118,7 @@ class Bundle:
 
     def add(self, record: bytes) -> tuple[int, int]:
         """(frame, offset in it) of the record."""
-        if self.filled and self.filled + len(record) > FRAME_BYTES:
+        if self.filled and self.filled + len(record) > self.frame_bytes:
             self.end_frame()
         place = len(self.sizes), self.filled
         self.parts.append(record)
@@ -138,7 +139,7 @@ class Bundle:
         self.stream.close()
 
 
-def writer(folder: str):
+def writer(folder: str, frame_bytes: int, bundle_bytes: int):
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         # each attempt has names of its own; those of one that fails never enter the index
@@ -151,11 +152,11 @@ def writer(folder: str):
                 kind, record = record_bytes(row["page_id"], row["url"], row["payload"], row["digest"], row["first"])
                 if bundle is None:
                     files.create_dir(path)
-                    bundle = Bundle(files, path, f"{stem}-{count}.warc.zst")
+                    bundle = Bundle(files, path, f"{stem}-{count}.warc.zst", frame_bytes)
                     count += 1
                 frame, offset = bundle.add(record)
                 rows.append((f"<{urn(row['page_id'])}>", row["page_id"], kind, bundle.name, frame, offset, len(record)))
-                if bundle.written >= BUNDLE_BYTES:
+                if bundle.written >= bundle_bytes:
                     bundle.close()
                     bundle = None
             columns = list(zip(*rows, strict=True)) or [()] * 7
@@ -169,7 +170,9 @@ def writer(folder: str):
     return write
 
 
-def write_archive(pages: DataFrame, folder: str) -> DataFrame:
+def write_archive(
+    pages: DataFrame, folder: str, frame_bytes: int = FRAME_BYTES, bundle_bytes: int = BUNDLE_BYTES
+) -> DataFrame:
     """Write a record per row of `pages` (page_id BIGINT, url STRING, html STRING, more ignored); returns the index.
 
     The payload is the html in UTF-8; null is empty. Of records with equal payloads of at least 100
@@ -190,7 +193,9 @@ def write_archive(pages: DataFrame, folder: str) -> DataFrame:
     large = rows.where(F.octet_length("payload") >= LEAST_REVISIT)
     firsts = large.groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
     placed = rows.join(firsts.hint("shuffle_hash"), "digest", "left")
-    index = placed.select("page_id", "url", "payload", "digest", "first").mapInArrow(writer(folder), INDEX)
+    index = placed.select("page_id", "url", "payload", "digest", "first").mapInArrow(
+        writer(folder, frame_bytes, bundle_bytes), INDEX
+    )
     index.write.parquet(f"{folder}/index")
     return read_index(spark, folder)
 

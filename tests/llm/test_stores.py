@@ -177,9 +177,7 @@ def test_little_padding(spark):
 # -- archives ------------------------------------------------------------------------------
 
 
-def test_archive_round_trip(spark, monkeypatch):
-    monkeypatch.setattr("changefeed.llm.warc.FRAME_BYTES", 3000)
-    monkeypatch.setattr("changefeed.llm.warc.BUNDLE_BYTES", 4000)
+def test_archive_round_trip(spark):
     rng = random.Random(7)
     same, small, long = "<p>same é</p>" * 12, "<p/>", "".join(rng.choices("abcdefgh <>/\n", k=40_000))
     rows = [(k, f"http://a/{k}", "".join(rng.choices("abc<>é\r\n", k=rng.randint(0, 900))), 1) for k in range(60)]
@@ -187,7 +185,7 @@ def test_archive_round_trip(spark, monkeypatch):
     rows += [(202, "u", None, 1), (203, "u", "", 1), (204, "u", long, 1), (None, "u", same, 1), (100, "again", same, 1)]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, digest int").repartition(3)
     folder = scratch_table(spark, "archive")
-    index = warc.write_archive(pages, folder)
+    index = warc.write_archive(pages, folder, frame_bytes=3000, bundle_bytes=4000)
     assert index.count() == len(rows)
     got = warc.read_archive(spark, folder, with_payload=True).collect()
     assert len(got) == len(rows)
