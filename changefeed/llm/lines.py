@@ -23,7 +23,7 @@ def line_sets(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return character_runs([text or "" for text in texts], SHINGLE_CHARS)
 
 
-LIKENESS = Likeness(line_sets, BINS, ROWS, PERCENT, slack=0.26)
+LIKENESS = Likeness(line_sets, BINS, ROWS, PERCENT)
 
 
 def lines_of(docs: DataFrame) -> DataFrame:

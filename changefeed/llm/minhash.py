@@ -26,7 +26,7 @@ def document_sets(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([np.zeros(0, U), *found]), sizes
 
 
-LIKENESS = Likeness(document_sets, BINS, ROWS, PERCENT, slack=0.17)
+LIKENESS = Likeness(document_sets, BINS, ROWS, PERCENT)
 
 
 def parts_of(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[str | None]]]:

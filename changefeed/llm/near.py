@@ -28,25 +28,26 @@ from changefeed.llm.words import slices
 
 BLOCK = 512
 BLOCK_BYTES = 4_000_000
+BLOCK_BINS = 192
+BLOCK_SLACK = 0.135  # of the bins, by which sketches may agree less than the sets do: over four standard deviations
 
 
 @dataclass(frozen=True)
 class Likeness:
-    """shingles: flat hashes and set sizes of texts; percent: least Jaccard similarity of a link.
-    slack: share of bins by which sketches may fall short of it, over four standard deviations."""
+    """shingles: flat hashes and set sizes of texts; bins and rows: of the banding; percent: least
+    Jaccard similarity of a link."""
 
     shingles: Callable[[list[str | None]], tuple[np.ndarray, np.ndarray]]
     bins: int
     rows: int
     percent: int
-    slack: float
 
-    def sketch(self, texts: list[str | None]) -> np.ndarray:
-        parts = [sketches(*self.shingles(part), self.bins) for part in slices(texts)]
-        return np.concatenate([np.zeros((0, self.bins), np.uint64), *parts])
+    def sketch(self, texts: list[str | None], bins: int) -> np.ndarray:
+        parts = [sketches(*self.shingles(part), bins) for part in slices(texts)]
+        return np.concatenate([np.zeros((0, bins), np.uint64), *parts])
 
     def keys(self, texts: list[str | None]) -> np.ndarray:
-        return bands(self.sketch(texts), self.rows)
+        return bands(self.sketch(texts, self.bins), self.rows)
 
     def sets(self, texts: list[str | None]) -> list[np.ndarray]:
         found = []
@@ -56,8 +57,12 @@ class Likeness:
         return found
 
     def alike(self, a: np.ndarray, b: np.ndarray) -> bool:
-        shared = len(np.intersect1d(a, b, assume_unique=True))
-        return shared > 0 and 100 * shared >= self.percent * (len(a) + len(b) - shared)
+        """Whether two sorted sets are a link."""
+        if not len(a) or not len(b) or 100 * min(len(a), len(b)) < self.percent * max(len(a), len(b)):
+            return False
+        places = np.minimum(np.searchsorted(b, a), len(b) - 1)
+        shared = int(np.count_nonzero(b[places] == a))
+        return 100 * shared >= self.percent * (len(a) + len(b) - shared)
 
 
 def near_components(keys: DataFrame, fetch: Callable[[DataFrame], DataFrame], likeness: Likeness) -> DataFrame:
@@ -157,7 +162,7 @@ def residual_links(members: DataFrame, labels: DataFrame, texts: DataFrame, like
 
     def sketched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            table = compact(likeness.sketch(batch.column("text").to_pylist()))
+            table = compact(likeness.sketch(batch.column("text").to_pylist(), BLOCK_BINS))
             sketch = pa.array([row.tobytes() for row in table], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("id"), sketch, batch.column("text")], ["id", "sketch", "text"])
 
@@ -168,7 +173,7 @@ def residual_links(members: DataFrame, labels: DataFrame, texts: DataFrame, like
     blocks = stored(blocks, "blocks")
     left = blocks.where("minor").select("group", F.col("block").alias("left_block"), F.col("all").alias("left"))
     pairs = left.join(blocks, "group").where("not minor or left_block <= block").select("left", F.col("all").alias("right"))
-    floor = (likeness.percent / 100 - likeness.slack) * likeness.bins
+    floor = (likeness.percent / 100 - BLOCK_SLACK) * BLOCK_BINS
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -196,7 +201,7 @@ class Block:
         self.ids = rows.field("id").to_numpy(zero_copy_only=False)
         self.component = rows.field("component").to_numpy(zero_copy_only=False)
         sketch = b"".join(rows.field("sketch").to_pylist())
-        self.table = np.frombuffer(sketch, np.uint8).reshape(len(self.ids), likeness.bins)
+        self.table = np.frombuffer(sketch, np.uint8).reshape(len(self.ids), BLOCK_BINS)
         self.texts, self.likeness = rows.field("text"), likeness
         self.known: dict[int, np.ndarray] = {}
 

@@ -174,7 +174,7 @@ def test_blocks_hold_large_buckets(spark, monkeypatch):
     rows = [(0, hub)] + [(k, edited(rng, other, 0.01)) for k in range(1, 40)]
     texts = spark.createDataFrame(rows, "id bigint, text string")
     keys = texts.selectExpr("id", "cast(1 as bigint) as key")
-    likeness = Likeness(minhash.document_sets, 128, 4, 75, 0.17)
+    likeness = Likeness(minhash.document_sets, 128, 4, 75)
     got = near_components(keys, lambda ids: texts.join(ids, "id", "left_semi"), likeness)
     expected = brute.components({i: brute.word_shingles(t) for i, t in rows}, 75)
     found = {r.node: r.component for r in got.collect()}
