@@ -15,7 +15,7 @@ from changefeed.llm.words import character_runs
 
 SHINGLE_CHARS = 8
 PERCENT = 80
-BINS, ROWS = 40, 4  # 10 bands: a pair at the threshold is missed 5 times in 1,000, at 90 % twice in 100,000
+BINS, ROWS = 80, 4  # 20 bands: a pair at the threshold is missed 3 times in 100,000
 TRIM = " \t\r\x0b\x0c"
 
 

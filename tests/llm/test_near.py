@@ -140,6 +140,16 @@ def test_lines_are_exact(spark, corpus):
     assert all(r.kept == ((r.doc_id, r.line_no) == (r.kept_doc_id, r.kept_line_no)) for r in got)
 
 
+def test_lines_at_the_threshold_share_a_band():
+    """Pairs with a similarity of just 0.8: 80 runs shared, ten more on each side."""
+    rng = random.Random(21)
+    letters = [("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n)) for n in (87, 10, 10)) for _ in range(3000)]
+    pairs = [(common + a, common + b) for common, a, b in letters]
+    sides = [lines.LIKENESS.keys(list(side)) for side in zip(*pairs, strict=True)]
+    assert all(lines.LIKENESS.alike(*lines.LIKENESS.sets(list(pair))) for pair in pairs[:50])
+    assert np.count_nonzero((sides[0] != sides[1]).all(axis=1)) <= 1
+
+
 def test_drop_lines(spark):
     rows = [
         (1, "first of the lines\nonly in document one\nend", 5, "q"),
