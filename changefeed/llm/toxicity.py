@@ -78,7 +78,7 @@ class Grammar:
         return self.insults.get(word, 0.0) or self.insults.get(f"{word}$", 0.0)
 
     def clauses(self, text: str) -> Iterator[str]:
-        """Clauses in which some insult or threat may begin."""
+        """Clauses in which some insult or threat may begin, whole."""
         if not len(self.starts):
             return
         done = 0
@@ -86,17 +86,19 @@ class Grammar:
             begin = end - len(start) + 1
             if begin < done or (begin and (text[begin - 1].isalnum())):
                 continue
-            first = max((m.end() for m in CLAUSE_END.finditer(text, max(done, begin - 400), begin)), default=max(done, begin - 400))
-            after = CLAUSE_END.search(text, end + 1, end + 400)
-            done = after.start() if after else min(len(text), end + 400)
+            first = done
+            for mark in CLAUSE_END.finditer(text, done, begin):
+                first = mark.end()
+            after = CLAUSE_END.search(text, end + 1)
+            done = after.start() if after else len(text)
             yield text[first:done]
 
     def read(self, clause: str) -> dict[str, float]:
         """Weights of what a clause says, by the marks of the transducers."""
         negated = reported = 0
         aimed = -REACH - 1
-        found: list[tuple[int, str, float]] = []
-        targets: list[int] = []
+        out = dict.fromkeys(FEATURES, 0.0)
+        ahead: list[tuple[int, float]] = []  # plain insults that a target may still follow
         for at, match in enumerate(WORD.finditer(clause)):
             word = match.group()
             mark = self.classes.get(word)
@@ -106,17 +108,20 @@ class Grammar:
                 reported = 1
             elif mark == "T":
                 aimed = at
-                targets.append(at)
+                for place, weight in ahead:
+                    out["aimed" if at - place <= REACH else "plain"] += weight
+                ahead = []
             weight = self.insult(word)
             if weight:
-                found.append((at, "reported" if reported else "negated" if at < negated else "plain", weight))
+                plain = not reported and at >= negated
+                if plain and at - aimed > REACH:
+                    ahead.append((at, weight))
+                else:
+                    out["reported" if reported else "aimed" if plain else "negated"] += weight
             elif word in self.threats and at - aimed <= REACH:
-                found.append((at, "threat", 1.0))
-        out = dict.fromkeys(FEATURES, 0.0)
-        for at, mark, weight in found:
-            if mark == "plain" and any(abs(at - target) <= REACH for target in targets):
-                mark = "aimed"
-            out[mark] += weight
+                out["threat"] += 1.0
+        for _, weight in ahead:
+            out["plain"] += weight
         return out
 
     def features(self, text: str | None) -> list[float]:

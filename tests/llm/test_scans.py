@@ -191,6 +191,16 @@ def test_grammar_marks():
     assert grammar.features(None) == [0.0] * 5 and toxicity.Grammar([]).features("idiot") == [0.0] * 5
 
 
+def test_clauses_are_read_whole():
+    grammar = toxicity.Grammar([("idiot$", 1.0), ("blurf", 1.0)])
+    for n in range(380, 420):  # an insult across every place near 400 characters from the first
+        assert list(grammar.clauses("idiot " + "x" * n + " blurfing, end. blurf")) == ["idiot " + "x" * n + " blurfing, end", " blurf"]
+    far = "a fine word " * 200
+    assert grammar.features(f"someone said {far} idiot {far} blurf. idiot")[3] == pytest.approx(math.log(3))
+    assert grammar.features(f"so {far}; {far} idiot {far} you blurf")[:2] == pytest.approx([math.log(2)] * 2)
+    assert grammar.read("blurf " * 6 + "you " + "blurf " * 6) | {} == dict.fromkeys(toxicity.FEATURES, 0.0) | {"plain": 4.0, "aimed": 8.0}
+
+
 def test_toxicity_learns_from_labels(spark):
     rng = random.Random(15)
     rows, labels = [], []
