@@ -15,6 +15,21 @@ from changefeed.llm.words import NO_WORD, RUN, U, mix, text_words
 # Masks of weight six: a window of words is hashed at the ones, and may differ at the zeros.
 MASKS = ("111111", "11011011", "1100101011", "1010011011")
 SHORTEST = 5
+WHOLE = 17  # words of an item that is judged as a whole, not by its best stretch
+# More masks for the windows of such items, by their words: with MASKS, some window is left whole wherever the words stand
+# that four fifths of the item may differ in. Shapes are blocks of a partition, of which so many stay intact.
+BLOCKS_OF_2 = ("11110011", "1111000011", "11001111", "1100110011", "1100001111")
+BLOCKS_OF_3 = ("111000111", "111000000111", "111000000000111")
+SHORT_MASKS = {
+    5: ("1111", "11011", "10111", "11101"),
+    6: ("1111", "110011"),
+    7: ("1111", "110011"),
+    8: ("11110011", "11001111"),
+    9: ("111000111",),
+    10: BLOCKS_OF_2,
+    11: BLOCKS_OF_2,
+    **dict.fromkeys((15, 16, 17), BLOCKS_OF_3),
+}
 PIECE_WORDS, PIECE_OVERLAP = 2048, 64
 INDEX_WORDS = 1_000_000
 ENOUGH_WORDS, SHARE = 13, 0.8
@@ -53,10 +68,10 @@ class Index:
     filters: list[np.ndarray] = field(default_factory=list)
 
     def __post_init__(self) -> None:
-        longest = max(map(len, MASKS))
-        short = sorted({len(words) for _, _, words in self.pieces if len(words) < longest})
-        for mask in [*MASKS, *("1" * n for n in short if n >= SHORTEST)]:
-            found = [masked(words, mask) for _, _, words in self.pieces]
+        lengths = {len(words) for _, _, words in self.pieces}
+        for mask in dict.fromkeys([*MASKS, *(m for n in sorted(lengths) for m in SHORT_MASKS.get(n, ()))]):
+            taken = [mask in MASKS or mask in SHORT_MASKS.get(len(words), ()) for _, _, words in self.pieces]
+            found = [masked(words if use else words[:0], mask) for use, (_, _, words) in zip(taken, self.pieces, strict=True)]
             hashes = np.concatenate([np.zeros(0, U), *found])
             order = np.argsort(hashes, kind="stable")
             sizes = [len(x) for x in found]
@@ -90,16 +105,32 @@ class Index:
 
 
 def aligned(words: np.ndarray, piece: np.ndarray, shift: int) -> Iterator[tuple[int, int, int]]:
-    """The best stretch of one diagonal, if it is long enough: equal words score one, others minus two."""
+    """The stretches of one diagonal that have enough equal words.
+
+    A short item is judged as a whole, from its first equal word to its last. In a longer one equal words
+    score one, others minus two: the best stretch is taken, then the best on either side of it.
+    """
     low, high = max(0, shift), min(len(words), shift + len(piece))
     equal = words[low:high] == piece[low - shift : high - shift]
-    run = np.concatenate([[0], np.cumsum(np.where(equal, 1, -MISS))])
-    gain = run - np.minimum.accumulate(run)
-    end = int(gain.argmax())
-    start = int(run[: end + 1].argmin()) if end else 0
-    n_equal = int(equal[start:end].sum())
-    if n_equal >= min(ENOUGH_WORDS, SHARE * len(piece)) and n_equal >= SHORTEST:
-        yield low + start, low + end, n_equal
+    enough = min(ENOUGH_WORDS, SHARE * len(piece))
+    if len(piece) <= WHOLE:
+        places = np.flatnonzero(equal)
+        if len(places) and len(places) >= enough:
+            yield low + int(places[0]), low + int(places[-1]) + 1, len(places)
+        return
+    open_parts = [(0, len(equal))]
+    while open_parts:
+        first, last = open_parts.pop()
+        part = equal[first:last]
+        if np.count_nonzero(part) < enough:
+            continue
+        run = np.concatenate([[0], np.cumsum(np.where(part, 1, -MISS))])
+        end = int((run - np.minimum.accumulate(run)).argmax())
+        start = int(run[: end + 1].argmin())
+        n_equal = int(np.count_nonzero(part[start:end]))
+        if n_equal >= enough:
+            yield low + first + start, low + first + end, n_equal
+        open_parts += [(first, first + start), (first + end, last)]
 
 
 def benchmark_pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,12 +169,12 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, index_words: int = INDE
     benchmark text. docs: doc_id BIGINT, text STRING; benchmark: item_id BIGINT, text STRING; more ignored.
 
     Words are lower-cased runs of letters and digits, counted from 0, ends exclusive. Where a window
-    of a document and one of an item agree under a mask, both are compared along that alignment; the
-    stretch with the most equal words, less two for each other word, counts if it has at least 13
-    equal words, or four fifths of a shorter item.
+    of a document and one of an item agree under a mask, both are compared along that alignment. An item
+    of up to 17 words counts if at least 13 of its words, or four fifths of a shorter one, are equal in
+    their places, wherever the others stand. Of a longer item every stretch counts that has at least
+    13 equal words, taken by the most equal words, less two for each other word.
 
-    Null or empty texts hold nothing; items of under five words are not looked for; items shorter
-    than a mask are hashed whole. Repeated rows give repeated results. A row without a doc_id is
+    Null or empty texts hold nothing; items of under five words are not looked for. Repeated rows give repeated results. A row without a doc_id is
     reported with a null. An empty table on either side gives no rows.
     """
     spark = docs.sparkSession

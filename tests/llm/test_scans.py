@@ -5,6 +5,7 @@ import math
 import random
 import zlib
 from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -60,6 +61,28 @@ def test_masks_tolerate_substitutions():
     assert found >= 280
 
 
+@pytest.mark.parametrize("n", range(5, 18))
+def test_short_items_tolerate_substitutions_at_every_place(n):
+    words = np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    around = np.arange(1000, 1020, dtype=np.uint64)
+    index = decontaminate.Index([(1, 0, words)])
+    most = n - math.ceil(min(13, 0.8 * n))
+    for count in range(most + 2):
+        for places in combinations(range(n), count):
+            changed = words.copy()
+            changed[list(places)] = 7
+            found = index.overlaps(np.concatenate([around, changed, around]))
+            assert [x[5] for x in found] == ([n - count] if count <= most else []), places
+
+
+def test_every_stretch_of_an_alignment_counts():
+    item = np.arange(1, 201, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    text = item.copy()
+    text[20:100] = text[120:180] = 7
+    found = decontaminate.Index([(1, 0, item)]).overlaps(text)
+    assert found == [(1, a, b, a, b, 20) for a, b in ((0, 20), (100, 120), (180, 200))]
+
+
 def test_decontamination_edges(spark):
     rng = random.Random(13)
     text = prose(rng, 20)
