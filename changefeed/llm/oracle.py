@@ -119,6 +119,43 @@ WARC = """
     FROM f"""
 
 
+FILTER_AUDIT = """
+    WITH d AS (
+        SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS body,
+               regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+    ), f AS (
+        SELECT doc_id, part,
+               CASE WHEN len(w) < 200 THEN 'A' ELSE '' END ||
+               CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END ||
+               CASE WHEN 100 * length(regexp_replace(body, '[^A-Z]', '', 'g')) > 3 * length(body) THEN 'C' ELSE '' END ||
+               CASE WHEN regexp_matches(body, '[#$%&*|]') THEN 'D' ELSE '' END ||
+               CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY body) THEN 'E' ELSE '' END AS fails
+        FROM d
+    ), l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY ALL),
+    cells AS (
+        SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+        FROM f LEFT JOIN l USING (doc_id) GROUP BY ALL
+    ), letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+    orders AS (
+        SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+        WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+    ), steps AS (
+        SELECT filter_order, s::INT AS step, substr(filter_order, s, 1) AS letter, '[' || left(filter_order, s) || ']' AS gone,
+               CASE WHEN s > 1 THEN '[' || left(filter_order, s - 1) || ']' ELSE '^$a' END AS gone_before
+        FROM orders, (SELECT unnest(range(1, 6)) AS s)
+    ), counted AS (
+        SELECT part, filter_order, step, letter,
+               coalesce(sum(n) FILTER (NOT regexp_matches(fails, gone)), 0)::BIGINT AS kept,
+               coalesce(sum(n) FILTER (contains(fails, letter) AND NOT regexp_matches(fails, gone_before)), 0)::BIGINT AS removed,
+               coalesce(sum(n) FILTER (contains(fails, letter) AND regexp_matches(fails, gone_before)), 0)::BIGINT AS redundant,
+               coalesce(sum(n) FILTER (fails = letter), 0)::BIGINT AS unique_fails,
+               coalesce(sum(good) FILTER (contains(fails, letter) AND NOT regexp_matches(fails, gone_before)), 0)::BIGINT AS good_lost,
+               coalesce(sum(toxic) FILTER (contains(fails, letter) AND NOT regexp_matches(fails, gone_before)), 0)::BIGINT AS toxic_lost
+        FROM cells, steps GROUP BY ALL
+    )
+    SELECT * EXCLUDE (letter), (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley FROM counted"""
+
+
 def sql_pattern(pattern: str) -> str:
     return "'" + pattern.replace("'", "''") + "'"
 
@@ -174,4 +211,5 @@ ORACLE_SQL: dict[str, str] = {
     "op6_secrets": secrets_sql(),
     "op7_minhash": MINHASH,
     "op10_warc": WARC,
+    "op11_filter_audit": FILTER_AUDIT,
 }
