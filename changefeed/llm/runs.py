@@ -32,7 +32,7 @@ from changefeed.llm.words import SPACES, U, mix, slices, text_words
 LEAST_WORDS = 24
 LEAST_PERIODS = 3
 FIRST_LEVEL = 3  # blocks of eight words: a run of 24 words holds an aligned one and its next occurrence
-BATCH_CHARS = 1 << 21
+BATCH_CHARS = 1 << 19
 
 RUN = "STRUCT<start: BIGINT, length: BIGINT, period: BIGINT>"
 COLLAPSED = f"doc_id BIGINT, n_words BIGINT, runs ARRAY<{RUN}>, longest {RUN}, text STRING"
@@ -52,7 +52,8 @@ class Ranks:
         """By doubling; suffixes whose words are unique already are not sorted again."""
         n = len(symbols)
         order = np.argsort(symbols, kind="stable")
-        rank, size = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        kind = np.int32 if n < 1 << 31 else np.int64
+        rank, size = np.zeros(n, kind), np.zeros(n, kind)
 
         def group(places: np.ndarray, fresh: np.ndarray) -> None:
             """Ranks of the suffixes at these places of the order, where `fresh` marks the first of each group."""
@@ -155,7 +156,7 @@ def candidates(ranks: Ranks) -> tuple[np.ndarray, np.ndarray]:
     compact = np.concatenate([[0], np.cumsum(again)])
     for k in range(FIRST_LEVEL, len(ranks.levels)):
         length = 1 << k
-        block = np.arange(0, n, length)
+        block = np.arange(0, n, length, dtype=np.int64)
         block = block[ranks.sizes[k][block] > 1]
         if not len(block):
             continue
@@ -209,7 +210,7 @@ def number_words(hashed: list[np.ndarray]) -> np.ndarray:
     """The words of several documents as one array of small numbers, no number in two documents."""
     tagged = [mix(words ^ mix(np.full(1, k + 1, U))) for k, words in enumerate(hashed)]
     flat = np.concatenate([np.zeros(0, U), *tagged])
-    return np.unique(flat, return_inverse=True)[1].astype(np.int64)
+    return np.unique(flat, return_inverse=True)[1]
 
 
 def longest_of(runs: list[tuple[int, int, int]]) -> tuple[int, int, int] | None:
@@ -282,7 +283,7 @@ def collapse_runs(docs: DataFrame) -> DataFrame:
 
     A null, empty or wordless text has no words, no runs and an empty text. Rows that repeat, or
     have no doc_id, are each answered for themselves. An empty table gives no rows. A text is worked on as a
-    whole, with 16 bytes of memory a word for each doubling up to its longest repeat.
+    whole, with eight bytes of memory a word for each doubling up to its longest repeat.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(collapse_arrow, COLLAPSED)
