@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changefeed.llm import decontaminate, filter_audit, language, lattice, licenses, lines, minhash, packing, runs, secret_scan, toxicity, warc
+from changefeed.llm import decontaminate, filter_audit, language, lattice, licenses, lines, minhash, packing, perplexity, runs, secret_scan, toxicity, warc
 from changefeed.llm.oracle import ORACLE_SQL  # noqa: F401
 from changefeed.session import scratch_table, ship_package
 
@@ -95,6 +95,11 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+@query
+def op12_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perplexity.judge(read(spark, sf_dir, "documents"))
+
+
 def with_planted_runs(docs: DataFrame) -> DataFrame:
     """The documents; in every tenth by h = crc32(doc_id) the words from a on repeat p words, as op13's contract says."""
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
