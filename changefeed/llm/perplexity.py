@@ -35,7 +35,7 @@ from changefeed.session import scratch_table
 
 ORDER = 5
 COUNT_CHARS = 1 << 22
-SCORE_CHARS = 1 << 20
+SCORE_CHARS = 1 << 17  # small enough for a core's cache
 WHITE = " \t\n\r\x0b\x0c"
 SYMBOLS = b"#*$%&|<>"
 DIGITS = bytes.maketrans(b"123456789", b"000000000")
@@ -51,6 +51,7 @@ UPPER_WIDTH = 8
 LEAST_SPREAD = 0.05
 PRECISION = 1000  # quantiles are exact over thousandths of a bit
 
+MISSING = "a document holds runs that its file did not have when they were counted"
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 SCORED = "doc_id BIGINT, lang STRING, " + ", ".join(f"{c} BIGINT" for c in COUNTS) + ", n_grams BIGINT, bits DOUBLE"
 
@@ -141,9 +142,10 @@ def distinct_grams(texts: list[str]) -> tuple[list[str], np.ndarray]:
 def hashes(points: np.ndarray, places: np.ndarray, lang: str) -> np.ndarray:
     """A 64-bit number for the run of ORDER code points at each place, in this language."""
     n = max(0, len(points) - ORDER + 1)
-    total = np.zeros(n, U)
-    for k in range(ORDER):
-        total += points[k : k + n].astype(U) * RUN[k]
+    wide = points.astype(U)
+    total = wide[:n] * RUN[0]
+    for k in range(1, ORDER):
+        total += wide[k : k + n] * RUN[k]
     seed = mix(np.full(1, (zlib.crc32(lang.encode()) << 32) | len(lang), U))
     return mix(total[places] ^ seed).astype(np.int64)
 
@@ -291,7 +293,8 @@ def write_arrays(grams: DataFrame, bits: DataFrame) -> str:
 
 
 class Arrays:
-    """The arrays of the block asked for last."""
+    """The arrays of the block asked for last. Hashes are even, so a key's leading bits tell nearly where it stands:
+    `begin` has the first place for each value of these bits, about one for every key."""
 
     def __init__(self, folder: str) -> None:
         self.files, self.path = pafs.FileSystem.from_uri(folder)
@@ -308,11 +311,22 @@ class Arrays:
                 order = np.argsort(self.keys)
                 self.keys, self.values = self.keys[order], self.values[order]
             self.block = block
+            self.lead = max(1, len(self.keys).bit_length())
+            buckets = np.arange(-(1 << self.lead - 1), 1 << self.lead - 1) << 64 - self.lead
+            self.begin = np.searchsorted(self.keys, buckets).astype(np.int32)
         if not len(keys):
             return np.zeros(0)
-        found = np.minimum(np.searchsorted(self.keys, keys), max(0, len(self.keys) - 1))
-        if not len(self.keys) or np.any(self.keys[found] != keys):
-            raise LookupError("a document holds runs that its file did not have when they were counted")
+        if not len(self.keys):
+            raise LookupError(MISSING)
+        found = self.begin[(keys >> 64 - self.lead) + (1 << self.lead - 1)]
+        last = len(self.keys) - 1
+        open_keys = np.flatnonzero(self.keys[np.minimum(found, last)] < keys)
+        while len(open_keys):
+            found[open_keys] += 1
+            open_keys = open_keys[self.keys[np.minimum(found[open_keys], last)] < keys[open_keys]]
+            open_keys = open_keys[found[open_keys] < last]
+        if np.any(self.keys[np.minimum(found, last)] != keys):
+            raise LookupError(MISSING)
         return self.values[found]
 
 
