@@ -46,8 +46,8 @@ REPEAT_WORDS = 3
 
 # A band reaches from the median by so many times the distance to the quantile of 16 or 84 %, which is one
 # standard deviation of normal values, and that distance counts as a twentieth of a bit at least.
-LOWER_WIDTH = 8
-UPPER_WIDTH = 8
+LOWER_WIDTH = 4
+UPPER_WIDTH = 4
 LEAST_SPREAD = 0.05
 PRECISION = 1000  # quantiles are exact over thousandths of a bit
 

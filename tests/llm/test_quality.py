@@ -104,7 +104,7 @@ def judged(rows):
     for lang, xs in good.items():
         xs.sort()
         q = [next(x for k, x in enumerate(xs, 1) if k / len(xs) >= share) for share in (0.16, 0.5, 0.84)]
-        limits[lang] = (q[1] - 8 * max(q[1] - q[0], 50)) / 1000, (q[1] + 1 + 8 * max(q[2] - q[1], 50)) / 1000
+        limits[lang] = (q[1] - 4 * max(q[1] - q[0], 50)) / 1000, (q[1] + 1 + 4 * max(q[2] - q[1], 50)) / 1000
     rows = []
     for doc, lang, c, failed, x in out:
         low, high = limits.get(lang, (None, None))
