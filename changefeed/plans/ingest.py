@@ -4,37 +4,66 @@ from __future__ import annotations
 
 from collections.abc import Callable, Collection
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from changefeed.operators import routing
 from changefeed.settings import Settings
-from changefeed.sources import capture, kafka
+from changefeed.sources import kafka
 
-Place = tuple[str, int]
+POSITION = "file STRING, size BIGINT, modified TIMESTAMP, blocks BIGINT, whole BOOLEAN, number BIGINT"
 
 
-def ordered_events(lines: DataFrame, first_offset: int = 0, after: Place | None = None) -> DataFrame:
-    """Events (data, offset, file, block_no) of captured lines, those behind a place only if one is given.
+def unread_files(spark: SparkSession, captures: str, positions: DataFrame) -> list[str]:
+    """Paths of the capture files that hold something new: not listed among the positions, or longer since.
 
-    A block's offset is `first_offset`, and the blocks of earlier files, by name, and of its own
-    file before it: the same whenever it is read, without sorting the events. The files'
-    sums are one row per file.
+    Only names and lengths are read, and compared with the positions by a join, whatever order the
+    names sort in. The paths come to the driver, as those of any scan do.
     """
-    blanks = lines.groupBy("file").agg(F.count_if(F.col("line") == "").alias("blanks"))
-    earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    starts = blanks.select("file", F.coalesce(F.sum("blanks").over(earlier), F.lit(0)).alias("start"))
-    events = capture.sse_events(capture.sse_blocks(lines)).join(starts, "file")
-    if after is not None:
-        events = events.where(behind(after))
-    offset = F.lit(first_offset) + F.col("start") + F.col("block_no")
-    return events.select("data", offset.cast("bigint").alias("offset"), "file", "block_no")
-
-
-def behind(place: Place):
-    """Blocks after a place, in order of file names and of blocks in a file."""
-    file, block_no = place
-    return (F.col("file") > file) | ((F.col("file") == file) & (F.col("block_no") > block_no))
+    listing = spark.read.format("binaryFile").load(captures)
+    listing = listing.select("path", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"))
+    done = positions.where("whole").select("file", F.col("size").alias("read"))
+    unread = listing.join(done, "file", "left").where("read is null or read <> size")
+    return [row["path"] for row in unread.select("path").collect()]
+
+
+def file_places(ends: DataFrame, positions: DataFrame) -> DataFrame:
+    """(file, size, modified, blanks, taken, before): what each file being read holds and what has been taken of it.
+
+    `before` is the number of new blocks in the files that come before it, by time and then by name.
+    One row per file.
+    """
+    files = ends.groupBy("file").agg(
+        F.max("size").alias("size"), F.max("modified").alias("modified"), F.max("file_blanks").alias("blanks")
+    )
+    files = files.join(positions.select("file", F.col("blocks").alias("taken")), "file", "left")
+    files = files.withColumn("taken", F.coalesce("taken", F.lit(0)))
+    earlier = Window.orderBy("modified", "file").rowsBetween(Window.unboundedPreceding, -1)
+    fresh = F.greatest(F.col("blanks") - F.col("taken"), F.lit(0))
+    return files.withColumn("before", F.coalesce(F.sum(fresh).over(earlier), F.lit(0)))
+
+
+def placed_blocks(blocks: DataFrame, files: DataFrame, first_offset: int = 0) -> DataFrame:
+    """Closed blocks that have not been taken yet, with their `offset`: they follow each other from `first_offset`,
+    file by file, and are the same whenever they are read, without sorting the blocks."""
+    places = files.select("file", "modified", "taken", "before")
+    offset = F.lit(first_offset) + F.col("before") + F.col("block_no") - F.col("taken")
+    fresh = blocks.join(places, "file").where("block_no >= taken")
+    return fresh.withColumn("offset", offset.cast("bigint")).drop("taken", "before")
+
+
+def new_positions(files: DataFrame, number: int, last: tuple | None = None) -> DataFrame:
+    """What has been taken of each file after this batch; `last`: (modified, file, block_no) of the last event taken,
+    where the batch stops there. Files behind it stay as they are."""
+    blocks, whole = F.col("blanks"), F.lit(True)
+    if last is not None:
+        modified, file, block_no = last
+        place = F.struct(F.col("modified"), F.col("file"))
+        end = F.struct(F.lit(modified), F.lit(file))
+        files = files.where(place <= end)
+        blocks = F.when(place == end, F.lit(block_no) + 1).otherwise(blocks)
+        whole = (place < end) | (blocks == F.col("blanks"))
+    return files.select("file", "size", "modified", blocks.cast("bigint").alias("blocks"), whole.alias("whole"), F.lit(number).cast("bigint").alias("number"))
 
 
 def store_raw(

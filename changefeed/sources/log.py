@@ -53,5 +53,12 @@ class StateLog:
         """Whether a table folder has been written to its end."""
         return self._files.exists(self._jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS"))
 
+    def move(self, folder: str, to: str) -> None:
+        """Rename a folder that has been written to its end; readers see all of it or nothing."""
+        place = self._jvm.org.apache.hadoop.fs.Path(to)
+        self._files.mkdirs(place.getParent())
+        if not self._files.rename(self._jvm.org.apache.hadoop.fs.Path(folder), place):
+            raise OSError(f"could not move {folder} to {to}")
+
     def remove(self, folder: str) -> None:
         self._files.delete(self._jvm.org.apache.hadoop.fs.Path(folder), True)

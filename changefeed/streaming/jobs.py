@@ -18,8 +18,8 @@ from changefeed.operators import clean as C
 from changefeed.operators import stats
 from changefeed.operators.keyed import latest_per_key
 from changefeed.operators.routing import first_events
-from changefeed.plans.ingest import behind, ordered_events, store_raw, to_table, to_topic
-from changefeed.session import ship_package
+from changefeed.plans.ingest import POSITION, file_places, new_positions, placed_blocks, store_raw, to_table, to_topic, unread_files
+from changefeed.session import checkpointed, ship_package
 from changefeed.settings import Settings
 from changefeed.sources import capture, files
 from changefeed.sources.log import StateLog
@@ -74,21 +74,40 @@ class Jobs:
         lines = self.spark.readStream.option(*limit).text(captures).select("value", "_metadata")
 
         def write_batch(batch: DataFrame, batch_id: int) -> None:
-            self._append(capture.number_lines(batch), wikis, kafka, batch_id=batch_id)
+            self._append(capture.place_lines(batch), wikis, kafka, batch_id=batch_id)
 
         return self._start(lines.writeStream.foreachBatch(write_batch), "ingest")
 
     def ingest_once(
         self, captures: str, wikis: tuple[str, ...] = (), max_events: int | None = None, kafka: bool = False
     ) -> dict[str, float]:
-        """Append what has been captured since the stored place, or its first `max_events` events.
+        """Append what has been captured and not been taken yet, or its first `max_events` events.
 
-        A stream started later leaves out what was taken here. File names must sort in the order
-        of capture.
+        Files are taken in the order of their modification times, those of one time by name. Only files
+        that are new or have grown since are opened, whatever their names.
         """
         before = Counter(self.ingested)
-        self._append(capture.read_capture(self.spark, captures), wikis, kafka, max_events=max_events)
-        return {name: self.ingested[name] - before[name] for name in self.ingested}
+        unread = unread_files(self.spark, captures, self.positions())
+        if unread:
+            self._append(capture.read_capture(self.spark, unread), wikis, kafka, max_events=max_events)
+        return {name: self.ingested[name] - before[name] for name in before | self.ingested}
+
+    def positions(self) -> DataFrame:
+        """(file, size, modified, blocks, whole, number): how many blocks have been taken of every capture file, and in
+        which batch; `whole` if all that it held at this size."""
+        return self._positions(self._ingest_state(self._ingest_log())["positions"])
+
+    def _positions(self, folders: list[str]) -> DataFrame:
+        if not folders:
+            return self.spark.createDataFrame([], POSITION)
+        return latest_per_key(self.spark.read.schema(POSITION).parquet(*folders), ("file",), "number")
+
+    def resume_position(self) -> str | None:
+        """The id after which a capture of the feed can go on: the last one stored, by the files' times."""
+        return self._ingest_state(self._ingest_log())["last_event_id"]
+
+    def _ingest_log(self) -> StateLog:
+        return StateLog(self.spark, self.path("raw_log"))
 
     def _append(
         self,
@@ -98,57 +117,71 @@ class Jobs:
         batch_id: int | None = None,
         max_events: int | None = None,
     ) -> None:
-        """One batch of captured lines to a folder of its own: announced, written, and then counted.
+        """One batch of captured lines to a folder of its own: announced, written, moved into place, and then counted.
 
-        The state holds the next offset, the last batch of the stream, the last place handled, the
-        last place a single run has taken, and the feed's own last event id, from which a
-        capture can go on.
+        The state holds the next offset, the last batch of the stream, the folders that tell what has
+        been taken of each file, and the feed's own last event id with its place. A folder is written
+        where readers of `raw` do not look and renamed when it is complete, so they see whole batches.
         """
         began = time.monotonic()
-        log = StateLog(self.spark, self.path("raw_log"))
+        log = self._ingest_log()
         state = self._ingest_state(log)
         if batch_id is not None and batch_id <= state["batch"]:
             return
-        after = state["taken"] if batch_id is not None else state["place"]
-        if batch_id is None and after is not None:
-            lines = lines.where(F.col("file") >= after[0])
-        events = ordered_events(lines, state["next_offset"], after)
-        blocks = capture.sse_blocks(lines)
+        number = state["number"] + 1
+        ends = capture.split_ends(lines)
+        files_read = checkpointed(file_places(ends, self._positions(state["positions"])))
+        blocks = placed_blocks(capture.sse_blocks(lines, ends), files_read, state["next_offset"])
+        events = capture.sse_events(blocks)
+        last = None
         if max_events is not None:
             events = first_events(events, max_events)
-            last = events.agg(F.max(F.struct("file", "block_no")).alias("last")).first()["last"]
-            blocks = blocks.where(~behind(tuple(last))) if last else blocks.limit(0)
-        seen = blocks.agg(
-            F.max(F.struct("file", "block_no")).alias("last"),
-            F.max_by("id", F.when(F.col("id") != "", F.struct("file", "block_no"))).alias("id"),
-        ).first()
-        total = lines.agg(F.count_if(F.col("line") == "").alias("n")).first()["n"]
-        place = max(filter(None, (state["place"], seen["last"] and list(seen["last"]))), default=None)
+            place = F.struct("offset", "modified", "file", "block_no")
+            last = events.agg(F.count("*").alias("n"), F.max(place).alias("last")).first()
+            # fewer events than asked for: all blocks are taken, those without an event too
+            last = last["last"] if last["n"] >= max_events else None
+            if last is not None:
+                blocks = blocks.where(F.col("offset") <= last["offset"])
+        place = F.struct(F.date_format("modified", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("modified"), "file", "block_no")
+        newest = blocks.where("id <> ''").agg(F.max_by(place, "offset").alias("place"), F.max_by("id", "offset").alias("id")).first()
+        if newest["place"] and (state["id_place"] or []) < list(newest["place"]):
+            state |= {"id_place": list(newest["place"]), "last_event_id": newest["id"]}
+        total = files_read.agg(F.sum(F.greatest(F.col("blanks") - F.col("taken"), F.lit(0))).alias("n")).first()["n"] or 0
+        positions = self.path(f"raw_positions/batch={number:012d}")
+        taken = new_positions(files_read, number, last and tuple(last)[1:])
+        folders = [*state["positions"], positions]
+        if len(folders) > COMPACT_EVERY:
+            older = self._positions(state["positions"])
+            taken, folders = older.join(taken, "file", "left_anti").unionByName(taken), [positions]
+        taken.write.mode("overwrite").parquet(positions)
         after_it = state | {
-            "number": state["number"] + 1,
-            "next_offset": state["next_offset"] + total,
-            "place": place,
-            "last_event_id": seen["id"] or state["last_event_id"],
-            **({"batch": batch_id} if batch_id is not None else {"taken": place}),
+            "number": number,
+            "next_offset": last["offset"] + 1 if last is not None else state["next_offset"] + total,
+            "positions": folders,
+            **({"batch": batch_id} if batch_id is not None else {}),
         }
-        folder = self.path(f"raw/batch={after_it['number']:012d}")
+        unfinished, folder = (self.path(f"raw/{place}batch={number:012d}") for place in ("_unfinished/", ""))
+        if not kafka:
+            log.write(state | {"pending": {"unfinished": unfinished, "folder": folder, "state": after_it}})
+        self.ingested.update(store_raw(events, to_topic(self.settings) if kafka else to_table(unfinished), wikis))
         if not kafka:
-            log.write(state | {"pending": {"folder": folder, "state": after_it}})
-        write = to_topic(self.settings) if kafka else to_table(folder)
-        self.ingested.update(store_raw(events, write, wikis))
+            log.move(unfinished, folder)
         log.write(after_it)
         self.ingested.update({"seconds": time.monotonic() - began})
 
     def _ingest_state(self, log: StateLog) -> dict:
-        """The state of ingest. A batch that was announced counts if its folder is complete, and is else taken back."""
-        state = {"number": 0, "next_offset": 0, "batch": -1, "place": None, "taken": None, "last_event_id": None}
-        state |= log.read()
+        """The state of ingest. A batch that was announced counts once its folder is complete, and is else taken back."""
+        state = {"number": 0, "next_offset": 0, "batch": -1, "positions": []}
+        state |= {"id_place": None, "last_event_id": None} | log.read()
         pending = state.pop("pending", None)
         if pending:
-            if log.complete(pending["folder"]):
+            folder, unfinished = pending["folder"], pending.get("unfinished", pending["folder"])
+            if not log.complete(folder) and log.complete(unfinished):
+                log.move(unfinished, folder)
+            if log.complete(folder):
                 state = pending["state"]
             else:
-                log.remove(pending["folder"])
+                log.remove(unfinished)
             log.write(state)
         return state
 
