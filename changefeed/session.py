@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 PACKAGE = Path(__file__).resolve().parent
 _shipped: set[str] = set()
 
+# What a Python worker is handed at once. Spark's own limit is some 64 MB, of which a worker may hold several copies.
+BATCH_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20)
+
 STATIC_CONF = {
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.adaptive.enabled": "true",
@@ -38,9 +41,12 @@ def build_session(app: str = "changefeed", master: str | None = None, **conf: st
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors of the session, once: functions that run there are found by its name.
 
-    The archive is handed out by Spark's own file server, like the files of `--py-files`.
+    The archive is handed out by Spark's own file server, like the files of `--py-files`. Unless
+    the session says otherwise, batches for Python are kept to BATCH_BYTES.
     """
     context = spark.sparkContext
+    if spark.conf.get(BATCH_BYTES[0], None) is None:
+        spark.conf.set(BATCH_BYTES[0], str(BATCH_BYTES[1]))
     if context.applicationId in _shipped:
         return
     folder = tempfile.mkdtemp(prefix="changefeed-package-")
