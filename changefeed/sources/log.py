@@ -53,6 +53,11 @@ class StateLog:
         """Whether a table folder has been written to its end."""
         return self._files.exists(self._jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS"))
 
+    def children(self, folder: str) -> list[str]:
+        """Names of what lies in a folder."""
+        place = self._jvm.org.apache.hadoop.fs.Path(folder)
+        return [s.getPath().getName() for s in self._files.listStatus(place)] if self._files.exists(place) else []
+
     def move(self, folder: str, to: str) -> None:
         """Rename a folder that has been written to its end; readers see all of it or nothing."""
         place = self._jvm.org.apache.hadoop.fs.Path(to)

@@ -26,6 +26,7 @@ from changefeed.sources.log import StateLog
 from changefeed.streaming.wars import edit_wars_stream
 
 COMPACT_EVERY = 50
+DAY_SECONDS = 24 * 60 * 60
 PART = "window STRUCT<start: TIMESTAMP, end: TIMESTAMP>, wiki STRING, kind STRING, member STRING, " + ", ".join(
     f"{name} BIGINT" for name in stats.MEASURES
 )
@@ -218,54 +219,87 @@ class Jobs:
     ) -> StreamingQuery:
         """Early windows, corrected as edits come in: each batch writes the parts it changed.
 
-        `send` gets the whole rows of the windows a batch has changed, at least once, to write
-        them to a topic for example. Every so many batches the newest version of every part is
-        written together, and what it was made of goes with the next compaction.
+        Parts lie in folders by the day of their window, and the log names those of each day. `send`
+        gets the whole rows of the windows a batch has changed, at least once, to write them to a
+        topic for example; for this only the days it has changed are read. Every so many changes of a
+        day the newest version of its parts is written together. Once no window of a day can change
+        any more, this is done a last time, and then the day is never touched again.
         """
         parts = stats.window_parts(clean, self.settings.window_minutes, self.settings.out_of_order_seconds)
+        parts = parts.withColumn("day", F.floor(F.unix_seconds("window.start") / DAY_SECONDS).cast("int"))
 
         def write_batch(batch: DataFrame, batch_id: int) -> None:
             log = StateLog(self.spark, self.path("stats_log"))
-            state = {"table": None, "batches": [], "stale": [], "last": -1} | log.read()
+            state = self._parts_state(log)
             if batch_id <= state["last"]:
                 return
             folder = self.path(f"stats_parts/batch={batch_id:08d}")
-            batch.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").parquet(folder)
-            state["batches"].append(batch_id)
+            batch.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").partitionBy("day").parquet(folder)
+            changed = [name.partition("=")[2] for name in log.children(folder) if name.startswith("day=")]
+            if not changed:
+                log.remove(folder)
             state["last"] = batch_id
-            if send is not None:
-                send(self._changed_stats(state, batch_id - 1))
-            if len(state["batches"]) >= compact_every:
-                table = self.path(f"stats_parts/upto={batch_id:08d}")
-                self._newest_parts(state).write.mode("overwrite").parquet(table)
-                stale = [self.path(f"stats_parts/batch={n:08d}") for n in state["batches"]]
-                stale += [state["table"]] if state["table"] else []
-                for old in state["stale"]:
-                    log.remove(old)
-                state |= {"table": table, "batches": [], "stale": stale}
+            for day in changed:
+                known = state["days"].setdefault(day, {"folders": []})
+                known["folders"].append(folder)
+                known["last"] = batch_id
+            if send is not None and changed:
+                send(self._changed_stats({day: state["days"][day] for day in changed}, batch_id - 1))
+            self._compact(log, state, changed, compact_every)
             log.write(state)
 
         return self._start(parts.writeStream.outputMode("update").foreachBatch(write_batch), "stats_upserts")
 
-    def _newest_parts(self, state: dict) -> DataFrame:
-        """The newest version of every part, of the compacted table and the batches since."""
-        paths = [self.path(f"stats_parts/batch={n:08d}") for n in state["batches"]]
-        paths += [state["table"]] if state["table"] else []
-        parts = self.spark.read.schema(f"{PART}, batch INT").parquet(*paths)
+    def _parts_state(self, log: StateLog) -> dict:
+        """Days with the folders that hold their parts and the last batch that changed them; folders no longer in use."""
+        return {"days": {}, "stale": [], "last": -1} | log.read()
+
+    def _compact(self, log: StateLog, state: dict, changed: list[str], compact_every: int) -> None:
+        """Put the parts of days together that have been changed often or are over.
+
+        A day is over once a later day but one has parts. What is replaced goes with the next call, so a
+        reader that has just read the log still finds it.
+        """
+        over = max(map(int, state["days"]), default=0) - 1
+        due = [
+            day
+            for day, known in state["days"].items()
+            if len(known["folders"]) >= (max(2, compact_every) if day in changed or int(day) >= over else 2)
+        ]
+        if not due:
+            return
+        for old in state["stale"]:
+            log.remove(old)
+            parent = old.rpartition("/")[0]
+            if not any(name.startswith("day=") for name in log.children(parent)):
+                log.remove(parent)
+        table = self.path(f"stats_parts/upto={state['last']:08d}")
+        newest = self._newest_parts({day: state["days"][day] for day in due})
+        day = F.floor(F.unix_seconds("window.start") / DAY_SECONDS).cast("int")
+        newest.withColumn("day", day).write.mode("overwrite").partitionBy("day").parquet(table)
+        state["stale"] = [f"{folder}/day={day}" for day in due for folder in state["days"][day]["folders"]]
+        for day in due:
+            state["days"][day]["folders"] = [table]
+
+    def _newest_parts(self, days: dict) -> DataFrame:
+        """The newest version of every part of these days."""
+        paths = [f"{folder}/day={day}" for day, known in days.items() for folder in known["folders"]]
+        schema = f"{PART}, batch INT"
+        parts = self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
         return latest_per_key(parts, keys=("window", "wiki", "kind", "member"), order="batch")
 
     def corrected_stats(self) -> DataFrame:
         """Statistics from the newest version of every part."""
-        state = {"table": None, "batches": []} | StateLog(self.spark, self.path("stats_log")).read()
-        return stats.roll_up(self._newest_parts(state).drop("batch"))
+        state = self._parts_state(StateLog(self.spark, self.path("stats_log")))
+        return stats.roll_up(self._newest_parts(state["days"]).drop("batch"))
 
     def changed_stats(self, since: int) -> DataFrame:
         """Whole rows of the windows that batches after `since` have changed: the corrections to send on."""
-        state = {"table": None, "batches": []} | StateLog(self.spark, self.path("stats_log")).read()
-        return self._changed_stats(state, since)
+        days = self._parts_state(StateLog(self.spark, self.path("stats_log")))["days"]
+        return self._changed_stats({day: known for day, known in days.items() if known["last"] > since}, since)
 
-    def _changed_stats(self, state: dict, since: int) -> DataFrame:
-        parts = self._newest_parts(state)
+    def _changed_stats(self, days: dict, since: int) -> DataFrame:
+        parts = self._newest_parts(days)
         changed = parts.where(F.col("batch") > since).select("window", "wiki").distinct()
         same = [parts[name].eqNullSafe(changed[name]) for name in ("window", "wiki")]
         return stats.roll_up(parts.join(changed, same, "left_semi").drop("batch"))

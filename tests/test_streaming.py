@@ -289,15 +289,51 @@ def test_parts_are_compacted(spark, edits):
     assert sent == {r["key"]: r["value"] for r in final}
     assert same(feed.jobs.corrected_stats(), stats.wiki_stats(edits(rows)))
     state = StateLog(spark, feed.jobs.path("stats_log")).read()
-    assert len(state["batches"]) < 2 and state["table"]
+    assert all(len(day["folders"]) < 2 for day in state["days"].values())
     kept = os.listdir(feed.jobs.path("stats_parts").removeprefix("file:"))
     assert len(kept) <= 6
-    newest = feed.jobs._newest_parts(state).agg(F.max("batch")).first()[0]
+    newest = feed.jobs._newest_parts(state["days"]).agg(F.max("batch")).first()[0]
     changed = feed.jobs.changed_stats(newest - 1)
     assert 0 < changed.count() < feed.jobs.corrected_stats().count()
     assert changed.exceptAll(feed.jobs.corrected_stats()).count() == 0
 
 
+def bytes_read(spark, group):
+    """Input metrics of the jobs run under a group name."""
+    store, tracker = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext.statusTracker()
+    stages = {s for job in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(job).stageIds}
+    return sum(store.lastStageAttempt(s).inputBytes() for s in stages if tracker.getStageInfo(s))
+
+
+def test_cost_of_corrections_does_not_grow_with_history(spark, edits):
+    """A batch reads the days it changes, and a day that is over is written together once and then left alone."""
+    sc, day, seen = spark.sparkContext, 24 * 3600, []
+
+    def send(changed):
+        sc.setJobGroup(f"send-{id(seen)}-{len(seen)}", "")
+        seen.append({(r["wiki"], r["edits"]) for r in changed.collect()})
+
+    feed = Feed(spark, edits, lambda jobs, clean: jobs.start_stats_upserts(clean, compact_every=4, send=send))
+    folder = feed.jobs.path("stats_parts").removeprefix("file:")
+    rows, history = [], []
+    for k in range(9):
+        batch = [("w", f"P{i}", f"u{i}", False, 1, "edit", T0 + k * day + i // 40, k * 1000 + i) for i in range(200)]
+        feed.add(batch)
+        more = [("w", "P0", "late", False, 1, "edit", T0 + k * day + 10, k * 1000 + 999)]
+        feed.add(more)
+        rows += batch + more
+        state = StateLog(spark, feed.jobs.path("stats_log")).read()
+        history.append({d: known["folders"] for d, known in state["days"].items()})
+    assert same(feed.jobs.corrected_stats(), stats.wiki_stats(edits(rows)))
+    read = [bytes_read(spark, f"send-{id(seen)}-{k}") for k in range(len(seen))]
+    assert len(read) >= 18 and 0 < max(read[-6:]) < 1.1 * max(read[2:8])
+    first_day = min(history[-1])
+    settled = [state[first_day] for state in history[2:]]
+    assert all(len(folders) == 1 for folders in settled) and len({tuple(f) for f in settled}) == 1
+    assert all(len(os.listdir(os.path.join(folder, name))) for name in os.listdir(folder))
+    assert {wiki for changed in seen for wiki, _ in changed} == {"w"}
+
+
 def test_nulls_give_the_same_on_a_stream_and_in_a_batch(spark, edits):
     rows = []
     for page, (users, bots, deltas) in enumerate(
