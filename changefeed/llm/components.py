@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from changefeed.session import scratch_table
 
+HOT_KEYS = 10_000
+LEAST_HOT = 1_000
+
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Written to the shared folder and read back: computed once, safe from lost executors."""
@@ -24,6 +27,30 @@ def measured(df: DataFrame, name: str, **measures: Column) -> tuple[DataFrame, d
     return stored(df.observe(seen, *(column.alias(key) for key, column in measures.items())), name), seen.get
 
 
+def join_spread(rows: DataFrame, table: DataFrame, keys: list[str], total: int) -> DataFrame:
+    """`rows` left-joined with a table that has one row per key and says in `n` how many of `total` rows have it.
+
+    Keys that hold more than one in HOT_KEYS of all rows, so fewer than HOT_KEYS of them, are sent to
+    every task; their rows stay where they are or are spread. All others fit a task with room to spare.
+    """
+    limit = max(LEAST_HOT, total // HOT_KEYS)
+    values = [name for name in table.columns if name not in (*keys, "n")]
+    hot = table.where(F.col("n") > limit).select(*keys, F.struct(F.lit(True).alias("found"), *values).alias("_hot"))
+    cold = table.where(F.col("n") <= limit).select(*keys, F.lit(0).cast("bigint").alias("_salt"), F.struct(*values).alias("_cold"))
+    marked = rows.join(F.broadcast(hot), keys, "left")
+    salt = F.when(F.col("_hot").isNull(), F.lit(0).cast("bigint")).otherwise(F.xxhash64(*(c for c in rows.columns if c not in keys)))
+    joined = marked.withColumn("_salt", salt).join(cold, [*keys, "_salt"], "left")
+    return joined.select(*rows.columns, *(F.coalesce(F.col(f"_hot.{name}"), F.col(f"_cold.{name}")).alias(name) for name in values))
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, or one like it that the table has no column of."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def union(parent: dict[int, int], a: int, b: int) -> None:
     a, b = find(parent, a), find(parent, b)
     if a != b:

@@ -9,11 +9,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changefeed.llm.components import stored
+from changefeed.llm.components import free_name, join_spread, measured
 from changefeed.llm.near import Likeness, near_components
 from changefeed.llm.words import character_runs
 
-SHINGLE_CHARS = 8
+SHINGLE_CHARS = 5
 PERCENT = 80
 BINS, ROWS = 80, 4  # 20 bands: a pair at the threshold is missed 3 times in 100,000
 TRIM = " \t\r\x0b\x0c"
@@ -27,10 +27,10 @@ LIKENESS = Likeness(line_sets, BINS, ROWS, PERCENT)
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
-    """(doc_id, line_no, body, id) of lines long enough to hold a shingle; the id is a hash of the trimmed line."""
+    """(doc_id, line_no, body, id) of lines that are not blank; the id is a hash of the trimmed line."""
     exploded = docs.where("doc_id is not null").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     bodies = exploded.select("doc_id", "line_no", F.btrim("line", F.lit(TRIM)).alias("body"))
-    return bodies.where(F.length("body") >= SHINGLE_CHARS).withColumn("id", F.xxhash64("body"))
+    return bodies.where("body <> ''").withColumn("id", F.xxhash64("body"))
 
 
 def line_keys(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -67,20 +67,23 @@ def line_classes(docs: DataFrame) -> DataFrame:
     """(doc_id, line_no, kept_doc_id, kept_line_no, kept), one row per line of `docs` (doc_id BIGINT, text STRING, more ignored).
 
     Lines are split at line feeds, numbered from 0 and trimmed of white space. Two lines are linked
-    if they are equal or if their sets of 8-character runs have a Jaccard similarity of 0.8 or
-    more; each component keeps its first line by (doc_id, line_no).
+    if they are equal or if their sets of 5-character runs have a Jaccard similarity of 0.8 or
+    more; a line of under five characters is one run, so it is linked with equal lines only. Each
+    component keeps its first line by (doc_id, line_no).
 
-    Lines of under eight characters hold no run: they are left alone and not listed, as are all
-    lines of null or empty texts and of rows without a doc_id. Rows that repeat a doc_id list their
-    lines again; a line at the kept place is kept each time. An empty table gives no rows.
+    Blank lines are left alone and not listed, as are all lines of null or empty texts and of rows
+    without a doc_id. Rows that repeat a doc_id list their lines again; a line at the kept place is
+    kept each time. An empty table gives no rows.
 
     Equal lines are grouped by a 64-bit hash before anything else, within each task already for the
-    band keys, so a line in a third of all documents costs a few rows per task.
+    band keys, so a line in a third of all documents costs a few rows per task; where lines get their
+    keeper, such a line's rows stay spread.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     lines = lines_of(rows)
-    first = stored(lines.groupBy("id").agg(F.min(F.struct("doc_id", "line_no")).alias("first")), "lines")
-    keys = lines.select("id", "body").mapInArrow(line_keys, "id BIGINT, key BIGINT")
+    grouped = lines.groupBy("id").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("n"))
+    first, seen = measured(grouped, "lines", total=F.sum("n"))
+    keys = lines.where(F.length("body") >= SHINGLE_CHARS).select("id", "body").mapInArrow(line_keys, "id BIGINT, key BIGINT")
 
     def fetch(ids: DataFrame) -> DataFrame:
         places = first.join(ids, "id").select("first.doc_id", F.struct("first.line_no", "id").alias("place"))
@@ -93,8 +96,8 @@ def line_classes(docs: DataFrame) -> DataFrame:
     linked = first.join(components, "id")
     keepers = linked.groupBy("component").agg(F.min("first").alias("keeper"))
     keeper_of = linked.join(keepers, "component").select("id", "keeper")
-    chosen = first.join(keeper_of, "id", "left").select("id", F.coalesce("keeper", "first").alias("keeper"))
-    placed = lines.select("doc_id", "line_no", "id").join(chosen, "id")
+    chosen = first.join(keeper_of, "id", "left").select("id", "n", F.coalesce("keeper", "first").alias("keeper"))
+    placed = join_spread(lines.select("doc_id", "line_no", "id"), chosen, ["id"], seen["total"] or 0)
     return placed.select(
         "doc_id",
         "line_no",
@@ -108,14 +111,20 @@ def drop_lines(docs: DataFrame) -> DataFrame:
     """The documents without the lines that are not kept; `n_chars`, if there, is counted anew.
 
     A document that had lines to lose and has no text left is gone: all of it stands elsewhere.
+    Documents with a null, empty or blank text, and rows without a doc_id, stay as they are. Rows that
+    repeat a doc_id lose the lines of any of them at the same place. An empty table stays empty.
     """
-    gone = line_classes(docs).where("not kept").groupBy("doc_id").agg(F.collect_set("line_no").alias("_gone"))
-    together, columns = docs.join(gone, "doc_id", "left"), docs.columns
+    gone_of = free_name(docs, "gone_lines")
+    gone = line_classes(docs).where("not kept").groupBy("doc_id").agg(F.collect_set("line_no").alias(gone_of))
+    columns = docs.columns
+    # the small side is hashed, so that whole documents are neither sorted nor held
+    together = docs.join(gone.hint("shuffle_hash"), "doc_id", "left")
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for text, places in zip(batch.column("text").to_pylist(), batch.column("_gone").to_pylist(), strict=True):
+            gone_lines = batch.column(gone_of).to_pylist()
+            for text, places in zip(batch.column("text").to_pylist(), gone_lines, strict=True):
                 if places and text is not None:
                     drop = set(places)
                     text = "\n".join(line for at, line in enumerate(text.split("\n")) if at not in drop)
@@ -123,8 +132,8 @@ def drop_lines(docs: DataFrame) -> DataFrame:
                 texts.append(text)
             at = batch.schema.get_field_index("text")
             batch = batch.set_column(at, "text", pa.array(texts, pa.string()))
-            lost = np.array([bool(g) and t is None for g, t in zip(batch.column("_gone").to_pylist(), texts, strict=True)], bool)
+            lost = np.array([bool(g) and t is None for g, t in zip(gone_lines, texts, strict=True)], bool)
             yield batch.filter(pa.array(~lost)).select(columns)
 
-    left = together.select(*columns, "_gone").mapInArrow(cut, docs.schema)
+    left = together.select(*columns, gone_of).mapInArrow(cut, docs.schema)
     return left.withColumn("n_chars", F.length("text").cast("bigint")) if "n_chars" in columns else left

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changefeed.llm.components import stored
+from changefeed.llm.components import join_spread, measured, stored
 from changefeed.llm.near import Likeness, near_components
 from changefeed.llm.sketch import bands, sketches
 from changefeed.llm.words import SPACES, U, ascii_lower, mix, runs, slices, text_words
@@ -79,21 +79,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     cost one comparison. See `near` for what follows.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    profile = stored(rows.mapInArrow(profiles, PROFILE), "profiles")
-    classes = profile.where("n_shingles > 0").groupBy(*SAME).agg(F.min("doc_id").alias("rep"))
-    keys = (
-        profile.join(classes, SAME)
-        .where("doc_id = rep")
-        .select(F.col("doc_id").alias("id"), F.explode("keys").alias("key"))
-    )
+    profile, seen = measured(rows.mapInArrow(profiles, PROFILE), "profiles", total=F.count("*"))
+    grouped = profile.where("n_shingles > 0").groupBy(*SAME).agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"))
+    classes = stored(grouped, "classes")
+    reps = classes.select(*SAME, F.col("rep").alias("doc_id"))
+    keys = profile.join(reps, [*SAME, "doc_id"], "left_semi").select(F.col("doc_id").alias("id"), F.explode("keys").alias("key"))
 
     def fetch(ids: DataFrame) -> DataFrame:
         named = rows.withColumnRenamed("doc_id", "id")
         return named.join(ids.hint("shuffle_hash"), "id", "left_semi").distinct()
 
     components = near_components(keys, fetch, LIKENESS).withColumnRenamed("node", "rep")
-    placed = profile.drop("keys").join(classes, SAME, "left").join(components, "rep", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id"))
+    # each class gets its component first, so that a class with many copies is joined with them once, and spread
+    named = classes.join(components, "rep", "left").select(*SAME, "n", F.coalesce("component", "rep").alias("component"))
+    placed = join_spread(profile.drop("keys"), named, SAME, seen["total"])
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return placed.select(
         "doc_id",
         "n_shingles",
@@ -103,6 +103,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """The documents that are kept, with all their columns; a row repeated as a whole stays once."""
-    gone = near_duplicates(docs).where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns).distinct()
+    """The documents that are kept, with all their columns.
+
+    Of rows that repeat a doc_id and a text one stays. Null and empty texts are no duplicates of each
+    other; rows without a doc_id all stay. An empty table stays empty. Documents are joined with the
+    few that go, which are hashed; they are not sorted or compared as a whole.
+    """
+    found = near_duplicates(docs).where("doc_id is not null").groupBy("doc_id")
+    marks = found.agg(F.bool_and("kept").alias("kept"), F.count("*").alias("n")).where("not kept or n > 1")
+    marks, seen = measured(marks, "marks", repeated=F.count_if("kept"))
+    gone, repeated = (marks.where(c).select("doc_id").hint("shuffle_hash") for c in ("not kept", "kept"))
+    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    if not seen["repeated"]:
+        return left
+    once = left.join(repeated, "doc_id", "left_anti").select(*docs.columns)
+    several = left.join(repeated, "doc_id", "left_semi").select(*docs.columns)
+    return once.unionByName(several.dropDuplicates(["doc_id", "text"]))

@@ -8,8 +8,10 @@ Texts whose sketches share a band fall into one bucket. Pairs inside a bucket ar
    where those agree in a share of bins not far below the threshold, the whole sets, in the
    same task.
 
-So no link that banding finds can be lost to the choice of a hub, a group of n near copies
-costs about n rows instead of n^2, and only links leave a task.
+So no link that banding finds is lost to the choice of a hub, a group of n near copies costs about
+n rows instead of n^2, and only links leave a task. Where blocks are compared, sketches of two sets
+that just reach a threshold of 0.75 disagree so far that they are not looked at about once in ten
+million times, at 0.8 more seldom still.
 """
 
 from __future__ import annotations
@@ -27,9 +29,9 @@ from changefeed.llm.sketch import bands, compact, sketches
 from changefeed.llm.words import slices
 
 BLOCK = 512
-BLOCK_BYTES = 4_000_000
+BLOCK_BYTES = 1_000_000
 BLOCK_BINS = 192
-BLOCK_SLACK = 0.135  # of the bins, by which sketches may agree less than the sets do: over four standard deviations
+BLOCK_SLACK = 0.17  # of the bins, by which sketches may agree less than the sets do: over five standard deviations
 
 
 @dataclass(frozen=True)
@@ -188,6 +190,7 @@ def residual_links(members: DataFrame, labels: DataFrame, texts: DataFrame, like
                         if b.component[y] not in joined and likeness.alike(a.items(x), b.items(y)):
                             joined.add(b.component[y])
                             found.append((int(a.ids[x]), int(b.ids[y])))
+                    a.known.pop(x, None)
             columns = list(zip(*found, strict=True)) or [(), ()]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
 

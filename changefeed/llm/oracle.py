@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from changefeed.llm import licenses, secret_scan
-from changefeed.llm.lines import PERCENT as LINE_PERCENT
-from changefeed.llm.lines import SHINGLE_CHARS
 
 ASCII_LOWER = f"translate(coalesce({{}}, ''), '{licenses.UPPER}', '{licenses.LOWER}')"
 
@@ -81,15 +79,15 @@ LINES = f"""
         FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents WHERE text IS NOT NULL)
     ), bodies AS (
         SELECT body, row_number() OVER (ORDER BY body) AS id, min({{'d': doc_id, 'l': line_no}}) AS first
-        FROM l WHERE length(body) >= {SHINGLE_CHARS} GROUP BY body
+        FROM l WHERE body <> '' GROUP BY body
     ), s AS (
-        SELECT DISTINCT id, unnest(list_transform(range(1, length(body) - {SHINGLE_CHARS - 2}), lambda i: substr(body, i, {SHINGLE_CHARS}))) AS shingle
+        SELECT DISTINCT id, unnest(list_transform(range(1, greatest(length(body) - 4, 1) + 1), lambda i: substr(body, i, 5))) AS shingle
         FROM bodies
     ), n AS (SELECT id, count(*) AS n FROM s GROUP BY ALL),
     pairs AS (
         SELECT a.id AS x, b.id AS y, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.id < b.id GROUP BY ALL
     ), links AS (
-        SELECT x, y FROM pairs JOIN n p ON x = p.id JOIN n q ON y = q.id WHERE 100 * c >= {LINE_PERCENT} * (p.n + q.n - c)
+        SELECT x, y FROM pairs JOIN n p ON x = p.id JOIN n q ON y = q.id WHERE 100 * c >= 80 * (p.n + q.n - c)
     ), {components('n')},
     keepers AS (SELECT root, min(first) AS keeper FROM component JOIN bodies USING (id) GROUP BY root)
     SELECT doc_id, line_no::INT AS line_no, keeper.d AS kept_doc_id, keeper.l::INT AS kept_line_no,

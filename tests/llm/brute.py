@@ -17,8 +17,8 @@ def word_shingles(text, k=5):
     return frozenset(tuple(words[i : i + k]) for i in range(max(1, len(words) - k + 1)))
 
 
-def char_shingles(text, k=8):
-    return frozenset(text[i : i + k] for i in range(len(text) - k + 1))
+def char_shingles(text, k=5):
+    return frozenset(text[i : i + k] for i in range(max(1, len(text) - k + 1)))
 
 
 def components(sets, percent):
@@ -42,13 +42,13 @@ def components(sets, percent):
     return {x: find(x) for x in sets}
 
 
-def line_classes(rows, k=8, percent=80):
+def line_classes(rows, k=5, percent=80):
     """{(doc, line): kept (doc, line)}"""
     places = {}
     for doc, text in rows:
         for at, line in enumerate((text or "").split("\n")):
             line = line.strip(" \t\r\x0b\x0c")
-            if len(line) >= k and doc is not None:
+            if line and doc is not None:
                 places.setdefault(line, []).append((doc, at))
     bodies = sorted(places, key=lambda line: min(places[line]))
     found = components({i: char_shingles(body, k) for i, body in enumerate(bodies)}, percent)

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from changefeed.llm import lines, minhash
 from changefeed.llm.components import connected_components
@@ -119,6 +120,9 @@ def test_minhash_edges(spark):
     docs = spark.createDataFrame(rows, DOC + ", component string").withColumnRenamed("component", "key")
     got = sorted(((r.doc_id, r.component_id, r.kept) for r in minhash.near_duplicates(docs).collect()), key=str)
     assert got == sorted([(1, 1, True), (1, 1, True), (2, 1, False), (None, None, True), (3, 3, True), (4, 4, True)], key=str)
+    mapped = docs.withColumn("labels", F.create_map(F.lit("a"), "text"))
+    assert minhash.drop_near_duplicates(mapped).count() == 4
+    assert minhash.drop_near_duplicates(docs.where("doc_id > 2")).count() == 2
     kept = minhash.drop_near_duplicates(docs)
     assert kept.columns == docs.columns
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "3", "4", "None"]
@@ -143,7 +147,7 @@ def test_lines_are_exact(spark, corpus):
 def test_lines_at_the_threshold_share_a_band():
     """Pairs with a similarity of just 0.8: 80 runs shared, ten more on each side."""
     rng = random.Random(21)
-    letters = [("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n)) for n in (87, 10, 10)) for _ in range(3000)]
+    letters = [("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n)) for n in (84, 10, 10)) for _ in range(3000)]
     pairs = [(common + a, common + b) for common, a, b in letters]
     sides = [lines.LIKENESS.keys(list(side)) for side in zip(*pairs, strict=True)]
     assert all(lines.LIKENESS.alike(*lines.LIKENESS.sets(list(pair))) for pair in pairs[:50])
@@ -156,10 +160,13 @@ def test_drop_lines(spark):
         (2, "first of the lines\nonly in document two, this", 5, "q"),
         (3, "first of the lines", 5, "q"),
         (4, "short", 5, "q"),
+        (6, "ok\nonly in six, which repeats a line\n\nok", 5, "q"),
+        (7, "  ok ", 5, "q"),
         (5, None, None, "q"),
         (None, "first of the lines", 5, "q"),
     ]
-    docs = spark.createDataFrame(rows, DOC + ", n_chars bigint, gone string")
+    docs = spark.createDataFrame(rows, DOC + ", n_chars bigint, gone_lines string").withColumn("_gone", F.create_map("doc_id", "text"))
+    docs = docs.where("doc_id is not null").unionByName(docs.where("doc_id is null").withColumn("_gone", F.lit(None)))
     left = lines.drop_lines(docs)
     assert left.columns == docs.columns
     assert sorted(((r.doc_id, r.text, r.n_chars) for r in left.collect()), key=str) == sorted(
@@ -167,6 +174,7 @@ def test_drop_lines(spark):
             (1, "first of the lines\nonly in document one\nend", 43),
             (2, "only in document two, this", 26),
             (4, "short", 5),
+            (6, "ok\nonly in six, which repeats a line\n", 37),
             (5, None, None),
             (None, "first of the lines", 18),
         ],
@@ -189,3 +197,22 @@ def test_blocks_hold_large_buckets(spark, monkeypatch):
     expected = brute.components({i: brute.word_shingles(t) for i, t in rows}, 75)
     found = {r.node: r.component for r in got.collect()}
     assert {i: found.get(i, i) for i in expected} == expected
+
+
+def test_short_lines_and_changed_characters(spark):
+    """Exact copies of any length are found; of a usual line, one changed character too."""
+    base = "the quick brown fox jumps over one lazy dog and more"
+    rows = [(1, f"a\nab\n{base}"), (2, f"ab\nb\n{base[:-1]}!"), (3, "a\n  a\n\nab"), (4, "abcd\nabcde")]
+    got = {(r.doc_id, r.line_no): (r.kept_doc_id, r.kept_line_no) for r in lines.line_classes(spark.createDataFrame(rows, DOC)).collect()}
+    assert got == brute.line_classes(rows)
+    assert got[2, 2] == (1, 2) and got[3, 0] == got[3, 1] == (1, 0) and got[3, 3] == (1, 1) and got[4, 0] == (4, 0)
+
+
+def test_hot_keys_are_spread(spark, monkeypatch):
+    monkeypatch.setattr("changefeed.llm.components.LEAST_HOT", 5)
+    rows = [(k, "the same line everywhere\n" + f"line number {k} " * 9) for k in range(40)]
+    docs = spark.createDataFrame(rows, DOC)
+    got = {(r.doc_id, r.line_no): (r.kept_doc_id, r.kept_line_no) for r in lines.line_classes(docs).collect()}
+    assert got == brute.line_classes(rows)
+    copies = spark.createDataFrame([(k, "one two three four five six" if k % 3 else f"w{k} " * 9) for k in range(40)], DOC)
+    assert {r.doc_id: r.component_id for r in minhash.near_duplicates(copies).collect()} == {k: 1 if k % 3 else k for k in range(40)}
