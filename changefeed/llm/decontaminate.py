@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changefeed.llm.words import NO_WORD, RUN, U, mix, text_words
+from changefeed.llm.words import NO_WORD, RUN, U, mix, runs, text_words
 
 # Masks of weight six: a window of words is hashed at the ones, and may differ at the zeros.
 MASKS = ("111111", "11011011", "1100101011", "1010011011")
@@ -56,18 +56,30 @@ def masked(words: np.ndarray, mask: str) -> np.ndarray:
     return mix(total)
 
 
+def before_each(hashes: np.ndarray) -> np.ndarray:
+    """The hash before each; 0 before the first."""
+    return np.concatenate([np.zeros(1, U), hashes[:-1]])[: len(hashes)]
+
+
 @dataclass
 class Index:
-    """Hashes of benchmark pieces: one sorted array per mask, with where each hash stands."""
+    """Hashes of benchmark pieces: one sorted array per mask, with where each hash stands and what stands before it.
+    Items of under five words are found as a whole only, by one hash."""
 
     pieces: list[tuple[int | None, int, np.ndarray]]  # item, first word, hashes of its words
     masks: list[str] = field(default_factory=list)
     hashes: list[np.ndarray] = field(default_factory=list)
     owners: list[np.ndarray] = field(default_factory=list)
     places: list[np.ndarray] = field(default_factory=list)
+    befores: list[np.ndarray] = field(default_factory=list)
+    whole: dict[int, list[int | None]] = field(default_factory=dict)
     filters: list[np.ndarray] = field(default_factory=list)
 
     def __post_init__(self) -> None:
+        for item, offset, words in self.pieces:
+            if len(words) < SHORTEST and not offset:
+                self.whole.setdefault(int(runs(words, SHORTEST)[0]), []).append(item)
+        self.pieces = [piece for piece in self.pieces if len(piece[2]) >= SHORTEST]
         lengths = {len(words) for _, _, words in self.pieces}
         for mask in dict.fromkeys([*MASKS, *(m for n in sorted(lengths) for m in SHORT_MASKS.get(n, ()))]):
             taken = [mask in MASKS or mask in SHORT_MASKS.get(len(words), ()) for _, _, words in self.pieces]
@@ -79,23 +91,40 @@ class Index:
             self.hashes.append(hashes[order])
             self.owners.append(np.repeat(np.arange(len(found)), sizes)[order])
             self.places.append(np.concatenate([np.zeros(0, np.int64), *(np.arange(n) for n in sizes)])[order])
+            self.befores.append(np.concatenate([np.zeros(0, U), *map(before_each, found)])[order])
             bits = max(10, int(FILTER_FACTOR * len(hashes)).bit_length())
             seen = np.zeros(1 << bits, bool)
             seen[hashes >> U(64 - bits)] = True
             self.filters.append(seen)
 
     def overlaps(self, words: np.ndarray) -> list[tuple[int | None, int, int, int, int, int]]:
-        """(item, start and end in the text, start and end in the item, equal words) of one text."""
+        """(item, start and end in the text, start and end in the item, equal words) of one text.
+
+        A window that agrees like the one before it lies on a diagonal that is known already. So of a stretch
+        that repeats itself, in the text and in the item, only the ends are paired, not all with all.
+        """
+        if 0 < len(words) < SHORTEST:
+            n = len(words)
+            return [(item, 0, n, 0, n, n) for item in self.whole.get(int(runs(words, SHORTEST)[0]), ())]
         diagonals: set[tuple[int, int]] = set()
-        for mask, hashes, owners, places, seen in zip(
-            self.masks, self.hashes, self.owners, self.places, self.filters, strict=True
+        for mask, hashes, owners, places, befores, seen in zip(
+            self.masks, self.hashes, self.owners, self.places, self.befores, self.filters, strict=True
         ):
             windows = masked(words, mask)
             hits = np.flatnonzero(seen[windows >> U(65 - len(seen).bit_length())])
             low, high = (np.searchsorted(hashes, windows[hits], side) for side in ("left", "right"))
-            for at, first, last in zip(hits[high > low].tolist(), low[high > low], high[high > low], strict=True):
-                for k in range(first, last):
-                    diagonals.add((int(owners[k]), at - int(places[k])))
+            hits, low, high = hits[high > low], low[high > low], high[high > low]
+            before = before_each(windows)[hits] if len(hits) else windows[:0]
+            # hits of one hash behind one other hash, together
+            order = np.lexsort((before, low))
+            hits, low, high, before = hits[order], low[order], high[order], before[order]
+            fresh = np.append(True, (low[1:] != low[:-1]) | (before[1:] != before[:-1])) if len(hits) else np.zeros(0, bool)
+            bounds = [*np.flatnonzero(fresh).tolist(), len(hits)]
+            for first, last in zip(bounds, bounds[1:], strict=False):
+                rows = np.arange(low[first], high[first])
+                rows = rows[(befores[rows] != before[first]) | (befores[rows] == 0)]
+                for at in hits[first:last].tolist() if len(rows) else ():
+                    diagonals.update(zip(owners[rows].tolist(), (at - places[rows]).tolist(), strict=True))
         found = set()
         for owner, shift in diagonals:
             item, offset, piece = self.pieces[owner]
@@ -156,7 +185,7 @@ def indexes(benchmark: DataFrame, index_words: int = INDEX_WORDS) -> Iterator[In
     """
     rows = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text"))
     pieces = rows.mapInArrow(benchmark_pieces, "item_id BIGINT, offset BIGINT, words ARRAY<BIGINT>")
-    pieces = pieces.where(F.size("words") >= SHORTEST)
+    pieces = pieces.where(F.size("words") > 0)
     total = pieces.agg(F.sum(F.size("words"))).first()[0] or 0
     chunks = -(-total // index_words)
     chunk = F.pmod(F.xxhash64("item_id", "offset"), F.lit(max(1, chunks)))
@@ -174,8 +203,9 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, index_words: int = INDE
     their places, wherever the others stand. Of a longer item every stretch counts that has at least
     13 equal words, taken by the most equal words, less two for each other word.
 
-    Null or empty texts hold nothing; items of under five words are not looked for. Repeated rows give repeated results. A row without a doc_id is
-    reported with a null. An empty table on either side gives no rows.
+    An item of under five words is found where a document consists of just these words. Null or empty
+    texts hold nothing. Repeated rows give repeated results. A row without a doc_id is reported with a
+    null. An empty table on either side gives no rows.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -199,7 +229,11 @@ def searcher(sent):
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, index_words: int = INDEX_WORDS) -> DataFrame:
-    """The documents that hold no benchmark text, with all their columns. No join: each is judged where it is read."""
+    """The documents that hold no benchmark text, with all their columns. No join: each is judged where it is read.
+
+    Documents with a null or empty text hold none and stay, repeated rows are judged alike, rows without a doc_id
+    like any other. An empty table stays empty, and an empty benchmark leaves all documents.
+    """
 
     def keeper(sent):
         def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

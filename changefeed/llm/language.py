@@ -16,8 +16,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from changefeed.llm.components import measured, stored
+
 PROFILE = 400  # n-grams in a profile, of a language and of a document
-LANGUAGES = 1_000  # languages told apart, the most frequent ones
+LANGUAGES = 1_000  # languages whose profiles are sent to the tasks at a time
 PIECE_CHARS = 1 << 20
 BITS = np.uint64(21)
 SPACE = np.uint64(32)
@@ -84,15 +86,19 @@ class Profiles:
     codes: tuple[np.ndarray, ...]
     ranks: tuple[np.ndarray, ...]
 
-    def predict(self, text: str | None) -> tuple[str, float]:
-        """(language, score); the score is how far, between 0 and 1, the best distance lies below the next."""
+    def nearest(self, text: str | None, known: tuple[str | None, int, int]) -> tuple[str | None, int, int]:
+        """(language, its distance, that of the next one) among these languages and what is known of others."""
         own = ranked(*count_ngrams(text or ""))
-        if not len(own) or not self.names:
-            return UNKNOWN, 0.0
-        distances = np.array([self.distance(own, k) for k in range(len(self.names))], float)
-        best = int(distances.argmin())
-        rest = np.delete(distances, best).min(initial=PROFILE * len(own))
-        return self.names[best], float((rest - distances[best]) / rest) if rest else 0.0
+        if not len(own):
+            return known
+        best, least, rest = known
+        for k, name in enumerate(self.names):
+            apart = self.distance(own, k)
+            if best is None or (apart, name) < (least, best):
+                best, least, rest = name, apart, least if best is not None else PROFILE * len(own)
+            else:
+                rest = min(rest, apart)
+        return best, least, rest
 
     def distance(self, own: np.ndarray, k: int) -> int:
         """Ranks out of place, summed; an n-gram the language's profile lacks counts as far as any can."""
@@ -118,46 +124,74 @@ def language_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         )
 
 
-def fit(docs: DataFrame, use: Column) -> Profiles:
-    """Profiles from text and lang of the rows where `use` holds and lang is not null, all of them.
+@dataclass(frozen=True)
+class Fitted:
+    """(lang, code, rank, part) of all languages, stored: their n-grams, in so many parts of about LANGUAGES."""
+
+    table: DataFrame
+    parts: int
+
+    def profiles(self) -> Iterator[Profiles]:
+        """One part after another, each small enough to be sent to every task."""
+        for part in range(self.parts):
+            found: dict[str, list[tuple[int, int]]] = {}
+            for row in self.table.where(F.col("part") == part).select("lang", "code", "rank").collect():
+                found.setdefault(row.lang, []).append((row.code, row.rank))
+            names = sorted(found)
+            tables = [np.array(sorted(found[name]), np.int64) for name in names]
+            yield Profiles(tuple(names), tuple(t[:, 0].astype(np.uint64) for t in tables), tuple(t[:, 1] for t in tables))
+
+
+def fit(docs: DataFrame, use: Column) -> Fitted:
+    """Profiles of every language, from text and lang of the rows where `use` holds and lang is not null, all of them.
 
-    N-grams are counted in every task, summed, and cut to each language's most frequent ones.
-    Languages without a letter in any text have no profile.
+    N-grams are counted in every task, summed, and cut to each language's most frequent ones, in
+    every task before they meet. Languages without a letter in any text have no profile.
     """
     rows = docs.where(use).where("lang is not null")
     rows = rows.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    names = [r.lang for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()]
-    counted = rows.where(F.col("lang").isin(names)).mapInArrow(language_counts, "lang STRING, code BIGINT, n BIGINT")
+    counted = rows.mapInArrow(language_counts, "lang STRING, code BIGINT, n BIGINT")
     counted = counted.groupBy("lang", "code").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "code")
-    best = counted.withColumn("rank", F.row_number().over(order) - 1).where(F.col("rank") < PROFILE)
-    found: dict[str, list[tuple[int, int]]] = {}
-    for row in best.collect():
-        found.setdefault(row.lang, []).append((row.code, row.rank))
-    known = sorted(found)
-    tables = [np.array(sorted(found[name]), np.int64) for name in known]
-    return Profiles(tuple(known), tuple(t[:, 0].astype(np.uint64) for t in tables), tuple(t[:, 1] for t in tables))
+    best = counted.withColumn("place", F.row_number().over(order)).where(F.col("place") <= PROFILE)
+    best, seen = measured(best.select("lang", "code", (F.col("place") - 1).alias("rank"), "place"), "profiles", languages=F.count_if(F.col("place") == 1))
+    parts = -(-(seen["languages"] or 0) // LANGUAGES)
+    return Fitted(best.withColumn("part", F.pmod(F.xxhash64("lang"), F.lit(max(1, parts)))), parts)
 
 
-def predict(docs: DataFrame, profiles: Profiles) -> DataFrame:
+def predict(docs: DataFrame, fitted: Fitted) -> DataFrame:
     """(doc_id, lang_pred, score), one row per row of `docs` (doc_id BIGINT, text STRING, more ignored).
 
-    Whole texts are counted, long ones in parts. A null text, one without a letter, or no profile
-    at all gives "und" with score 0. Of languages at the same distance the first by name is given.
-    Repeated rows and rows without a doc_id are judged like any other. An empty table gives no rows.
+    The score is how far, between 0 and 1, the least distance lies below the next. Whole texts are
+    counted, long ones in parts. A null text, one without a letter, or no profile at all gives "und" with
+    score 0. Of languages at the same distance the first by name is given. Repeated rows and rows without a
+    doc_id are judged like any other. An empty table gives no rows. Beyond LANGUAGES languages the texts are
+    compared with one part of them after another, and stored in between with the nearest one so far.
     """
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"),
+        F.col("text").cast("string").alias("text"),
+        F.lit(None).cast("string").alias("best"),
+        F.lit(0).cast("bigint").alias("least"),
+        F.lit(0).cast("bigint").alias("rest"),
+    )
+    for part, profiles in enumerate(fitted.profiles()):
+        rows = stored(rows, "compared") if part else rows
+        rows = rows.mapInArrow(comparing(profiles, part == fitted.parts - 1), "doc_id BIGINT, text STRING, best STRING, least BIGINT, rest BIGINT")
+    score = F.when(F.col("rest") > 0, (F.col("rest") - F.col("least")) / F.col("rest")).otherwise(0.0)
+    return rows.select("doc_id", F.coalesce("best", F.lit(UNKNOWN)).alias("lang_pred"), score.alias("score"))
+
+
+def comparing(profiles: Profiles, last: bool):
+    """Each text against these profiles; texts are not handed on behind the last ones."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [profiles.predict(text) for text in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array([name for name, _ in found], pa.string()),
-                    pa.array([score for _, score in found], pa.float64()),
-                ],
-                ["doc_id", "lang_pred", "score"],
-            )
-
-    return rows.mapInArrow(run, "doc_id BIGINT, lang_pred STRING, score DOUBLE")
+            known = zip(*(batch.column(name).to_pylist() for name in ("best", "least", "rest")), strict=True)
+            found = [profiles.nearest(text, so_far) for text, so_far in zip(batch.column("text").to_pylist(), known, strict=True)]
+            best, least, rest = zip(*found, strict=True) if found else ((), (), ())
+            text = pa.nulls(len(batch), pa.string()) if last else batch.column("text")
+            columns = [batch.column("doc_id"), text, pa.array(best, pa.string()), pa.array(least, pa.int64()), pa.array(rest, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text", "best", "least", "rest"])
+
+    return run

@@ -171,13 +171,22 @@ def secret_spans(pattern: str, kind: str, group: int = 0) -> str:
 
 
 def secrets_sql() -> str:
-    window = secret_scan.WINDOW
-    allowed = " OR ".join(f"regexp_matches(x.text, {sql_pattern(pattern)})" for pattern in secret_scan.ALLOW)
+    allowed = (
+        "regexp_matches(p, '^[A-Za-z]+$|^[0-9]+$|^[A-Za-z]+([-_/][A-Za-z]+)+$"
+        "|^[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}$')"
+    )
+    fillers = (
+        "abcdefgh|01234567|12345678|qwertyui|example|sample|dummy|placeholder|changeme|x{6}"
+        "|your[-_]?(?:key|token|secret)|test[-_]?(?:key|token|secret)"
+    )
+    cut = f"'(?i)[-_=+/]{{4,}}|[^-_=+/]*(?:{fillers})[^-_=+/]*'"
 
     def candidates(kind: str) -> str:
-        letters, bits = secret_scan.CLASSES[kind]
-        best = f"list_max(list_transform(range(1, length(x.text) - {window - 2}), lambda i: list_aggregate(string_split(substr(x.text, i, {window}), ''), 'entropy')))"
-        return f"list_filter({secret_spans(f'{letters}{{{window},}}', kind)}, lambda x: NOT ({allowed}) AND {best} >= {bits})"
+        letters, bits = {"entropy_hex": ("[0-9A-Fa-f]", 2.95), "entropy_upper": ("[0-9A-Z]", 3.45), "entropy_base64": ("[0-9A-Za-z+/_=-]", 3.85)}[kind]
+        parts = f"list_transform(string_split_regex(x.text, {cut}), lambda p: regexp_replace(p, '^[-_=+/]+|[-_=+/]+$', '', 'g'))"
+        best = "list_max(list_transform(range(1, length(p) - 18), lambda i: list_aggregate(string_split(substr(p, i, 20), ''), 'entropy')))"
+        judged = f"len(list_filter({parts}, lambda p: length(p) >= 20 AND NOT {allowed} AND {best} >= {bits})) > 0"
+        return f"list_filter({secret_spans(f'{letters}{{20,}}', kind)}, lambda x: {judged})"
 
     assigned = f"list_filter({secret_spans(secret_scan.ASSIGN, 'assign', 2)}, lambda x: length(x.text) >= {secret_scan.LEAST_ASSIGNED})"
     steps, known = [], ["base"]

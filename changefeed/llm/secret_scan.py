@@ -31,16 +31,22 @@ CLASSES = {
 }
 CANDIDATE_HINT = "[0-9A-Za-z+/_=-]{%d}" % WINDOW
 
-# Candidates that are no secrets: words, numbers, identifiers with words, runs of an alphabet, placeholders.
+# What is no secret as a whole: words, numbers, identifiers made of words, unique ids.
 ALLOW = (
     "^[A-Za-z]+$",
     "^[0-9]+$",
     "^[A-Za-z]+(?:[-_/][A-Za-z]+)+$",
-    "^[-_=+/]+|[-_=+/]{4}",
-    "(?i)abcdefgh|01234567|12345678|qwertyui",
-    "(?i)example|sample|dummy|placeholder|changeme|your[-_]?(?:key|token|secret)|x{6}|test[-_]?(?:key|token|secret)",
     "(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$",
 )
+# Signs between the parts of a candidate, and what makes a part a placeholder: runs of an alphabet and filler words.
+SIGNS = "-_=+/"
+PLACEHOLDER = (
+    "abcdefgh|01234567|12345678|qwertyui|example|sample|dummy|placeholder|changeme|x{6}|"
+    "your[-_]?(?:key|token|secret)|test[-_]?(?:key|token|secret)"
+)
+# A placeholder's whole part, from its first letter on, or a row of signs: what stands around it is judged by itself.
+CUT = f"(?i)[{SIGNS}]{{4,}}|(?:^|(?<=[{SIGNS}]))[^{SIGNS}]*?(?:{PLACEHOLDER})[^{SIGNS}]*"
+STRIP = f"^[{SIGNS}]+|[{SIGNS}]+$"
 KINDS = (*BASE, *CLASSES)
 SPAN = "array<struct<start:bigint,rank:int,end:bigint,text:string>>"
 
@@ -76,31 +82,41 @@ def least_sum(bits: float) -> float:
 def lowest_sum(text: str) -> str:
     """SQL: the smallest sum of c * log2 c over all windows of a string, by counts that change with each step."""
     first, size = 43, 80  # the classes lie between "+" and "z"
+    bits, held = 5, 12  # a count of up to 20 takes five bits; twelve counts share a number, so a step rewrites seven numbers
     terms = "array(" + ", ".join(f"{c * math.log2(c) if c else 0.0!r}D" for c in range(WINDOW + 1)) + ")"
     codes = f"transform(split({text}, ''), c -> ascii(c) - {first})"
+
+    def event(code: str, by: int) -> str:
+        return f"struct({code} div {held} as word, cast({bits} * ({code} % {held}) as int) as at, {by}L as by)"
+
     events = (
         f"transform(array({codes}), codes -> flatten(transform(sequence(0, size(codes) - 1), i -> "
-        f"if(i >= {WINDOW}, array(struct(codes[i - {WINDOW}] as code, -1 as by), struct(codes[i] as code, 1 as by)), "
-        f"array(struct(codes[i] as code, 1 as by))))))[0]"
+        f"if(i >= {WINDOW}, array({event(f'codes[i - {WINDOW}]', -1)}, {event('codes[i]', 1)}), "
+        f"array({event('codes[i]', 1)})))))[0]"
     )
+    count = f"cast(shiftright(acc.counts[cast(e.word as int)], e.at) & {(1 << bits) - 1}L as int)"
+    change = f"acc.total + {terms}[{count} + cast(e.by as int)] - {terms}[{count}]"
     step = (
         "(acc, e) -> named_struct("
-        "'counts', transform(acc.counts, (c, k) -> if(k = e.code, c + e.by, c)), "
-        "'held', acc.held + e.by, "
-        f"'total', acc.total + {terms}[acc.counts[e.code] + e.by] - {terms}[acc.counts[e.code]], "
-        f"'least', if(acc.held + e.by = {WINDOW}, "
-        f"least(acc.least, acc.total + {terms}[acc.counts[e.code] + e.by] - {terms}[acc.counts[e.code]]), acc.least))"
+        "'counts', transform(acc.counts, (c, k) -> if(k = e.word, c + e.by * shiftleft(1L, e.at), c)), "
+        f"'held', acc.held + cast(e.by as int), 'total', {change}, "
+        f"'least', if(acc.held + e.by = {WINDOW}, least(acc.least, {change}), acc.least))"
     )
-    zero = f"named_struct('counts', array_repeat(0, {size}), 'held', 0, 'total', 0D, 'least', 1e9D)"
+    zero = f"named_struct('counts', array_repeat(0L, {-(-size // held)}), 'held', 0, 'total', 0D, 'least', 1e9D)"
     return f"aggregate({events}, {zero}, {step}, acc -> acc.least)"
 
 
 def secret(kind: str) -> str:
-    """SQL: candidates of one class that reach its entropy in some window and stand on no allow-list."""
+    """SQL: candidates of one class of which some part reaches its entropy in some window.
+
+    A candidate is cut at placeholders and at rows of signs; signs at the ends of what is left are
+    taken off, and each part of WINDOW characters or more that is not allowed as a whole is judged.
+    """
     letters, bits = CLASSES[kind]
-    allowed = " or ".join(f"x.text rlike {quoted(pattern)}" for pattern in ALLOW)
-    found = f"filter({spans(f'{letters}{{{WINDOW},}}', kind)}, x -> not ({allowed}))"
-    return f"filter({found}, x -> {lowest_sum('x.text')} <= {least_sum(bits)!r}D)"
+    parts = f"transform(split(x.text, {quoted(CUT)}, -1), p -> regexp_replace(p, {quoted(STRIP)}, ''))"
+    allowed = " or ".join(f"p rlike {quoted(pattern)}" for pattern in ALLOW)
+    judged = f"exists(filter({parts}, p -> length(p) >= {WINDOW} and not ({allowed})), p -> {lowest_sum('p')} <= {least_sum(bits)!r}D)"
+    return f"filter({spans(f'{letters}{{{WINDOW},}}', kind)}, x -> {judged})"
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -111,7 +127,7 @@ def scan(docs: DataFrame) -> DataFrame:
     then kind; spans joins them as kind:start:end, base_sha256 is the digest of the base kinds so
     joined. Base kinds: assignments to names of secrets with a value of 12 characters or more,
     access keys, and runs of lower-case hex digits. The method adds candidates with a window of
-    high entropy, of three character classes; those that lie in a base span or in a span of an
+    high entropy, of three character classes, placeholders left out; those that lie in a base span or in a span of an
     earlier class are not listed again.
 
     A null or empty text has no spans. Repeated rows and rows without a doc_id are scanned like any

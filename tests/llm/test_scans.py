@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import time
 import zlib
 from collections import Counter
 from itertools import combinations
@@ -12,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from changefeed.llm import decontaminate, language, licenses, secret_scan, toxicity
+from changefeed.llm.words import mix
 from tests.llm import brute
 from tests.llm.test_near import edited, prose
 
@@ -286,12 +288,146 @@ def test_languages(spark):
     rows += [(900, None, "xx"), (901, "12 34 !!", "yy"), (902, text("xx", 30), None), (None, text("zz", 30), None)]
     docs = spark.createDataFrame(rows, DOC + ", lang string")
     held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
-    profiles = language.fit(docs, ~held_out)
+    fitted = language.fit(docs, ~held_out)
+    (profiles,) = fitted.profiles()
     assert profiles.names == ("xx", "yy", "zz") and all(len(c) <= language.PROFILE for c in profiles.codes)
-    got = {r.doc_id: r for r in language.predict(docs, profiles).collect()}
+    got = {r.doc_id: r for r in language.predict(docs, fitted).collect()}
     assert all(got[k].lang_pred == lang for k, _, lang in rows[:180] if zlib.crc32(str(k).encode()) % 4 == 2)
     assert got[900].lang_pred == got[901].lang_pred == "und" and got[902].lang_pred == "xx" and got[None].lang_pred == "zz"
     assert all(0 <= r.score <= 1 for r in got.values())
     none = language.fit(docs.where("doc_id > 9999"), F.lit(True))
-    assert none.predict("abc") == ("und", 0.0)
-    assert language.predict(docs.where("doc_id > 9999"), profiles).collect() == []
+    assert none.parts == 0 and {(r.lang_pred, r.score) for r in language.predict(docs, none).collect()} == {("und", 0.0)}
+    assert language.predict(docs.where("doc_id > 9999"), fitted).collect() == []
+
+
+def plain_ngrams(text):
+    """Counts of one to three letters; of longer runs those with a space at one end, or at both, but not in the middle."""
+    text = " " + "".join(c if c.isalpha() else " " for c in (text or "").lower()) + " "
+    text = " ".join(["", *text.split(), ""])
+    counts = Counter(c for c in text if c != " ")
+    if len(text) < 3:
+        return {}
+    counts += Counter(text[i : i + 2] for i in range(len(text) - 1))
+    counts += Counter(t for i in range(len(text) - 2) if (t := text[i : i + 3])[1] != " ")
+    return counts
+
+
+def plain_rank(counts):
+    order = sorted(counts, key=lambda g: (-counts[g], sum(ord(c) << 21 * (len(g) - 1 - k) for k, c in enumerate(g))))
+    return {gram: place for place, gram in enumerate(order[:400])}
+
+
+@pytest.mark.parametrize("at_a_time", [1000, 2, 1])
+def test_languages_equal_brute_force(spark, monkeypatch, at_a_time):
+    """Any number of languages, compared in parts, by the plain out-of-place distance; ties go to the first name."""
+    monkeypatch.setattr(language, "LANGUAGES", at_a_time)
+    rng = random.Random(31)
+    letters = {name: rng.sample("abcdefghijéñöß", 8) for name in ("aa", "bb", "cc", "dd", "ee")}
+    rows = [
+        (k, " ".join("".join(rng.choices(letters[lang], k=rng.randint(1, 6))) for _ in range(rng.randint(1, 60))), lang)
+        for k, lang in enumerate(list(letters) * 12)
+    ]
+    rows += [(200 + k, text, "twin of aa") for k, text, lang in rows if lang == "aa"]
+    rows += [(300, None, "aa"), (301, "12 !", "zz"), (302, "a", None), rows[0], rows[0], (None, rows[1][1], "bb")]
+    docs = spark.createDataFrame([(*row, 3, "x") for row in rows], DOC + ", lang string, rest int, best string")
+    profiles = {}
+    for lang in {lang for _, _, lang in rows if lang}:
+        total = Counter()
+        total.update(plain_ngrams("\n".join(text or "" for _, text, own in rows if own == lang)))
+        if total:
+            profiles[lang] = plain_rank(total)
+    expected = []
+    for doc, text, _ in rows:
+        own = plain_rank(plain_ngrams(text))
+        apart = sorted((sum(abs(p[g] - r) if g in p else 400 for g, r in own.items()), lang) for lang, p in profiles.items())
+        rest = apart[1][0]
+        expected.append((doc, apart[0][1], (rest - apart[0][0]) / rest if rest else 0.0) if own else (doc, "und", 0.0))
+    got = [tuple(r) for r in language.predict(docs, language.fit(docs, F.lit(True))).collect()]
+    assert sorted(got, key=str) == sorted(expected, key=str)
+
+
+# -- cuts that were taken back ---------------------------------------------------------------
+
+
+def test_allow_list_judges_parts(spark):
+    rng = random.Random(15)
+    blob = "Zk8Qp2Lx0Vt7Rw4Ys9Bn3Md6Hc1Jf5Gg"
+    keys = [rng.choice("+/=-_") + "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=40)) for _ in range(300)]
+    rows = [
+        (1, f"/{blob}"), (2, f"x: ={blob}"), (3, f"https/example/{blob}"), (4, f"{blob}/sample"), (5, "=" * 60), (6, "example_" * 8),
+        (7, f"your_key_{blob}"), (8, f"xxxxxxxx{blob}"), (9, "abcdefgh0" * 5), (10, f"-----{blob}-----"), (11, f"AbCd3fGh9/example/{blob[:15]}"),
+    ]
+    rows += [(100 + k, key) for k, key in enumerate(keys)]
+    got = {r.doc_id: r.spans for r in secret_scan.scan(spark.createDataFrame(rows, DOC)).collect()}
+    assert all("entropy_base64" in got[k] for k in (1, 2, 3, 4, 7, 10)), got
+    assert all(got[k] == "" for k in (5, 6, 8, 9, 11)), got
+    reach = [max(entropy(key[i : i + 20]) for i in range(1, 22)) >= 3.85 for key in map(str.strip, keys)]
+    assert [got[100 + k] != "" for k in range(300)] == reach and sum(reach) >= 298
+
+
+def test_long_candidates_are_scanned_in_time(spark):
+    text = "".join(random.Random(1).choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=60_000))
+    (row,) = secret_scan.scan(spark.createDataFrame([(1, "z" * 200_000 + " " + text)], DOC)).collect()
+    assert f"entropy_base64:200001:{200_001 + 60_000}" in row.spans.split(",")
+
+
+def plain_overlaps(words, item):
+    """All stretches on all diagonals, by comparing word by word; items of more than 17 words."""
+    found = set()
+    for shift in range(-len(item) + 1, len(words)):
+        low, high = max(0, shift), min(len(words), shift + len(item))
+        equal = [words[i] == item[i - shift] for i in range(low, high)]
+        parts = [(0, len(equal))]
+        while parts:
+            first, last = parts.pop()
+            if sum(equal[first:last]) < 13:
+                continue
+            best = (0, 0, 0)
+            for start in range(first, last):
+                score = 0
+                for end in range(start, last):
+                    score += 1 if equal[end] else -2
+                    if score > best[0]:
+                        best = (score, start, end + 1)
+            _, start, end = best
+            if sum(equal[start:end]) >= 13:
+                found.add((low + start, low + end, sum(equal[start:end])))
+            parts += [(first, start), (end, last)] if end else []
+    return found
+
+
+def test_alignments_equal_brute_force():
+    """Items in texts of few words, so that windows recur everywhere."""
+    rng = random.Random(16)
+    for turn in range(25):
+        letters = rng.choice(("ab", "abcdefgh", "abcdefghijklmnopqrstuvw"))
+        item = [ord(rng.choice(letters)) for _ in range(rng.randint(18, 40))]
+        words = [ord(rng.choice(letters)) for _ in range(30)]
+        for _ in range(2):
+            words += [w if rng.random() > 0.07 else 1 for w in item[rng.randint(0, 5) :]] + [ord(rng.choice(letters)) for _ in range(5)]
+        as_hashes = lambda x: mix(np.array(x, np.uint64))
+        got = {(a, b, n) for _, a, b, _, _, n in decontaminate.Index([(1, 0, as_hashes(item))]).overlaps(as_hashes(words))}
+        expected = plain_overlaps(words, item)
+        assert got <= expected, turn
+        # a stretch may lack any window that agrees under a mask; with at most one change in eight words it has one
+        missed = [x for x in expected - got if x[2] >= 0.95 * (x[1] - x[0])]
+        assert not missed, (turn, missed)
+
+
+def test_repeated_words_are_paired_at_their_ends():
+    words, item = np.full(10_000, 7, np.uint64), np.full(1_000, 7, np.uint64)
+    index = decontaminate.Index([(1, 0, item)])
+    began = time.monotonic()
+    assert len(index.overlaps(words)) == 10_975
+    assert time.monotonic() - began < 3
+    periodic = np.tile(np.arange(1, 8, dtype=np.uint64), 1500)
+    found = decontaminate.Index([(1, 0, periodic[:700])]).overlaps(periodic)
+    assert max(x[5] for x in found) == 700 and len(found) == len({(x[1] - x[3]) for x in found})
+
+
+def test_items_of_few_words(spark):
+    items = spark.createDataFrame([(1, "Yes"), (2, "the red fox"), (3, ""), (4, "one two three four"), (5, "yes!")], ITEM)
+    docs = spark.createDataFrame([(1, "yes."), (2, "The RED fox"), (3, "the red fox runs"), (4, "yes it is"), (5, "one two three four"), (6, "")], DOC)
+    found = {(r.doc_id, r.item_id) for r in decontaminate.find_overlaps(docs, items).collect()}
+    assert found == {(1, 1), (1, 5), (2, 2), (5, 4)}
+    assert {r.doc_id for r in decontaminate.drop_contaminated(docs, items).collect()} == {3, 4, 6}
