@@ -13,7 +13,7 @@ from changefeed.llm.components import free_name, join_spread, measured
 from changefeed.llm.near import Likeness, near_components
 from changefeed.llm.words import character_runs
 
-SHINGLE_CHARS = 5
+SHINGLE_CHARS = 8
 PERCENT = 80
 BINS, ROWS = 80, 4  # 20 bands: a pair at the threshold is missed 3 times in 100,000
 TRIM = " \t\r\x0b\x0c"
@@ -67,8 +67,8 @@ def line_classes(docs: DataFrame) -> DataFrame:
     """(doc_id, line_no, kept_doc_id, kept_line_no, kept), one row per line of `docs` (doc_id BIGINT, text STRING, more ignored).
 
     Lines are split at line feeds, numbered from 0 and trimmed of white space. Two lines are linked
-    if they are equal or if their sets of 5-character runs have a Jaccard similarity of 0.8 or
-    more; a line of under five characters is one run, so it is linked with equal lines only. Each
+    if they are equal or if their sets of 8-character runs have a Jaccard similarity of 0.8 or
+    more; a line of under eight characters is one run, so it is linked with equal lines only. Each
     component keeps its first line by (doc_id, line_no).
 
     Blank lines are left alone and not listed, as are all lines of null or empty texts and of rows

@@ -81,7 +81,7 @@ LINES = f"""
         SELECT body, row_number() OVER (ORDER BY body) AS id, min({{'d': doc_id, 'l': line_no}}) AS first
         FROM l WHERE body <> '' GROUP BY body
     ), s AS (
-        SELECT DISTINCT id, unnest(list_transform(range(1, greatest(length(body) - 4, 1) + 1), lambda i: substr(body, i, 5))) AS shingle
+        SELECT DISTINCT id, unnest(list_transform(range(1, greatest(length(body) - 7, 1) + 1), lambda i: substr(body, i, 8))) AS shingle
         FROM bodies
     ), n AS (SELECT id, count(*) AS n FROM s GROUP BY ALL),
     pairs AS (
