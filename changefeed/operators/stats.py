@@ -9,6 +9,7 @@ from changefeed import schemas
 from changefeed.functions import edits as E
 from changefeed.settings import check_positive
 
+SKETCH_LG_K = 12
 MEASURES = ("edits", "bot_edits", "human_edits", "new_pages", "bytes_added", "bytes_removed", "net_bytes")
 
 
@@ -105,3 +106,54 @@ def wiki_stats(
         )
     )
     return _final_columns(totals)
+
+
+def sketched_stats(clean: DataFrame, window_minutes: int = 1, delay_seconds: int = 15, lg_k: int = SKETCH_LG_K) -> DataFrame:
+    """Sums per (window, wiki) with a mergeable sketch of its editors and one of its pages, to be stored.
+
+    One aggregation, combined before the shuffle; a row takes at most some 2^lg_k bytes per sketch,
+    and a few for few members. On a stream it works in append and in update mode.
+    """
+    check_positive("delay_seconds", delay_seconds)
+    totals = (
+        clean.withWatermark("event_time", f"{delay_seconds} seconds")
+        .groupBy(_tumbling(window_minutes), "wiki")
+        .agg(
+            *_aliased({name: F.sum(amount) for name, amount in _measures().items()}),
+            F.hll_sketch_agg("user", lg_k).alias("editors_sketch"),
+            F.hll_sketch_agg("title", lg_k).alias("pages_sketch"),
+        )
+    )
+    return totals.select(
+        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "wiki", *MEASURES, "editors_sketch", "pages_sketch"
+    )
+
+
+def widen(sketched: DataFrame, window_minutes: int) -> DataFrame:
+    """`sketched_stats` in wider windows, from narrower ones alone: sums are added, sketches united.
+
+    The wider window must be a multiple of the narrower one.
+    """
+    return (
+        sketched.groupBy(F.window("window_start", f"{check_positive('window_minutes', window_minutes)} minutes"), "wiki")
+        .agg(
+            *[F.sum(name).alias(name) for name in MEASURES],
+            F.hll_union_agg("editors_sketch").alias("editors_sketch"),
+            F.hll_union_agg("pages_sketch").alias("pages_sketch"),
+        )
+        .select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "*")
+        .drop("window")
+    )
+
+
+def estimated(sketched: DataFrame) -> DataFrame:
+    """The statistics rows of sketched ones. Counts of members are exact for some hundreds; of more, the standard
+    error is 1.04 / sqrt(2^lg_k), 1.6 % at the default, and three times that is hardly ever passed."""
+    counted = sketched.select(
+        F.struct(F.col("window_start").alias("start"), F.col("window_end").alias("end")).alias("window"),
+        "wiki",
+        *MEASURES,
+        F.hll_sketch_estimate("editors_sketch").alias("editors"),
+        F.hll_sketch_estimate("pages_sketch").alias("pages_touched"),
+    )
+    return _final_columns(counted)

@@ -38,6 +38,7 @@ HOT_PAGE_EDITS = 1_000_000
 SLICE_EDITS = 500_000
 SLICES_PER_SORT_TASK = 8
 BROADCAST_PAGES = 100_000
+CHAIN_FAN = 64
 
 
 def edit_wars(
@@ -201,28 +202,47 @@ def _slices(positioned: DataFrame, slice_edits: int) -> DataFrame:
     return positioned.withColumn("slice", F.explode(copies)).withColumn("own", F.col("slice") == home)
 
 
-def _entry_distances(worked: DataFrame, piece: Sequence[str]) -> DataFrame:
+def _entry_distances(worked: DataFrame, piece: Sequence[str], fan: int = CHAIN_FAN) -> DataFrame:
     """The distance each slice of a page starts with, from the slices before it.
 
-    A slice's result is where it ends for each of the three starts. Most end the same way
-    for all; the chain is followed only from the last such slice.
+    A slice's result is where it ends for each of the three starts: a map from three states to three.
+    Such maps are composed like numbers are added, so the entries are a prefix scan: `fan` slices are
+    composed into one map, `fan` of these into the next, until a page has one group; then the entry of a
+    group is handed down to its members through those before them. No list is longer than `fan`,
+    however many slices a page has and whatever their maps.
     """
     ends = F.array("distance_0", "distance_1", "distance_2")
-    results = worked.groupBy(*piece).agg(F.max_by(ends, "pos").alias("ends"))
-    w = Window.partitionBy(*PAGE).orderBy("slice")
-    settled = F.size(F.array_distinct("ends")) == 1
-    chain = Window.partitionBy(*PAGE, "chain").orderBy("slice").rowsBetween(Window.unboundedPreceding, 0)
-    followed = results.withColumn(
-        "chain", F.count_if(settled).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    ).withColumn(
-        "end",
-        F.aggregate(
-            F.collect_list("ends").over(chain),
-            F.lit(0),
-            lambda distance, ends: F.element_at(ends, distance + 1),
-        ),
-    )
-    return followed.select(*piece, F.coalesce(F.lag("end").over(w), F.lit(0)).alias("entry"))
+    maps = checkpointed(worked.groupBy(*piece).agg(F.max_by(ends, "pos").alias("ends")))
+    last = maps.agg(F.max("slice").alias("last")).first()["last"]
+
+    def level(nodes: DataFrame) -> DataFrame:
+        return nodes.withColumn("group", F.floor(F.col("node") / fan))
+
+    levels = [level(maps.select(*PAGE, F.col("slice").alias("node"), "ends"))]
+    while last is not None and last >= fan:
+        members = F.sort_array(F.collect_list(F.struct("node", "ends"))).getField("ends")
+        grouped = levels[-1].groupBy(*PAGE, "group").agg(members.alias("members"))
+        composed = F.transform(F.array(*map(F.lit, range(3))), lambda start: _through(F.col("members"), start))
+        levels.append(level(checkpointed(grouped.select(*PAGE, F.col("group").alias("node"), composed.alias("ends")))))
+        last //= fan
+
+    entries: DataFrame | None = None
+    for nodes in reversed(levels):
+        if entries is None:
+            started = nodes.withColumn("start", F.lit(0))
+        else:
+            above = entries.select(*[F.col(name).alias(f"_{name}") for name in PAGE], F.col("node").alias("_group"), F.col("entry").alias("start"))
+            same = [nodes[name].eqNullSafe(above[f"_{name}"]) for name in PAGE]
+            started = nodes.join(above, [*same, nodes["group"] == above["_group"]])
+        before = Window.partitionBy(*PAGE, "group").orderBy("node").rowsBetween(Window.unboundedPreceding, -1)
+        entry = _through(F.collect_list("ends").over(before), F.col("start"))
+        entries = started.select(*PAGE, "node", entry.alias("entry"))
+    return entries.select(*PAGE, F.col("node").alias("slice"), "entry")
+
+
+def _through(maps: Column, start: Column) -> Column:
+    """The state behind a list of maps, entered with `start`."""
+    return F.aggregate(maps, start, lambda state, ends: F.element_at(ends, state + 1))
 
 
 def _report(chosen: DataFrame) -> DataFrame:

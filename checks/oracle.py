@@ -252,6 +252,7 @@ def oracle_sql() -> dict[str, str]:
         "wiki_stats_5m": stats_query(5),
         "wiki_stats_1d": stats_query(1440),
         "wiki_stats_approx": stats_query(1440),
+        "wiki_stats_widened": stats_query(1440),
         "replay_stats": stats_query(1),
         "stream_stats": stats_query(1),
         "stream_stats_upserts": stats_query(1440),
@@ -266,6 +267,21 @@ def oracle_sql() -> dict[str, str]:
         "edit_wars_sliced": DENSE_WARS,
         "replay_wars": CLEAN_WARS,
         "stream_wars": DENSE_WARS,
+        "sequenced_records": with_ctes(
+            *CLEANED,
+            KEYED,
+            select="""SELECT key, value, "offset", row_number() OVER (PARTITION BY key ORDER BY "offset") - 1 AS seq
+              FROM keyed""",
+        ),
+        "sequence_gaps": with_ctes(
+            *CLEANED,
+            KEYED,
+            select="""SELECT key, max(seq) + 1 - count(*) AS missing, count(*) FILTER ("offset" % 50 = 1) AS repeated,
+                CAST(0 AS BIGINT) AS misplaced
+              FROM (SELECT key, "offset", row_number() OVER (PARTITION BY key ORDER BY "offset") - 1 AS seq FROM keyed)
+              WHERE "offset" % 100 <> 0 GROUP BY key
+              HAVING max(seq) + 1 > count(*) OR count(*) FILTER ("offset" % 50 = 1) > 0""",
+        ),
         "encode_keyed": with_ctes(*CLEANED, KEYED, select="SELECT key, value FROM keyed"),
         "decode_keyed": with_ctes(*CLEANED, select=f"SELECT {CLEAN_COLUMNS} FROM clean"),
         "encode_upsert": with_ctes(*CLEANED, stats(1), UPSERT, select="SELECT key, value FROM upsert"),

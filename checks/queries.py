@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changefeed.operators import clean as C
-from changefeed.operators import keyed, late, routing, stats, wars
+from changefeed.operators import keyed, late, order, routing, stats, wars
 from changefeed.plans import replay
 from changefeed.session import pin_utc, scratch_table
 from changefeed.settings import Settings
@@ -193,6 +193,14 @@ def wiki_stats_approx(spark, sf_dir):
     return stats.wiki_stats(clean_feed(spark, sf_dir), window_minutes=1440, approx=True)
 
 
+@query
+def wiki_stats_widened(spark, sf_dir):
+    """Days from a stored table of minutes with sketches; the edits are not read again."""
+    folder = scratch_table(spark, "minutes")
+    stats.sketched_stats(clean_feed(spark, sf_dir)).write.parquet(folder)
+    return stats.estimated(stats.widen(stats.widen(spark.read.parquet(folder), 60), 1440))
+
+
 @query
 def late_edits(spark, sf_dir):
     arrivals = feed.shuffled_arrivals(clean_feed(spark, sf_dir))
@@ -228,6 +236,20 @@ def encode_keyed(spark, sf_dir):
     return keyed.encode_keyed(clean_feed(spark, sf_dir)).drop("offset")
 
 
+@query
+def sequenced_records(spark, sf_dir):
+    """Keyed records with their number within the wiki, dealt over tasks by ranges."""
+    return order.sequenced(keyed.encode_keyed(clean_feed(spark, sf_dir)), parts=8).drop("part")
+
+
+@query
+def sequence_gaps(spark, sf_dir):
+    """What a reader finds when every hundredth record is lost and every fiftieth comes twice."""
+    sent = order.sequenced(keyed.encode_keyed(clean_feed(spark, sf_dir)), parts=8).drop("part", "value")
+    kept = sent.where(F.col("offset") % 100 != 0)
+    return order.out_of_order(kept.unionByName(kept.where(F.col("offset") % 50 == 1)))
+
+
 @query
 def decode_keyed(spark, sf_dir):
     return keyed.decode_keyed(keyed.encode_keyed(clean_feed(spark, sf_dir))).drop("offset")

@@ -1,6 +1,8 @@
 import random
 
 import pytest
+
+from changefeed.operators import wars
 from pyspark.sql import functions as F
 
 from changefeed import schemas
@@ -131,3 +133,24 @@ def test_one_shuffle_of_the_edits(edits):
     plan = edit_wars(edits(story("A0 B30 A60")))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
     assert plan.count("Sort [") == 1
+
+
+def test_chains_of_unsettled_slices(spark):
+    """Ten thousand slices of which none settles the state, some missing, composed in groups."""
+    rng = random.Random(8)
+    maps = [(0, 1, 2), (1, 2, 0), (2, 0, 1), (0, 2, 1), (1, 0, 2), (2, 1, 0), (0, 0, 1)]
+    rows, expected = [], {}
+    for page, count, shares in (("long", 10_000, maps[:6]), ("short", 70, maps), (None, 9, maps)):
+        state = 0
+        for at in range(count):
+            if rng.random() < 0.05:
+                continue
+            ends = rng.choice(shares)
+            rows.append((page, "T", at, 5, *ends))
+            expected[page, at] = state
+            state = ends[state]
+    worked = spark.createDataFrame(rows, "wiki string, title string, slice bigint, pos bigint, distance_0 int, distance_1 int, distance_2 int")
+    for fan in (4, 64):
+        got = wars._entry_distances(worked, [*wars.PAGE, "slice"], fan).collect()
+        assert {(r.wiki, r.slice): r.entry for r in got} == expected
+    assert wars._entry_distances(worked.limit(0), [*wars.PAGE, "slice"]).collect() == []
