@@ -1,11 +1,13 @@
 """Toxicity by a weighted finite-state pattern grammar over clauses.
 
-A clause is read as a string of word classes: insult, threat, target, negation, reported speech.
-Four small transducers are composed over it. One marks what a negation governs, one what is
-reported, one what has a target close by, and the insult transducer is a trie of word beginnings
-whose accepting states carry weights learned from labels. A document's features are the weights
-of its matched clauses by what the transducers marked; a logistic model over them, fitted on the
-same labelled rows, gives the score.
+A clause is read as a string of symbols: target, negation, reported speech, a colon, other words.
+Four small transducers, each a table of states, read it: one marks what a negation governs, one what is
+reported, one what has a target close before it, and one, from right to left, close behind it. The three that read
+forward are composed into one table over the reachable triples of their states. The insult and threat transducer
+is a trie of word beginnings whose accepting states carry weights learned from labels; its output is
+written under the marks of the others: an insult as reported, negated, aimed or plain, a threat as
+reported, negated or, with a target on either side, as a threat. A document's features are the
+weights so marked; a logistic model over them, fitted on the same labelled rows, gives the score.
 """
 
 from __future__ import annotations
@@ -43,7 +45,9 @@ REPORT_WORDS = (
 ).split()
 
 WORD = re.compile(r"[^\W_]+(?:'[^\W_]+)?")
-CLAUSE_END = re.compile(r"[.!?;:\n]")
+CLAUSE_END = re.compile(r"[.!?;\n]")
+TOKEN = re.compile(r"[^\W_]+(?:'[^\W_]+)?|:")
+OTHER, TARGET, NEGATION, REPORT, COLON = SYMBOLS = range(5)
 FEATURES = ("plain", "aimed", "negated", "reported", "threat")
 PRIOR = np.array([-4.0, 6.0, 7.0, 3.0, 3.0, 4.0])  # bias first; what no labelled row speaks about stays here
 
@@ -54,13 +58,52 @@ class Model:
     weights: tuple[float, ...]
 
 
+@dataclass(frozen=True)
+class Transducer:
+    """States from 0, the start; table[state][symbol] is the next one; marks[state] is what is written under a
+    word that is read in this state."""
+
+    table: tuple[tuple[int, ...], ...]
+    marks: tuple[tuple[bool, ...], ...]
+
+    def __matmul__(self, other: Transducer) -> Transducer:
+        """Both at once: over the pairs of states that can be reached, marks side by side."""
+        pairs, table = [(0, 0)], []
+        for a, b in pairs:
+            row = []
+            for symbol in SYMBOLS:
+                pair = self.table[a][symbol], other.table[b][symbol]
+                if pair not in pairs:
+                    pairs.append(pair)
+                row.append(pairs.index(pair))
+            table.append(tuple(row))
+        return Transducer(tuple(table), tuple((*self.marks[a], *other.marks[b]) for a, b in pairs))
+
+
+def reaching(trigger: int) -> Transducer:
+    """Marks the REACH words behind a trigger; a colon ends that."""
+    table = tuple(
+        tuple(REACH if s == trigger else 0 if s == COLON else max(left - 1, 0) for s in SYMBOLS) for left in range(REACH + 1)
+    )
+    return Transducer(table, tuple((left > 0,) for left in range(REACH + 1)))
+
+
+def latched(trigger: int) -> Transducer:
+    """Marks everything behind a trigger, behind a colon too."""
+    return Transducer(tuple(tuple(int(on or s == trigger) for s in SYMBOLS) for on in (0, 1)), ((False,), (True,)))
+
+
+FORWARD = reaching(NEGATION) @ latched(REPORT) @ reaching(TARGET)
+BACKWARD = reaching(TARGET)
+
+
 class Grammar:
     """The transducers of one model, ready to read texts."""
 
     def __init__(self, insults: Iterable[tuple[str, float]]) -> None:
         self.insults = dict(insults)
-        self.classes = {word: "T" for word in TARGET_WORDS}
-        self.classes |= {word: "N" for word in NEGATION_WORDS} | {word: "R" for word in REPORT_WORDS}
+        self.symbols = {word: TARGET for word in TARGET_WORDS} | {":": COLON}
+        self.symbols |= {word: NEGATION for word in NEGATION_WORDS} | {word: REPORT for word in REPORT_WORDS}
         self.threats = set(THREAT_WORDS)
         self.starts = ahocorasick.Automaton()
         for start in {*(key.rstrip("$") for key in self.insults), *self.threats}:
@@ -95,33 +138,23 @@ class Grammar:
 
     def read(self, clause: str) -> dict[str, float]:
         """Weights of what a clause says, by the marks of the transducers."""
-        negated = reported = 0
-        aimed = -REACH - 1
-        out = dict.fromkeys(FEATURES, 0.0)
-        ahead: list[tuple[int, float]] = []  # plain insults that a target may still follow
-        for at, match in enumerate(WORD.finditer(clause)):
-            word = match.group()
-            mark = self.classes.get(word)
-            if mark == "N":
-                negated = at + 1 + REACH
-            elif mark == "R":
-                reported = 1
-            elif mark == "T":
-                aimed = at
-                for place, weight in ahead:
-                    out["aimed" if at - place <= REACH else "plain"] += weight
-                ahead = []
-            weight = self.insult(word)
-            if weight:
-                plain = not reported and at >= negated
-                if plain and at - aimed > REACH:
-                    ahead.append((at, weight))
-                else:
-                    out["reported" if reported else "aimed" if plain else "negated"] += weight
-            elif word in self.threats and at - aimed <= REACH:
-                out["threat"] += 1.0
-        for _, weight in ahead:
-            out["plain"] += weight
+        words = TOKEN.findall(clause)
+        symbols = [self.symbols.get(word, OTHER) for word in words]
+        followed, state = [False] * len(words), 0
+        for at in reversed(range(len(words))):
+            followed[at] = BACKWARD.marks[state][0]
+            state = BACKWARD.table[state][symbols[at]]
+        out, state = dict.fromkeys(FEATURES, 0.0), 0
+        for word, symbol, before_target in zip(words, symbols, followed, strict=True):
+            weight, threat = self.insult(word), word in self.threats
+            if weight or threat:
+                negated, reported, behind_target = FORWARD.marks[state]
+                aimed = behind_target or before_target
+                if weight:
+                    out["reported" if reported else "negated" if negated else "aimed" if aimed else "plain"] += weight
+                elif aimed:
+                    out["reported" if reported else "negated" if negated else "threat"] += 1.0
+            state = FORWARD.table[state][symbol]
         return out
 
     def features(self, text: str | None) -> list[float]:
@@ -275,7 +308,11 @@ def text_scores(grammar: Grammar, model: Model, texts: list[str | None]) -> np.n
 
 
 def drop_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents scored below the threshold, with all their columns; each is judged where it is read."""
+    """The documents scored below the threshold, with all their columns; each is judged where it is read.
+
+    Null and empty texts have the score of a text without matched clauses. Repeated rows are judged alike,
+    rows without a doc_id like any other. An empty table stays empty.
+    """
 
     def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grammar = Grammar(model.insults)

@@ -431,3 +431,55 @@ def test_items_of_few_words(spark):
     found = {(r.doc_id, r.item_id) for r in decontaminate.find_overlaps(docs, items).collect()}
     assert found == {(1, 1), (1, 5), (2, 2), (5, 4)}
     assert {r.doc_id for r in decontaminate.drop_contaminated(docs, items).collect()} == {3, 4, 6}
+
+
+# -- the grammar of toxicity -----------------------------------------------------------------
+
+
+@pytest.mark.parametrize(
+    "text, mark",
+    [
+        ("I will kill you.", "threat"),
+        ("I will destroy you all tonight", "threat"),
+        ("you said not to hurt me", "reported"),
+        ("you should not hurt them", "negated"),
+        ("He said that you will kill them", "reported"),
+        ('He said: "you are an idiot"', "reported"),
+        ("you: an idiot", "plain"),
+        ("kill the process", None),
+        ("you are no idiot", "negated"),
+        ("what an idiot, honestly, you", "aimed"),
+        ("He said nothing. You idiot", "aimed"),
+    ],
+)
+def test_sentences_are_marked(text, mark):
+    totals = toxicity.Grammar([("idiot$", 1.0)]).features(text)
+    marked = {name for name, value in zip(toxicity.FEATURES, totals, strict=True) if value}
+    assert marked == ({mark} if mark else set())
+
+
+def read_plainly(words):
+    """The rules of the grammar, word by word, without states."""
+    out = dict.fromkeys(toxicity.FEATURES, 0.0)
+    for at, word in enumerate(words):
+        if word not in ("idiot", "kill"):
+            continue
+        start = max([i + 1 for i in range(at) if words[i] == ":"], default=0)
+        stop = min([i for i in range(at + 1, len(words)) if words[i] == ":"], default=len(words))
+        reported = "said" in words[:at]
+        negated = "not" in words[max(start, at - 4) : at]
+        aimed = "you" in words[max(start, at - 4) : at] or "you" in words[at + 1 : min(stop, at + 5)]
+        if word == "idiot":
+            out["reported" if reported else "negated" if negated else "aimed" if aimed else "plain"] += 1.0
+        elif aimed:
+            out["reported" if reported else "negated" if negated else "threat"] += 1.0
+    return out
+
+
+def test_composed_transducers_equal_plain_rules():
+    rng = random.Random(17)
+    grammar = toxicity.Grammar([("idiot$", 1.0)])
+    for _ in range(4000):
+        words = rng.choices(["idiot", "kill", "you", "not", "said", ":", "x"], (3, 3, 2, 2, 0.4, 1, 6), k=rng.randint(1, 25))
+        assert grammar.read(" ".join(words)) == read_plainly(words), words
+    assert len(toxicity.FORWARD.table) == 2 * (5 * 5 - 4)  # the two counters never stand at the same number but 0
