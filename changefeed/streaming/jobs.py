@@ -9,10 +9,12 @@ from __future__ import annotations
 import time
 from collections import Counter
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
+from pyspark.sql.types import StructType
 
 from changefeed.operators import clean as C
 from changefeed.operators import stats
@@ -23,6 +25,7 @@ from changefeed.session import checkpointed, ship_package
 from changefeed.settings import Settings
 from changefeed.sources import capture, files
 from changefeed.sources.log import StateLog
+from changefeed.streaming import state as held
 from changefeed.streaming.wars import edit_wars_stream
 
 COMPACT_EVERY = 50
@@ -203,6 +206,54 @@ class Jobs:
         rows = stats.wiki_stats(clean, self.settings.window_minutes, self.settings.out_of_order_seconds)
         return self._to_table(rows, "stats")
 
+    def start_judged(self, clean: DataFrame) -> StreamingQuery:
+        """Every edit to the table `judged`, as `on_time`, `late`, or `untimed` if it has no time: none is lost.
+
+        The rule is that of the statistics stream over the same increments: an edit is late if its window
+        ended at or before the watermark, and the watermark of a batch is the latest event time of the batches before
+        it, less the delay. It is kept in a log, so it is the same after a restart, and moves only once a
+        batch is in place.
+        """
+        # by numbers, as the window function leaves rows without a time out
+        width = 60_000 * self.settings.window_minutes
+        window_end = (F.floor(F.unix_millis("event_time") / width) + 1) * width
+
+        def write_batch(batch: DataFrame, batch_id: int) -> None:
+            log = StateLog(self.spark, self.path("judged_log"))
+            state = {"last": -1, "newest_ms": None} | log.read()
+            if batch_id <= state["last"]:
+                return
+            watermark = None if state["newest_ms"] is None else state["newest_ms"] - 1000 * self.settings.out_of_order_seconds
+            late = window_end <= F.lit(watermark).cast("bigint")
+            outlet = F.when(F.col("event_time").isNull(), "untimed").when(F.coalesce(late, F.lit(False)), "late").otherwise("on_time")
+            judged = batch.withColumn("outlet", outlet)
+            newest = F.max(F.unix_millis("event_time")).alias("newest")
+            unfinished, folder = (self.path(f"judged/{place}batch={batch_id:012d}") for place in ("_unfinished/", ""))
+            if log.complete(folder):  # stored by a run that ended before it was counted
+                seen = batch.agg(newest).first().asDict()
+            else:
+                counts = Observation()
+                judged.observe(counts, newest).write.mode("overwrite").partitionBy("outlet").parquet(unfinished)
+                log.move(unfinished, folder)
+                seen = counts.get
+            known = [ms for ms in (state["newest_ms"], seen["newest"]) if ms is not None]
+            log.write({"last": batch_id, "newest_ms": max(known, default=None)})
+
+        return self._start(clean.writeStream.foreachBatch(write_batch), "judged")
+
+    def judged(self, schema: str | StructType) -> DataFrame:
+        """What `start_judged` has stored so far: the edits with their `outlet`; a filter on it reads only those files."""
+        kept = StructType([*(StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields])
+        return self.spark.read.schema(kept.add("batch", "long").add("outlet", "string")).parquet(self.path("judged"))
+
+    def held_state(self) -> DataFrame:
+        """What every job of this root holds: see `changefeed.streaming.state.report`."""
+        log = StateLog(self.spark, self.path("raw_log"))
+        folder = self.path("_checkpoints")
+        jobs = sorted(name for name in log.children(folder) if "state" in log.children(f"{folder}/{name}"))
+        reports = [held.report(self.spark, f"{folder}/{job}", job) for job in jobs]
+        return reduce(DataFrame.unionByName, reports, self.spark.createDataFrame([], held.REPORT))
+
     def start_wars(self, clean: DataFrame) -> StreamingQuery:
         rows = edit_wars_stream(clean, self.settings.war_seconds, self.settings.out_of_order_seconds)
         return self._to_table(rows, "wars")

@@ -267,6 +267,27 @@ def oracle_sql() -> dict[str, str]:
         "edit_wars_sliced": DENSE_WARS,
         "replay_wars": CLEAN_WARS,
         "stream_wars": DENSE_WARS,
+        "stream_late": with_ctes(
+            *CLEANED,
+            select="""SELECT CASE WHEN event_time IS NULL THEN 'untimed'
+                WHEN "offset" > middle AND date_trunc('minute', event_time) + INTERVAL 1 MINUTE <= watermark THEN 'late'
+                ELSE 'on_time' END AS outlet, "offset", wiki, event_time
+              FROM clean, (
+                SELECT middle, (SELECT max(event_time) FROM clean WHERE "offset" <= middle) - INTERVAL 15 SECOND AS watermark
+                FROM (SELECT max("offset") / 2 AS middle FROM clean)
+              )""",
+        ),
+        "stream_state": with_ctes(
+            *CLEANED,
+            select="""SELECT 'stats' AS job, operator, CASE operator WHEN 1 THEN (
+                  SELECT count(*) FROM (
+                    SELECT DISTINCT date_trunc('day', event_time), wiki, kind, CASE kind WHEN 'user' THEN "user" ELSE title END
+                    FROM clean, (SELECT unnest(['user', 'title']) AS kind)
+                    WHERE date_trunc('day', event_time) + INTERVAL 1 DAY > (SELECT max(event_time) FROM clean) - INTERVAL 15 SECOND
+                  )
+                ) ELSE 0 END AS rows, (SELECT max(event_time) FROM clean) - INTERVAL 15 SECOND AS watermark
+              FROM (SELECT unnest([0::BIGINT, 1::BIGINT]) AS operator)""",
+        ),
         "sequenced_records": with_ctes(
             *CLEANED,
             KEYED,

@@ -370,3 +370,27 @@ def stream_stats_upserts(spark, sf_dir):
 def stream_wars(spark, sf_dir):
     jobs = streamed(spark, feed.dense_edits(spark, sf_dir), Settings(bounded=True), Jobs.start_wars)
     return spark.read.parquet(jobs.path("wars"))
+
+
+@query
+def stream_late(spark, sf_dir):
+    """On time or late, over two increments; both outlets read back, and nothing lost between them."""
+    clean = clean_feed(spark, sf_dir)
+    jobs = Jobs(spark, scratch_table(spark, "stream"), Settings(bounded=True))
+    folder = jobs.path("input")
+    for part in halves(clean):
+        part.write.mode("append").parquet(folder)
+        finish(jobs.start_judged(files.read_table(spark, folder, clean.schema, stream=True)))
+    return jobs.judged(clean.schema).select("outlet", "offset", "wiki", "event_time")
+
+
+@query
+def stream_state(spark, sf_dir):
+    """What the statistics job holds when its input pauses, read from its checkpoint."""
+    clean = clean_feed(spark, sf_dir)
+    jobs = Jobs(spark, scratch_table(spark, "stream"), Settings(bounded=True, window_minutes=1440))
+    folder = jobs.path("input")
+    for part in halves(clean):
+        part.write.mode("append").parquet(folder)
+        finish(jobs.start_stats(files.read_table(spark, folder, clean.schema, stream=True)))
+    return jobs.held_state().select("job", "operator", "rows", "watermark")

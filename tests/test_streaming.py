@@ -275,6 +275,66 @@ def test_late_edits_are_counted(spark, edits):
     assert feed.jobs.progress.late["stats"] >= 1 and feed.jobs.progress.rows["stats"] >= 8
 
 
+def test_late_edits_are_kept(spark, edits):
+    """What is judged on time is what the statistics stream counts; on time and late together are all."""
+    rows, late = hand_rows(), ("enwiki", "P", "A", False, 5, "edit", T0 + 10, 6)
+    untimed = ("enwiki", "P", "A", False, 5, "edit", None, 8)
+    increments = [rows, closer(T0 + 2000), [late, *closer(T0 + 2300, 7), untimed], [("enwiki", "P", "A", False, 5, "edit", T0 + 2290, 9)]]
+    judging, counting = Feed(spark, edits, Jobs.start_judged), Feed(spark, edits, Jobs.start_stats)
+    for increment in increments:
+        judging.add(increment)
+        counting.add(increment)
+    schema = edits(rows).schema
+    judging.run(schema)
+    judged = judging.jobs.judged(schema)
+    outlets = {r["offset"]: r["outlet"] for r in judged.collect()}
+    assert sorted(outlets) == sorted(row[7] for increment in increments for row in increment)
+    assert judged.count() == len(outlets)
+    assert {o for o, outlet in outlets.items() if outlet == "late"} == {6}
+    assert {o for o, outlet in outlets.items() if outlet == "untimed"} == {8}
+    counting.add(closer(T0 + 10**5, 11))
+    counted = spark.read.parquet(counting.jobs.path("stats")).where("wiki <> 'closer'")
+    on_time = judged.where("outlet = 'on_time' and wiki <> 'closer'").drop("outlet", "batch")
+    assert same(counted, stats.wiki_stats(on_time))
+    plan = judged.where("outlet = 'late'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(outlet" in plan
+
+
+def test_a_judged_batch_is_stored_once(spark, edits):
+    """The driver stops behind the rename: the batch that comes again is counted, not written again."""
+    feed = Feed(spark, edits, Jobs.start_judged)
+    feed.add(hand_rows())
+    log = StateLog(spark, feed.jobs.path("judged_log"))
+    before = log.read()
+    feed.add(closer(T0 + 2000))
+    after = log.read()
+    log.write(before)
+    checkpoint = feed.jobs.path("_checkpoints/judged/commits").removeprefix("file:")
+    last = max((n for n in os.listdir(checkpoint) if n.isdigit()), key=int)
+    for name in (last, f".{last}.crc"):
+        if os.path.exists(os.path.join(checkpoint, name)):
+            os.remove(os.path.join(checkpoint, name))
+    feed.run(edits(hand_rows()).schema)
+    assert log.read() == after
+    assert feed.jobs.judged(edits(hand_rows()).schema).count() == len(hand_rows()) + 1
+
+
+def test_held_state_before_and_after_a_restart(spark, edits):
+    feed = Feed(spark, edits, Jobs.start_wars)
+    rows = [("w", f"P{page}", "AB"[k % 2], False, 1, "edit", T0 + 20 * k, 10 * page + k) for page in range(3) for k in range(4)]
+    feed.add(rows)
+    held = feed.jobs.held_state().collect()
+    assert [(r["job"], r["operator_name"], r["rows"]) for r in held] == [("wars", "applyInPandasWithState", 3)]
+    assert held[0]["watermark"].timestamp() == T0 + 60 - 15
+    feed.run(edits(rows).schema)
+    again = feed.jobs.held_state().collect()
+    assert [(r["rows"], r["watermark"]) for r in again] == [(r["rows"], r["watermark"]) for r in held]
+    feed.add(closer(T0 + 10**6))
+    (last,) = feed.jobs.held_state().collect()
+    assert last["rows"] == 1 and last["batch"] > held[0]["batch"]
+    assert Jobs(spark, scratch_table(spark, "test"), NOW).held_state().collect() == []
+
+
 def test_parts_are_compacted(spark, edits):
     rows = hand_rows()
     sent = {}
