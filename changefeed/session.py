@@ -24,6 +24,8 @@ STATIC_CONF = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
+    # a batch stores what it has changed; whole snapshots follow in the background
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
 }
 

@@ -1,28 +1,36 @@
 """Revert sequences on a stream: the same rule as the bounded operator, kept as state per page.
 
-A page's state holds only edits the watermark has not passed, and at most the last two it has.
-An edit is looked at once the watermark has passed it and its successors, so a match is
-reported then and not when the page falls silent.
+A page's state is a list of waiting edits, to which new ones are only appended, and a note of how far it has
+been worked off. An edit is looked at once the watermark has passed it and its successors, when a timer fires,
+so a match is reported then and not when the page falls silent. What has been worked off is left in
+the list until it is half of it; only then is the list written anew. So what a batch writes
+follows its new edits, not those that wait.
 """
 
 from __future__ import annotations
 
+import sys
 from bisect import bisect_right
-from collections.abc import Iterable, Iterator
-from functools import partial
+from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from changefeed import schemas
 from changefeed.functions import edits as E
 from changefeed.operators.wars import PAGE
 from changefeed.settings import check_positive
 
-WAITING = "micros ARRAY<BIGINT>, offset ARRAY<BIGINT>, user ARRAY<STRING>, person ARRAY<BOOLEAN>, byte_delta ARRAY<STRING>"
-EDIT = ("micros", "offset", "user", "person", "byte_delta")
+# The worker that prepares the operator beside the driver has no files sent to executors: what runs there goes as code.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+WAITING = "micros BIGINT, offset BIGINT, user STRING, person BOOLEAN, byte_delta STRING"
+EDIT = tuple(column.split()[0] for column in WAITING.split(", "))
+DONE = "micros BIGINT, offset BIGINT, forgotten BIGINT, timer BIGINT"  # the last edit worked off, how many are, the next timer
+LEAST_FORGOTTEN = 16
 MATCH = "wiki STRING, title STRING, reverter STRING, opponent STRING, started BIGINT, ended BIGINT, swing STRING"
 
 
@@ -44,12 +52,8 @@ def edit_wars_stream(clean: DataFrame, within_seconds: int = 600, delay_seconds:
             F.col("byte_delta").cast("string").alias("byte_delta"),
         )
     )
-    matches = edits.groupBy(*PAGE).applyInPandasWithState(
-        partial(_follow_page, within_seconds * 1_000_000),
-        MATCH,
-        WAITING,
-        "append",
-        GroupStateTimeout.EventTimeTimeout,
+    matches = edits.groupBy(*PAGE).transformWithStateInPandas(
+        FollowPage(within_seconds * 1_000_000), MATCH, "Append", "EventTime"
     )
     return matches.select(
         *PAGE,
@@ -62,27 +66,69 @@ def edit_wars_stream(clean: DataFrame, within_seconds: int = 600, delay_seconds:
     ).select(*schemas.names(schemas.EDIT_WAR))
 
 
-def _follow_page(
-    within: int, page: tuple[str, str], batches: Iterable[pd.DataFrame], state: GroupState
-) -> Iterator[pd.DataFrame]:
-    waiting = list(zip(*state.get)) if state.exists else []
-    for batch in batches:
-        waiting.extend(zip(*(batch[name].tolist() for name in EDIT)))
-    waiting.sort(key=lambda edit: edit[:2])
-    watermark_ms = state.getCurrentWatermarkMs()
-    settled = bisect_right(waiting, watermark_ms * 1000, key=lambda edit: edit[0])
-    matches, done = _settled_matches(waiting, settled, watermark_ms * 1000, within)
-
-    rest = waiting[done:]
-    if rest:
-        state.update(tuple(map(list, zip(*rest))))
-        undecided = settled - done
-        next_micros = rest[undecided][0] if undecided < len(rest) else rest[0][0] + within
-        state.setTimeoutTimestamp(max(next_micros // 1000, watermark_ms + 1))
-    elif state.exists:
-        state.remove()
-    if matches:
-        yield pd.DataFrame([(*page, *match) for match in matches], columns=[f.split()[0] for f in MATCH.split(", ")])
+class FollowPage(StatefulProcessor):
+    """Waits for a page's edits to be settled by the watermark, and reports its revert sequences."""
+
+    def __init__(self, within: int) -> None:
+        self.within = within
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", WAITING)
+        self.done = handle.getValueState("done", DONE)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        first = None
+        for batch in rows:
+            edits = list(zip(*(batch[name].tolist() for name in EDIT), strict=True))
+            if edits:
+                self.waiting.appendList(edits)
+                first = min(edits[0][0] if first is None else first, *(edit[0] for edit in edits))
+        *place, timer = self._done()
+        if first is not None and (timer is None or first // 1000 < timer):
+            self._set(place, timer, first // 1000)
+        yield from ()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        watermark = timerValues.getCurrentWatermarkInMs()
+        micros, offset, forgotten, _ = self._done()
+        waiting = sorted((edit for edit in map(tuple, self.waiting.get()) if micros is None or edit[:2] > (micros, offset)), key=_place)
+        settled = bisect_right(waiting, watermark * 1000, key=lambda edit: edit[0])
+        matches, done = _settled_matches(waiting, settled, watermark * 1000, self.within)
+        rest = waiting[done:]
+        if not rest:
+            self.waiting.clear()
+            self.done.clear()
+        else:
+            if done:
+                micros, offset = waiting[done - 1][:2]
+                forgotten += done
+            if forgotten >= max(LEAST_FORGOTTEN, len(rest)):
+                self.waiting.put(rest)
+                forgotten = 0
+            undecided = settled - done
+            following = rest[undecided][0] if undecided < len(rest) else rest[0][0] + self.within
+            self._set((micros, offset, forgotten), None, max(following // 1000, watermark + 1))
+        if matches:
+            yield pd.DataFrame([(*key, *match) for match in matches], columns=[f.split()[0] for f in MATCH.split(", ")])
+
+    def _done(self) -> tuple:
+        known = self.done.get() if self.done.exists() else None
+        return tuple(known) if known is not None else (None, None, 0, None)
+
+    def _set(self, place, before: int | None, timer: int) -> None:
+        """Note how far the list has been worked off, and put one timer in the place of another."""
+        if before is not None:
+            self.handle.deleteTimer(before)
+        self.handle.registerTimer(timer)
+        self.done.update((*place, timer))
+
+    def close(self) -> None:
+        pass
+
+
+def _place(edit: tuple) -> tuple:
+    return edit[:2]
 
 
 def _settled_matches(edits: list[tuple], settled: int, watermark: int, within: int) -> tuple[list[tuple], int]:

@@ -323,18 +323,40 @@ def test_held_state_before_and_after_a_restart(spark, edits):
     feed = Feed(spark, edits, Jobs.start_wars)
     rows = [("w", f"P{page}", "AB"[k % 2], False, 1, "edit", T0 + 20 * k, 10 * page + k) for page in range(3) for k in range(4)]
     feed.add(rows)
-    held = feed.jobs.held_state().collect()
-    assert [(r["job"], r["operator_name"], r["rows"]) for r in held] == [("wars", "applyInPandasWithState", 3)]
-    assert held[0]["watermark"].timestamp() == T0 + 60 - 15
+    held = {r["variable"]: r for r in feed.jobs.held_state().collect()}
+    assert set(held) == {"done", "waiting"} and held["done"]["rows"] == 3
+    assert 3 <= held["waiting"]["rows"] <= 12
+    assert held["done"]["watermark"].timestamp() == T0 + 60 - 15
     feed.run(edits(rows).schema)
-    again = feed.jobs.held_state().collect()
-    assert [(r["rows"], r["watermark"]) for r in again] == [(r["rows"], r["watermark"]) for r in held]
+    again = {r["variable"]: r for r in feed.jobs.held_state().collect()}
+    assert all((again[v]["rows"], again[v]["watermark"]) == (held[v]["rows"], held[v]["watermark"]) for v in held)
     feed.add(closer(T0 + 10**6))
-    (last,) = feed.jobs.held_state().collect()
-    assert last["rows"] == 1 and last["batch"] > held[0]["batch"]
+    last = {r["variable"]: r for r in feed.jobs.held_state().collect()}
+    assert last["done"]["rows"] == last["waiting"]["rows"] == 1 and last["done"]["batch"] > held["done"]["batch"]
     assert Jobs(spark, scratch_table(spark, "test"), NOW).held_state().collect() == []
 
 
+def test_state_written_follows_new_edits(spark, edits):
+    """A page with many waiting edits: each batch adds its own few, the others are not written again."""
+    from changefeed.streaming import state
+
+    settings = Settings(bounded=True, out_of_order_seconds=10_000)
+    feed = Feed(spark, edits, Jobs.start_wars, settings)
+    checkpoint = feed.jobs.path("_checkpoints/wars").removeprefix("file:")
+    rows, written = [], []
+    for k in range(6):
+        batch = [("w", "P", f"u{i % 7}", False, 1, "edit", T0 + 300 * k + i // 10, 1000 * k + i) for i in range(600 if k == 0 else 20)]
+        rows += batch
+        files_before = {p: p.stat().st_size for p in Path(checkpoint, "state").rglob("*.changelog")}
+        feed.add(batch)
+        new = [p for p in Path(checkpoint, "state").rglob("*.changelog") if p not in files_before]
+        written.append(sum(p.stat().st_size for p in new))
+        assert state.held_rows(spark, feed.jobs.path("_checkpoints/wars"), 0, "waiting").count() == len(rows)
+    assert 0 < max(written[1:]) < written[0] / 3
+    feed.add(closer(T0 + 10**6))
+    assert found(spark.read.parquet(feed.jobs.path("wars"))) == brute_wars(rows, 600)
+
+
 def test_parts_are_compacted(spark, edits):
     rows = hand_rows()
     sent = {}
