@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from changefeed.llm.components import free_name, join_spread, measured
 from changefeed.llm.near import Likeness, near_components
 from changefeed.llm.words import character_runs
+from changefeed.llm.workers import tidy
 
 SHINGLE_CHARS = 8
 PERCENT = 80
@@ -83,13 +84,13 @@ def line_classes(docs: DataFrame) -> DataFrame:
     lines = lines_of(rows)
     grouped = lines.groupBy("id").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("n"))
     first, seen = measured(grouped, "lines", total=F.sum("n"))
-    keys = lines.where(F.length("body") >= SHINGLE_CHARS).select("id", "body").mapInArrow(line_keys, "id BIGINT, key BIGINT")
+    keys = lines.where(F.length("body") >= SHINGLE_CHARS).select("id", "body").mapInArrow(tidy(line_keys), "id BIGINT, key BIGINT")
 
     def fetch(ids: DataFrame) -> DataFrame:
         places = first.join(ids, "id").select("first.doc_id", F.struct("first.line_no", "id").alias("place"))
         wanted = places.groupBy("doc_id").agg(F.collect_list("place").alias("wanted"))
         found = rows.join(wanted.hint("shuffle_hash"), "doc_id").select("text", "wanted")
-        texts = found.mapInArrow(extract_lines, "id BIGINT, text STRING")
+        texts = found.mapInArrow(tidy(extract_lines), "id BIGINT, text STRING")
         return texts.where(F.xxhash64("text") == F.col("id")).distinct()
 
     components = near_components(keys, fetch, LIKENESS).withColumnRenamed("node", "id")
@@ -135,5 +136,5 @@ def drop_lines(docs: DataFrame) -> DataFrame:
             lost = np.array([bool(g) and t is None for g, t in zip(gone_lines, texts, strict=True)], bool)
             yield batch.filter(pa.array(~lost)).select(columns)
 
-    left = together.select(*columns, gone_of).mapInArrow(cut, docs.schema)
+    left = together.select(*columns, gone_of).mapInArrow(tidy(cut), docs.schema)
     return left.withColumn("n_chars", F.length("text").cast("bigint")) if "n_chars" in columns else left

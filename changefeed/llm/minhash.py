@@ -13,6 +13,7 @@ from changefeed.llm.components import join_spread, measured, stored
 from changefeed.llm.near import Likeness, near_components
 from changefeed.llm.sketch import bands, sketches
 from changefeed.llm.words import SPACES, U, ascii_lower, mix, runs, slices, text_words
+from changefeed.llm.workers import tidy
 
 SHINGLE_WORDS = 5
 PERCENT = 75
@@ -79,7 +80,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     cost one comparison. See `near` for what follows.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    profile, seen = measured(rows.mapInArrow(profiles, PROFILE), "profiles", total=F.count("*"))
+    profile, seen = measured(rows.mapInArrow(tidy(profiles), PROFILE), "profiles", total=F.count("*"))
     grouped = profile.where("n_shingles > 0").groupBy(*SAME).agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"))
     classes = stored(grouped, "classes")
     reps = classes.select(*SAME, F.col("rep").alias("doc_id"))

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from changefeed.llm.components import connected_components, measured, stored
 from changefeed.llm.sketch import bands, compact, sketches
 from changefeed.llm.words import slices
+from changefeed.llm.workers import tidy
 
 BLOCK = 512
 BLOCK_BYTES = 1_000_000
@@ -85,7 +86,7 @@ def near_components(keys: DataFrame, fetch: Callable[[DataFrame], DataFrame], li
 def bucket_members(keys: DataFrame) -> DataFrame:
     """(key, id, hub) of buckets with several ids. One shuffle of narrow rows, sorted in each task and
     read as a stream, so that no bucket is held in memory."""
-    return keys.repartition("key").sortWithinPartitions("key", "id").mapInArrow(shared_keys, "key BIGINT, id BIGINT, hub BIGINT")
+    return keys.repartition("key").sortWithinPartitions("key", "id").mapInArrow(tidy(shared_keys), "key BIGINT, id BIGINT, hub BIGINT")
 
 
 def shared_keys(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,7 +136,7 @@ def verified(pairs: DataFrame, texts: DataFrame, likeness: Likeness) -> DataFram
 
     sides = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("left")), "a")
     sides = sides.join(texts.select(F.col("id").alias("b"), F.col("text").alias("right")), "b")
-    return sides.select("a", "b", "left", "right").mapInArrow(check, "a BIGINT, b BIGINT")
+    return sides.select("a", "b", "left", "right").mapInArrow(tidy(check), "a BIGINT, b BIGINT")
 
 
 def residual_links(members: DataFrame, labels: DataFrame, texts: DataFrame, likeness: Likeness) -> DataFrame:
@@ -169,7 +170,7 @@ def residual_links(members: DataFrame, labels: DataFrame, texts: DataFrame, like
             yield pa.RecordBatch.from_arrays([batch.column("id"), sketch, batch.column("text")], ["id", "sketch", "text"])
 
     wanted = texts.join(everyone.select("id").distinct(), "id", "left_semi").select("id", "text")
-    profile = wanted.mapInArrow(sketched, "id BIGINT, sketch BINARY, text STRING")
+    profile = wanted.mapInArrow(tidy(sketched), "id BIGINT, sketch BINARY, text STRING")
     item = F.struct("id", "component", "sketch", "text")
     blocks = placed.join(profile, "id").groupBy("group", "minor", "block").agg(F.collect_list(item).alias("all"))
     blocks = stored(blocks, "blocks")
@@ -194,7 +195,7 @@ def residual_links(members: DataFrame, labels: DataFrame, texts: DataFrame, like
             columns = list(zip(*found, strict=True)) or [(), ()]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
 
-    return pairs.mapInArrow(compare, "a BIGINT, b BIGINT").distinct()
+    return pairs.mapInArrow(tidy(compare), "a BIGINT, b BIGINT").distinct()
 
 
 class Block:

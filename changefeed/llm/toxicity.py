@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from changefeed.llm.workers import tidy
+
 TOXIC_ROWS, CLEAN_ROWS = 4_000, 8_000  # labelled rows the model is fitted on, at most
 CANDIDATES, INSULTS = 5_000, 512
 PREFIX = range(3, 11)
@@ -243,7 +245,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     tables. Without labels the fixed words and prior weights stand. Only texts are inputs.
     """
     sample = labelled_sample(docs, labels)
-    counted = sample.mapInArrow(count_prefixes, "prefix STRING, toxic BIGINT, clean BIGINT")
+    counted = sample.mapInArrow(tidy(count_prefixes), "prefix STRING, toxic BIGINT, clean BIGINT")
     counted = counted.groupBy("prefix").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     good = counted.where(F.col("toxic") >= LEAST_DOCUMENTS).where(F.expr(f"toxic >= {PRECISION} * (toxic + clean)"))
     best = good.orderBy(F.desc("toxic"), "prefix").limit(CANDIDATES).collect()
@@ -255,7 +257,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
             yield pa.RecordBatch.from_arrays([pa.array(held, pa.list_(pa.string()))], ["held"])
 
     toxic_only = sample.where("toxic = 1").select("text")
-    holders = [set(row.held) for row in toxic_only.mapInArrow(hold, "held ARRAY<STRING>").collect()] if counts else []
+    holders = [set(row.held) for row in toxic_only.mapInArrow(tidy(hold), "held ARRAY<STRING>").collect()] if counts else []
     learned = dict(choose_insults(counts, holders))
     insults = tuple(sorted(({f"{word}$": 1.0 for word in INSULT_WORDS} | learned).items()))
 
@@ -265,7 +267,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
             rows = [grammar.features(text) for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64())), batch.column("toxic")], ["x", "toxic"])
 
-    rows = sample.select("text", "toxic").mapInArrow(measure, "x ARRAY<DOUBLE>, toxic INT").collect()
+    rows = sample.select("text", "toxic").mapInArrow(tidy(measure), "x ARRAY<DOUBLE>, toxic INT").collect()
     x = np.array([row.x for row in rows]).reshape(len(rows), len(FEATURES))
     return Model(insults, logistic(x, np.array([row.toxic for row in rows], float)))
 
@@ -298,7 +300,7 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
             scores = pa.array(text_scores(grammar, model, batch.column("text").to_pylist()), pa.float64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), scores], ["doc_id", "score"])
 
-    scored = rows.mapInArrow(run, "doc_id BIGINT, score DOUBLE")
+    scored = rows.mapInArrow(tidy(run), "doc_id BIGINT, score DOUBLE")
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
@@ -320,4 +322,4 @@ def drop_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> D
             clean = text_scores(grammar, model, batch.column("text").to_pylist()) < threshold
             yield batch.filter(pa.array(clean))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(tidy(keep), docs.schema)
