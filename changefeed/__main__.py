@@ -4,11 +4,13 @@
     clean    raw records to clean edits and dead letters
     stats    clean edits to window statistics
     wars     clean edits to revert sequences
+    judge    clean edits to a table of all of them, as on time or late for the statistics
     replay   clean, stats and wars once over all stored raw records, to tables under `replay`
     counts   records per topic after a replay
     tail     first rows of a stored table
+    state    what the jobs hold, after which batch and watermark, and where a capture can go on
 
-Ingest, clean, stats and wars run as streams until stopped, for `--wait` seconds, or, with
+Ingest, clean, stats, wars and judge run as streams until stopped, for `--wait` seconds, or, with
 `--bounded`, until what is stored has been handled. With `--kafka`, ingest writes to a topic, and
 clean, stats and wars go from topic to topic; `--bounded` makes these batch runs up to the
 present end.
@@ -31,12 +33,12 @@ from changefeed.settings import Settings
 from changefeed.sources import files, kafka
 from changefeed.streaming.jobs import Jobs, finish, run_for
 
-STREAMS = ("ingest", "clean", "stats", "wars")
+STREAMS = ("ingest", "clean", "stats", "wars", "judge")
 
 
 def parse_args(argv: list[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="changefeed", description=__doc__.splitlines()[0])
-    parser.add_argument("job", choices=[*STREAMS, "replay", "counts", "tail"])
+    parser.add_argument("job", choices=[*STREAMS, "replay", "counts", "tail", "state"])
     parser.add_argument("--root", required=True, help="shared folder of tables and checkpoints")
     parser.add_argument("--captures", help="folder of captured feed files")
     parser.add_argument("--wikis", default="", help="only records of these wikis, names separated by commas")
@@ -66,13 +68,16 @@ def main(argv: list[str] | None = None) -> int:
     elif args.job == "counts":
         raw = files.raw_records(spark, jobs.path("raw"))
         replaying.counts(spark, raw, jobs.path("replay"), settings).show(truncate=False)
+    elif args.job == "state":
+        jobs.held_state().show(truncate=False)
+        print(f"{jobs.positions().count()} capture files taken, last event id {jobs.resume_position()}")
     elif args.job == "tail":
         rows = spark.read.parquet(jobs.path(args.table))
         order = next((name for name in ("offset", "window_start", "started_at") if name in rows.columns), rows.columns[0])
         keyed.tail(rows, args.rows, order).show(truncate=False)
     elif args.job == "ingest" and args.max_events is not None:
         print(jobs.ingest_once(captures, wikis, args.max_events, args.kafka))
-    elif args.kafka and settings.bounded and args.job != "ingest":
+    elif args.kafka and settings.bounded and args.job not in ("ingest", "judge"):
         records, stage = topic_records(spark, args, settings)
         kafka.write_records(records, settings, stage)
     else:
@@ -106,13 +111,16 @@ def start(
             return jobs.start_stats_upserts(jobs.clean_edits())
         clean = keyed.decode_keyed(kafka.read_topic(spark, jobs.settings, "clean", group="stats"))
         return jobs.start_stats_upserts(clean, send=to_stats_topic(jobs.settings))
+    if args.kafka and args.job == "judge":
+        clean = keyed.decode_keyed(kafka.read_topic(spark, jobs.settings, "clean", group="judge"))
+        return jobs.start_judged(clean)
     if args.kafka:
         records, stage = topic_records(spark, args, jobs.settings)
         return jobs.start_records(kafka.stream_records(records, jobs.settings, stage), args.job)
     if args.job == "clean":
         raw = files.raw_records(spark, jobs.path("raw"), stream=True, per_trigger=jobs.settings.bytes_per_trigger)
         return jobs.start_clean(raw, args.lossless)
-    return {"stats": jobs.start_stats, "wars": jobs.start_wars}[args.job](jobs.clean_edits())
+    return {"stats": jobs.start_stats, "wars": jobs.start_wars, "judge": jobs.start_judged}[args.job](jobs.clean_edits())
 
 
 if __name__ == "__main__":

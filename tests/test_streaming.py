@@ -461,12 +461,16 @@ print("rows", entry.queries()["stream_wars"](spark, {SF_DIR!r}).count())
 
 def test_command_line(spark, capture_folder, tmp_path, capsys):
     root = str(tmp_path / "root")
-    for job in ("ingest", "clean", "stats", "wars"):
+    for job in ("ingest", "clean", "stats", "wars", "judge"):
         command_line([job, "--root", root, "--captures", capture_folder, "--bounded"])
     assert spark.read.parquet(f"{root}/edits").count() == 39
     command_line(["replay", "--root", root])
     command_line(["counts", "--root", root])
     assert "wiki.edits.clean" in capsys.readouterr().out
+    assert spark.read.parquet(f"{root}/judged").count() == 38
+    command_line(["state", "--root", root])
+    shown = capsys.readouterr().out
+    assert "stateStoreSave" in shown and "waiting" in shown and "4 capture files taken, last event id 39" in shown
     command_line(["tail", "--root", root, "--table", "replay/stats"])
     assert "enwiki" in capsys.readouterr().out
 
