@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import re
 import time
 import zlib
 from collections import Counter
@@ -483,3 +484,45 @@ def test_composed_transducers_equal_plain_rules():
         words = rng.choices(["idiot", "kill", "you", "not", "said", ":", "x"], (3, 3, 2, 2, 0.4, 1, 6), k=rng.randint(1, 25))
         assert grammar.read(" ".join(words)) == read_plainly(words), words
     assert len(toxicity.FORWARD.table) == 2 * (5 * 5 - 4)  # the two counters never stand at the same number but 0
+
+
+def plain_scan(text, templates):
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", brute.ascii_lower(text))
+    base, notices = [], []
+    for t in templates:
+        n = len(t.key)
+        for start in (s for s in range(len(words)) if tuple(words[s : s + n]) == t.key):
+            placed = [0 <= start + k - t.offset < len(words) and words[start + k - t.offset] == w for k, w in enumerate(t.words)]
+            if t.base:
+                base.append((start, t.label))
+            elif sum(placed) >= 0.75 * len(placed):
+                notices.append((t.label, start, sum(placed) / len(placed)))
+    labels = {label for _, label in base} | {label for label, _, _ in notices}
+    return len(words), len(base), ",".join(sorted(labels)), sorted(notices)
+
+
+def test_licences_from_a_table_equal_brute_force(spark):
+    """Hundreds of templates read as data, repeated words in phrases, texts made of their parts."""
+    rng = random.Random(23)
+    pool = [f"w{k}" for k in range(12)] + ["the", "license"]
+    rows = []
+    for k in range(300):
+        words = [rng.choice(pool) for _ in range(rng.randint(1, 14))]
+        start = rng.randrange(len(words))
+        rows.append((f"L{k % 40:02d}", " ".join(words), " ".join(words[start : rng.randint(start + 1, len(words))])))
+    table = spark.createDataFrame(rows, "label string, text string, key string")
+    templates = licenses.read_templates(table)
+    assert len(templates) == len(licenses.BASE) + 300
+    texts = []
+    for k in range(60):
+        parts = [rng.choice(rows)[1] for _ in range(rng.randint(0, 6))] + rng.sample(["under the MIT license", "cc by nc", "it's"], 1)
+        rng.shuffle(parts)
+        texts.append((k, ", ".join(parts)))
+    got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(texts, DOC), templates).collect()}
+    for k, text in texts:
+        r = got[k]
+        found = [(n.label, n.start, n.share) for n in r.notices]
+        assert (r.n_words, r.n_base, r.labels, found) == plain_scan(text, templates), text
+    for bad in (("x", "a b", "c"), (None, "a b", "a"), ("x", "a b", "")):
+        with pytest.raises(ValueError, match="no template"):
+            licenses.read_templates(spark.createDataFrame([bad], "label string, text string, key string"))
