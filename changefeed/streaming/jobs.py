@@ -6,8 +6,9 @@ written through the file sink, whose commit log makes them exactly-once.
 
 from __future__ import annotations
 
+import threading
 import time
-from collections import Counter
+from collections import Counter, deque
 from collections.abc import Callable
 from functools import reduce
 
@@ -47,7 +48,7 @@ class Jobs:
         self.spark, self.root, self.settings = spark, root.rstrip("/"), settings
         self.ingested: Counter[str] = Counter()
         self.progress = Progress()
-        spark.streams.addListener(self.progress)
+        self.hub = Hub.of(spark)
         ship_package(spark)
 
     def path(self, table: str) -> str:
@@ -55,9 +56,10 @@ class Jobs:
 
     def _start(self, writer: DataStreamWriter, job: str) -> StreamingQuery:
         writer = writer.queryName(job).option("checkpointLocation", self.path(f"_checkpoints/{job}"))
-        if self.settings.bounded:
-            return writer.trigger(availableNow=True).start()
-        return writer.trigger(processingTime=f"{self.settings.trigger_seconds} seconds").start()
+        every = {"processingTime": f"{self.settings.trigger_seconds} seconds"}
+        query = writer.trigger(**({"availableNow": True} if self.settings.bounded else every)).start()
+        self.hub.follow(str(query.id), self.progress)
+        return query
 
     def _to_table(self, rows: DataFrame, table: str, *partitions: str) -> StreamingQuery:
         writer = rows.writeStream.format("parquet").outputMode("append").option("path", self.path(table))
@@ -356,7 +358,7 @@ class Jobs:
         return stats.roll_up(parts.join(changed, same, "left_semi").drop("batch"))
 
 
-class Progress(StreamingQueryListener):
+class Progress:
     """Adds up, per job, the rows read and those that came too late for the watermark."""
 
     def __init__(self) -> None:
@@ -364,20 +366,55 @@ class Progress(StreamingQueryListener):
         self.rows: Counter[str] = Counter()
         self.rate: dict[str, float] = {}
 
+    def add(self, progress) -> None:
+        self.late[progress.name] += sum(op.numRowsDroppedByWatermark for op in progress.stateOperators)
+        self.rows[progress.name] += progress.numInputRows
+        self.rate[progress.name] = progress.inputRowsPerSecond
+
+
+class Hub(StreamingQueryListener):
+    """The one listener of a session, however many `Jobs` it has: gives each query's progress to those that started it."""
+
+    _hubs: dict[str, Hub] = {}
+
+    def __init__(self) -> None:
+        self.lock = threading.Lock()
+        self.followed: dict[str, Progress] = {}
+        self.early: dict[str, deque] = {}  # of queries not followed yet
+
+    @classmethod
+    def of(cls, spark: SparkSession) -> Hub:
+        application = spark.sparkContext.applicationId
+        if application not in cls._hubs:
+            cls._hubs[application] = cls()
+            spark.streams.addListener(cls._hubs[application])
+        return cls._hubs[application]
+
+    def follow(self, query_id: str, progress: Progress) -> None:
+        with self.lock:
+            self.followed[query_id] = progress
+            for seen in self.early.pop(query_id, ()):
+                progress.add(seen)
+
     def onQueryStarted(self, event) -> None:
         pass
 
     def onQueryProgress(self, event) -> None:
-        progress = event.progress
-        self.late[progress.name] += sum(op.numRowsDroppedByWatermark for op in progress.stateOperators)
-        self.rows[progress.name] += progress.numInputRows
-        self.rate[progress.name] = progress.inputRowsPerSecond
+        query_id = str(event.progress.id)
+        with self.lock:
+            if query_id in self.followed:
+                self.followed[query_id].add(event.progress)
+            else:
+                self.early.setdefault(query_id, deque(maxlen=50)).append(event.progress)
 
     def onQueryIdle(self, event) -> None:
         pass
 
     def onQueryTerminated(self, event) -> None:
-        pass
+        with self.lock:
+            # a bounded query may end before it is followed; of others' queries no more than these few are kept
+            while len(self.early) > 100:
+                self.early.pop(next(iter(self.early)))
 
 
 def run_for(query: StreamingQuery, seconds: float) -> None:
