@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Collection
+from collections.abc import Callable, Collection, Iterator
 
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
@@ -14,17 +14,41 @@ from changefeed.sources import kafka
 POSITION = "file STRING, size BIGINT, modified TIMESTAMP, blocks BIGINT, whole BOOLEAN, number BIGINT"
 
 
-def unread_files(spark: SparkSession, captures: str, positions: DataFrame) -> list[str]:
-    """Paths of the capture files that hold something new: not listed among the positions, or longer since.
+FIRST_BYTES = 64 << 20
+GROWTH = 8
 
-    Only names and lengths are read, and compared with the positions by a join, whatever order the
-    names sort in. The paths come to the driver, as those of any scan do.
+
+def unread_files(spark: SparkSession, captures: str, positions: DataFrame) -> dict[str, int]:
+    """Size by path of the capture files that hold something new: not listed among the positions, or longer since.
+
+    Only names, times and lengths are read, and compared with the positions by a join, whatever order the
+    names sort in. The files come in the order in which they are taken: by time, those of one time by
+    name. The paths come to the driver, as those of any scan do.
     """
     listing = spark.read.format("binaryFile").load(captures)
-    listing = listing.select("path", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"))
+    about = {"file": "file_path", "size": "file_size", "modified": "file_modification_time"}
+    listing = listing.select("path", *[F.col(f"_metadata.{field}").alias(name) for name, field in about.items()])
     done = positions.where("whole").select("file", F.col("size").alias("read"))
     unread = listing.join(done, "file", "left").where("read is null or read <> size")
-    return [row["path"] for row in unread.select("path").collect()]
+    found = unread.select("path", "size", "modified", "file").collect()
+    return {row["path"]: row["size"] for row in sorted(found, key=lambda row: (row["modified"], row["file"].encode()))}
+
+
+def growing_starts(files: dict[str, int], first_bytes: int = FIRST_BYTES) -> Iterator[list[str]]:
+    """Paths of the first files, one at least, then of more and more of them until they are all.
+
+    Each start may hold GROWTH times the bytes that the one before did not hold any more, so the reads
+    of those that were not enough add little to that of the one that is.
+    """
+    paths, total, limit = [], 0, first_bytes
+    for path, size in files.items():
+        if paths and total + size > limit:
+            yield [*paths]
+            limit = GROWTH * (total + size)
+        paths.append(path)
+        total += size
+    if paths:
+        yield paths
 
 
 def file_places(ends: DataFrame, positions: DataFrame) -> DataFrame:

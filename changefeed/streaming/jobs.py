@@ -21,7 +21,17 @@ from changefeed.operators import clean as C
 from changefeed.operators import stats
 from changefeed.operators.keyed import latest_per_key
 from changefeed.operators.routing import first_events
-from changefeed.plans.ingest import POSITION, file_places, new_positions, placed_blocks, store_raw, to_table, to_topic, unread_files
+from changefeed.plans.ingest import (
+    POSITION,
+    file_places,
+    growing_starts,
+    new_positions,
+    placed_blocks,
+    store_raw,
+    to_table,
+    to_topic,
+    unread_files,
+)
 from changefeed.session import checkpointed, ship_package, state_in_rocksdb
 from changefeed.settings import Settings
 from changefeed.sources import capture, files
@@ -90,12 +100,15 @@ class Jobs:
         """Append what has been captured and not been taken yet, or its first `max_events` events.
 
         Files are taken in the order of their modification times, those of one time by name. Only files
-        that are new or have grown since are opened, whatever their names.
+        that are new or have grown since are opened, whatever their names, and with `max_events` only so
+        many of the first of them as hold these events.
         """
         before = Counter(self.ingested)
         unread = unread_files(self.spark, captures, self.positions())
-        if unread:
-            self._append(capture.read_capture(self.spark, unread), wikis, kafka, max_events=max_events)
+        for paths in growing_starts(unread) if max_events is not None else [[*unread]] if unread else []:
+            lines = capture.read_capture(self.spark, paths)
+            if self._append(lines, wikis, kafka, max_events=max_events, enough=len(paths) < len(unread)):
+                break
         return {name: self.ingested[name] - before[name] for name in before | self.ingested}
 
     def positions(self) -> DataFrame:
@@ -122,36 +135,36 @@ class Jobs:
         kafka: bool,
         batch_id: int | None = None,
         max_events: int | None = None,
-    ) -> None:
+        enough: bool = False,
+    ) -> bool:
         """One batch of captured lines to a folder of its own: announced, written, moved into place, and then counted.
 
         The state holds the next offset, the last batch of the stream, the folders that tell what has
         been taken of each file, and the feed's own last event id with its place. A folder is written
         where readers of `raw` do not look and renamed when it is complete, so they see whole batches.
+        With `enough`, nothing is done and the answer is no if the lines hold fewer than `max_events` events.
         """
         began = time.monotonic()
         log = self._ingest_log()
         state = self._ingest_state(log)
         if batch_id is not None and batch_id <= state["batch"]:
-            return
+            return True
         number = state["number"] + 1
         ends = capture.split_ends(lines)
         files_read = checkpointed(file_places(ends, self._positions(state["positions"])))
         blocks = placed_blocks(capture.sse_blocks(lines, ends), files_read, state["next_offset"])
-        events = capture.sse_events(blocks)
         last = None
         if max_events is not None:
-            events = first_events(events, max_events)
+            # the lines are read once for the narrow places of the events, in which the last one is then looked up
+            places = checkpointed(capture.sse_events(blocks).select("offset", "modified", "file", "block_no"))
             place = F.struct("offset", "modified", "file", "block_no")
-            last = events.agg(F.count("*").alias("n"), F.max(place).alias("last")).first()
+            last = first_events(places, max_events).agg(F.count("*").alias("n"), F.max(place).alias("last")).first()
+            if enough and last["n"] < max_events:
+                return False
             # fewer events than asked for: all blocks are taken, those without an event too
             last = last["last"] if last["n"] >= max_events else None
             if last is not None:
                 blocks = blocks.where(F.col("offset") <= last["offset"])
-        place = F.struct(F.date_format("modified", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("modified"), "file", "block_no")
-        newest = blocks.where("id <> ''").agg(F.max_by(place, "offset").alias("place"), F.max_by("id", "offset").alias("id")).first()
-        if newest["place"] and (state["id_place"] or []) < list(newest["place"]):
-            state |= {"id_place": list(newest["place"]), "last_event_id": newest["id"]}
         total = files_read.agg(F.sum(F.greatest(F.col("blanks") - F.col("taken"), F.lit(0))).alias("n")).first()["n"] or 0
         positions = self.path(f"raw_positions/batch={number:012d}")
         taken = new_positions(files_read, number, last and tuple(last)[1:])
@@ -160,31 +173,46 @@ class Jobs:
             older = self._positions(state["positions"])
             taken, folders = older.join(taken, "file", "left_anti").unionByName(taken), [positions]
         taken.write.mode("overwrite").parquet(positions)
+        unfinished, folder = (self.path(f"raw/{place}batch={number:012d}") for place in ("_unfinished/", ""))
+        if not kafka:
+            log.write(state | {"pending": {"unfinished": unfinished, "folder": folder}})
+        # the newest id is seen while the events are written; that of a block without an event counts too
+        newest = Observation()
+        at = F.when(F.col("id") != "", F.col("offset"))
+        modified = F.date_format("modified", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        place = {"modified": modified, "file": F.col("file"), "block_no": F.col("block_no"), "id": F.col("id")}
+        blocks = blocks.observe(newest, *[F.max_by(value, at).alias(name) for name, value in place.items()])
+        events = capture.sse_events(blocks)
+        counted = store_raw(events, to_topic(self.settings) if kafka else to_table(unfinished), wikis)
+        seen = newest.get
+        id_place = [seen.get(name) for name in ("modified", "file", "block_no")]
         after_it = state | {
             "number": number,
             "next_offset": last["offset"] + 1 if last is not None else state["next_offset"] + total,
             "positions": folders,
             **({"batch": batch_id} if batch_id is not None else {}),
         }
-        unfinished, folder = (self.path(f"raw/{place}batch={number:012d}") for place in ("_unfinished/", ""))
+        if seen.get("id") is not None and (state["id_place"] or []) < id_place:
+            after_it |= {"id_place": id_place, "last_event_id": seen["id"]}
+        self.ingested.update(counted)
         if not kafka:
             log.write(state | {"pending": {"unfinished": unfinished, "folder": folder, "state": after_it}})
-        self.ingested.update(store_raw(events, to_topic(self.settings) if kafka else to_table(unfinished), wikis))
-        if not kafka:
             log.move(unfinished, folder)
         log.write(after_it)
         self.ingested.update({"seconds": time.monotonic() - began})
+        return True
 
     def _ingest_state(self, log: StateLog) -> dict:
-        """The state of ingest. A batch that was announced counts once its folder is complete, and is else taken back."""
+        """The state of ingest. A batch that was announced counts once its folder is complete and it is known what
+        holds after it, and is else taken back."""
         state = {"number": 0, "next_offset": 0, "batch": -1, "positions": []}
         state |= {"id_place": None, "last_event_id": None} | log.read()
         pending = state.pop("pending", None)
         if pending:
             folder, unfinished = pending["folder"], pending.get("unfinished", pending["folder"])
-            if not log.complete(folder) and log.complete(unfinished):
+            if "state" in pending and not log.complete(folder) and log.complete(unfinished):
                 log.move(unfinished, folder)
-            if log.complete(folder):
+            if "state" in pending and log.complete(folder):
                 state = pending["state"]
             else:
                 log.remove(unfinished)

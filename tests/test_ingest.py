@@ -168,3 +168,49 @@ def test_a_compressed_capture(spark, folder):
     assert events.count() == 2000
     assert events.orderBy("block_no").first()["data"] == "x0\ny"
     assert events.agg(F.max("block_no")).first()[0] == 1999
+
+
+def test_a_limited_run_reads_only_the_first_files(spark, folder, monkeypatch):
+    """It goes on to more of them only while they hold too few events, and comes to the same as one read of all."""
+    from changefeed.plans import ingest
+
+    read = []
+
+    def recorded(session, paths):
+        read.append([os.path.basename(path) for path in paths])
+        return read_capture(session, paths)
+
+    read_capture = capture.read_capture
+    monkeypatch.setattr(capture, "read_capture", recorded)
+    monkeypatch.setattr(ingest.growing_starts, "__defaults__", (1,))
+    monkeypatch.setattr(ingest, "GROWTH", 2)
+    for part in range(12):  # names sort against the times; files 3 to 5 hold no event
+        if 3 <= part <= 5:
+            (folder / f"{99 - part}.txt").write_text(":ok\n\nid: x\n\n")
+            os.utime(folder / f"{99 - part}.txt", (1700000000 + part, 1700000000 + part))
+        else:
+            capture_file(folder, f"{99 - part}.txt", 10 * part, 4, part)
+    jobs = Jobs(spark, scratch_table(spark, "test"), NOW)
+    assert jobs.ingest_once(str(folder), max_events=3)["received"] == 3
+    assert read == [["99.txt"]] and jobs.resume_position() == "2"
+    read.clear()
+    assert jobs.ingest_once(str(folder), max_events=10)["received"] == 10
+    assert read[0] == ["99.txt"] and len(read) > 1 and "88.txt" not in read[-1]
+    first = [*range(4), *range(10, 14), *range(20, 24), 60]
+    assert titles(spark, jobs) == [f"T{i}" for i in first]
+    assert jobs.resume_position() == "60"
+    read.clear()
+    assert jobs.ingest_once(str(folder), max_events=1000)["received"] == 23
+    assert len(read[-1]) == 6 and opened(spark, jobs, folder) == set()
+    assert numbers(spark, jobs) == sorted(10 * part + i for part in (0, 1, 2, *range(6, 12)) for i in range(4))
+    assert jobs.resume_position() == "113"
+
+
+def test_a_batch_written_but_not_yet_measured_is_taken_back(spark, folder):
+    capture_file(folder, "one.txt", 0, 5, 0)
+    jobs = Jobs(spark, scratch_table(spark, "test"), NOW)
+    unfinished, placed = jobs.path("raw/_unfinished/batch=000000000001"), jobs.path("raw/batch=000000000001")
+    spark.range(1).write.parquet(unfinished)
+    StateLog(spark, jobs.path("raw_log")).write({"pending": {"unfinished": unfinished, "folder": placed}})
+    assert jobs.ingest_once(str(folder))["received"] == 5
+    assert numbers(spark, jobs) == [0, 1, 2, 3, 4] and jobs.resume_position() == "4"
