@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from changefeed.operators import clean as C
 from changefeed.operators import keyed, late, order, routing, stats, wars
 from changefeed.plans import replay
-from changefeed.session import pin_utc, scratch_table
+from changefeed.session import checkpointed, pin_utc, scratch_table
 from changefeed.settings import Settings
 from changefeed.sources import capture, files
 from changefeed.streaming.jobs import Jobs, finish
@@ -317,7 +317,8 @@ def topic_counts(spark, sf_dir):
 
 
 def halves(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The rows with earlier offsets, and those with later ones."""
+    """The rows with earlier offsets, and those with later ones; the rows are worked out once and stored."""
+    rows = checkpointed(rows)
     middle = rows.agg((F.max("offset") / 2).alias("middle")).first()["middle"]
     return rows.where(F.col("offset") <= middle), rows.where(F.col("offset") > middle)
 
