@@ -41,6 +41,7 @@ from changefeed.streaming.wars import edit_wars_stream
 
 COMPACT_EVERY = 50
 DAY_SECONDS = 24 * 60 * 60
+FILES_OF_DAY = 4
 PART = "window STRUCT<start: TIMESTAMP, end: TIMESTAMP>, wiki STRING, kind STRING, member STRING, " + ", ".join(
     f"{name} BIGINT" for name in stats.MEASURES
 )
@@ -317,7 +318,7 @@ class Jobs:
             if batch_id <= state["last"]:
                 return
             folder = self.path(f"stats_parts/batch={batch_id:08d}")
-            batch.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").partitionBy("day").parquet(folder)
+            by_day(batch.withColumn("batch", F.lit(batch_id))).write.mode("overwrite").partitionBy("day").parquet(folder)
             changed = [name.partition("=")[2] for name in log.children(folder) if name.startswith("day=")]
             if not changed:
                 log.remove(folder)
@@ -353,13 +354,13 @@ class Jobs:
             return
         for old in state["stale"]:
             log.remove(old)
-            parent = old.rpartition("/")[0]
+        for parent in {old.rpartition("/")[0] for old in state["stale"]}:
             if not any(name.startswith("day=") for name in log.children(parent)):
                 log.remove(parent)
         table = self.path(f"stats_parts/upto={state['last']:08d}")
         newest = self._newest_parts({day: state["days"][day] for day in due})
         day = F.floor(F.unix_seconds("window.start") / DAY_SECONDS).cast("int")
-        newest.withColumn("day", day).write.mode("overwrite").partitionBy("day").parquet(table)
+        by_day(newest.withColumn("day", day)).write.mode("overwrite").partitionBy("day").parquet(table)
         state["stale"] = [f"{folder}/day={day}" for day in due for folder in state["days"][day]["folders"]]
         for day in due:
             state["days"][day]["folders"] = [table]
@@ -388,6 +389,11 @@ class Jobs:
         return stats.roll_up(parts.join(changed, same, "left_semi").drop("batch"))
 
 
+def by_day(parts: DataFrame) -> DataFrame:
+    """The parts with those of a day in a few tasks, so that a day gets a few files however many tasks and days there are."""
+    return parts.repartition("day", F.pmod(F.xxhash64("wiki", "kind", "member"), F.lit(FILES_OF_DAY)))
+
+
 class Progress:
     """Adds up, per job, the rows read and those that came too late for the watermark."""
 
