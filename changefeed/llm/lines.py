@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changefeed.llm.components import free_name, join_spread, measured
-from changefeed.llm.near import Likeness, near_components
+from changefeed.llm.components import free_name, join_spread, measured, stored
+from changefeed.llm.near import KEYS_HELD, PACKED, Likeness, bucket_components, key_parts, packed, packed_members
 from changefeed.llm.words import character_runs
 from changefeed.llm.workers import tidy
 
@@ -34,9 +35,10 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return bodies.where("body <> ''").withColumn("id", F.xxhash64("body"))
 
 
-def line_keys(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, key) of every band; a line repeated in a task is taken once."""
+def line_keys(batches: Iterable[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
+    """Ids and keys of every band, packed for so many parts; a line repeated in a task is taken once."""
     seen: set[int] = set()
+    held: list[tuple[np.ndarray, np.ndarray]] = []
     for batch in batches:
         ids, fresh = batch.column("id").to_pylist(), []
         for at, line in enumerate(ids):
@@ -48,7 +50,12 @@ def line_keys(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bodies = batch.column("body").take(pa.array(fresh)).to_pylist()
         keys = LIKENESS.keys(bodies)
         named = np.repeat(np.array([ids[at] for at in fresh], np.int64), keys.shape[1])
-        yield pa.RecordBatch.from_arrays([pa.array(named), pa.array(keys.ravel())], ["id", "key"])
+        held.append((named, keys.ravel()))
+        if sum(len(ids) for ids, _ in held) >= KEYS_HELD:
+            yield packed(*map(np.concatenate, zip(*held, strict=True)), parts)
+            held = []
+    if held:
+        yield packed(*map(np.concatenate, zip(*held, strict=True)), parts)
 
 
 def extract_lines(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -82,9 +89,12 @@ def line_classes(docs: DataFrame) -> DataFrame:
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     lines = lines_of(rows)
-    grouped = lines.groupBy("id").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("n"))
+    places = stored(lines.select("doc_id", "line_no", "id"), "places")
+    grouped = places.groupBy("id").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("n"))
     first, seen = measured(grouped, "lines", total=F.sum("n"))
-    keys = lines.where(F.length("body") >= SHINGLE_CHARS).select("id", "body").mapInArrow(tidy(line_keys), "id BIGINT, key BIGINT")
+    parts = key_parts(docs.sparkSession, (seen["total"] or 0) * BINS // ROWS)
+    bodies = lines.where(F.length("body") >= SHINGLE_CHARS).select("id", "body")
+    keys = bodies.mapInArrow(tidy(partial(line_keys, parts=parts)), PACKED)
 
     def fetch(ids: DataFrame) -> DataFrame:
         places = first.join(ids, "id").select("first.doc_id", F.struct("first.line_no", "id").alias("place"))
@@ -93,12 +103,12 @@ def line_classes(docs: DataFrame) -> DataFrame:
         texts = found.mapInArrow(tidy(extract_lines), "id BIGINT, text STRING")
         return texts.where(F.xxhash64("text") == F.col("id")).distinct()
 
-    components = near_components(keys, fetch, LIKENESS).withColumnRenamed("node", "id")
+    components = bucket_components(packed_members(keys, parts), fetch, LIKENESS).withColumnRenamed("node", "id")
     linked = first.join(components, "id")
     keepers = linked.groupBy("component").agg(F.min("first").alias("keeper"))
     keeper_of = linked.join(keepers, "component").select("id", "keeper")
     chosen = first.join(keeper_of, "id", "left").select("id", "n", F.coalesce("keeper", "first").alias("keeper"))
-    placed = join_spread(lines.select("doc_id", "line_no", "id"), chosen, ["id"], seen["total"] or 0)
+    placed = join_spread(places, chosen, ["id"], seen["total"] or 0)
     return placed.select(
         "doc_id",
         "line_no",

@@ -21,17 +21,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changefeed.llm.components import connected_components, measured, stored
 from changefeed.llm.sketch import bands, compact, sketches
-from changefeed.llm.words import slices
+from changefeed.llm.words import PIECE_CHARS, slices
 from changefeed.llm.workers import tidy
 
+KEYS_HELD = 1 << 18
+PART_KEYS = 1 << 20
 BLOCK = 512
 BLOCK_BYTES = 1_000_000
 BLOCK_BINS = 192
+BLOCK_PAIRS = 1 << 14
 BLOCK_SLACK = 0.17  # of the bins, by which sketches may agree less than the sets do: over five standard deviations
 
 
@@ -46,17 +49,21 @@ class Likeness:
     percent: int
 
     def sketch(self, texts: list[str | None], bins: int) -> np.ndarray:
-        parts = [sketches(*self.shingles(part), bins) for part in slices(texts)]
+        parts = [sketches(*self.shingles(part), bins) for part in slices(texts, PIECE_CHARS)]
         return np.concatenate([np.zeros((0, bins), np.uint64), *parts])
 
     def keys(self, texts: list[str | None]) -> np.ndarray:
         return bands(self.sketch(texts, self.bins), self.rows)
 
     def sets(self, texts: list[str | None]) -> list[np.ndarray]:
+        """The set of each text, sorted."""
         found = []
-        for part in slices(texts):
+        for part in slices(texts, PIECE_CHARS):
             flat, sizes = self.shingles(part)
-            found += [np.unique(items) for items in np.split(flat, np.cumsum(sizes)[:-1])]
+            ends = np.cumsum(sizes).tolist()
+            for start, end in zip([0, *ends], ends, strict=False):
+                items = np.sort(flat[start:end])
+                found.append(items[np.append(items[:-1] != items[1:], True)] if len(items) else items)
         return found
 
     def alike(self, a: np.ndarray, b: np.ndarray) -> bool:
@@ -74,7 +81,12 @@ def near_components(keys: DataFrame, fetch: Callable[[DataFrame], DataFrame], li
     keys: (id, key), one row per band, an id at most a few times per key. fetch: gives (id, text)
     of the ids asked for.
     """
-    members = stored(bucket_members(keys), "buckets")
+    return bucket_components(bucket_members(keys).select("id", "hub"), fetch, likeness)
+
+
+def bucket_components(members: DataFrame, fetch: Callable[[DataFrame], DataFrame], likeness: Likeness) -> DataFrame:
+    """(node, component) of all ids that have a link. members: (id, hub) of every bucket, its hub included."""
+    members = stored(members, "buckets")
     texts = stored(fetch(members.select("id").distinct()), "texts")
     first = members.where("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
     links = stored(verified(first, texts, likeness), "links")
@@ -121,6 +133,71 @@ def shared_keys(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(key[out]), pa.array(item[out]), pa.array(hub[out])], ["key", "id", "hub"])
 
 
+def key_parts(spark: SparkSession, keys: int) -> int:
+    """So many parts for so many keys that a part fits a task: the session's shuffle partitions, or more."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-keys // PART_KEYS))
+
+
+def packed(ids: np.ndarray, keys: np.ndarray, parts: int) -> pa.RecordBatch:
+    """A row for each part that the keys are dealt to: (part, keys, ids), side by side in two lists."""
+    part = (((keys.view(np.uint64) >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.uint16 if parts < 1 << 16 else np.int32)
+    order = np.argsort(part, kind="stable")
+    counts = np.bincount(part, minlength=parts)
+    filled = np.flatnonzero(counts)
+    bounds = np.append(0, np.cumsum(counts[filled])).astype(np.int32)
+    lists = [pa.ListArray.from_arrays(bounds, column[order]) for column in (keys, ids)]
+    return pa.RecordBatch.from_arrays([pa.array(filled, pa.int32()), *lists], ["part", "keys", "ids"])
+
+
+PACKED = "part INT, keys ARRAY<BIGINT>, ids ARRAY<BIGINT>"
+
+
+def packed_members(rows: DataFrame, parts: int) -> DataFrame:
+    """(id, hub) of buckets with several ids, from rows as `packed` makes them for so many parts.
+
+    A part is a fixed share of all keys, dealt to a task of its own. The task holds each key once, with
+    its hub, but not the members, so a bucket may be of any size.
+    """
+    return rows.repartitionById(parts, "part").mapInArrow(tidy(first_met), "id BIGINT, hub BIGINT")
+
+
+def first_met(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, hub) for keys met with several ids, (hub, hub) too; the hub is the smallest id of those a key was first met with."""
+    names = hubs = np.zeros(0, np.int64)  # the keys met so far and their hubs
+    for key, item in key_columns(batches):
+        met = len(names)
+        key, item = np.append(names, key), np.append(hubs, item)
+        order = np.argsort(key)
+        key, item, fresh = key[order], item[order], order >= met
+        starts = np.append(True, key[1:] != key[:-1])
+        again = ~starts
+        several = again | np.append(again[1:], False)  # rows of a key with more than one row
+        place = np.flatnonzero(several)
+        ranked = place[np.lexsort((item[place], fresh[place], key[place]))]
+        item[place] = item[ranked]
+        first = np.flatnonzero(starts)
+        names, hubs = key[first], item[first]
+        hub = np.repeat(hubs, np.diff(np.append(first, len(key))))
+        other = item != hub
+        pairs = np.stack([np.append(item[other], hub[other]), np.append(hub[other], hub[other])])
+        pairs = pairs[:, np.lexsort(pairs)]
+        pairs = pairs[:, np.append(True, (pairs[:, 1:] != pairs[:, :-1]).any(axis=0))] if pairs.size else pairs
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["id", "hub"])
+
+
+def key_columns(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Keys and ids of packed rows, some PART_KEYS at a time."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    for batch in batches:
+        if len(batch):
+            held.append(tuple(batch.column(name).flatten().to_numpy() for name in ("keys", "ids")))
+        if sum(len(keys) for keys, _ in held) >= 2 * PART_KEYS:
+            yield tuple(map(np.concatenate, zip(*held, strict=True)))
+            held = []
+    if held:
+        yield tuple(map(np.concatenate, zip(*held, strict=True)))
+
+
 def verified(pairs: DataFrame, texts: DataFrame, likeness: Likeness) -> DataFrame:
     """The pairs (a, b) that are links."""
 
@@ -130,8 +207,11 @@ def verified(pairs: DataFrame, texts: DataFrame, likeness: Likeness) -> DataFram
             for texts_a in slices(batch.column("left").to_pylist()):
                 part = batch.slice(done, len(texts_a))
                 done += len(texts_a)
-                sets = zip(likeness.sets(texts_a), likeness.sets(part.column("right").to_pylist()), strict=True)
-                linked = np.fromiter((likeness.alike(x, y) for x, y in sets), bool, len(part))
+                # a hub stands in many pairs
+                hubs = dict(zip(part.column("b").to_pylist(), part.column("right").to_pylist(), strict=True))
+                set_of = dict(zip(hubs, likeness.sets(list(hubs.values())), strict=True))
+                sides = zip(likeness.sets(texts_a), part.column("b").to_pylist(), strict=True)
+                linked = np.fromiter((likeness.alike(x, set_of[b]) for x, b in sides), bool, len(part))
                 yield part.select(["a", "b"]).filter(pa.array(linked))
 
     sides = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("left")), "a")
@@ -180,28 +260,49 @@ def residual_links(members: DataFrame, labels: DataFrame, texts: DataFrame, like
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            a, b = (Members(batch.column(side), likeness) for side in ("left", "right"))
             found: list[tuple[int, int]] = []
-            for k in range(len(batch)):
-                a, b = (Block(batch.column(side)[k].values, likeness) for side in ("left", "right"))
-                for x in range(len(a.ids)):
-                    joined: set[int] = set()
-                    near = (b.table == a.table[x]).sum(axis=1) >= floor
-                    for y in np.flatnonzero(near & (b.component != a.component[x])):
-                        # one link to a component is enough
-                        if b.component[y] not in joined and likeness.alike(a.items(x), b.items(y)):
-                            joined.add(b.component[y])
-                            found.append((int(a.ids[x]), int(b.ids[y])))
-                    a.known.pop(x, None)
+            joined: set[tuple[int, int]] = set()
+            for x, y in block_pairs(a.bounds, b.bounds):
+                near = (a.component[x] != b.component[y]) & ((a.table[x] == b.table[y]).sum(axis=1) >= floor)
+                x, y = x[near], y[near]
+                sets_a, sets_b = a.sets(x), b.sets(y)
+                joined = {link for link in joined if len(x) and link[0] == x[0]}  # a member's pairs follow each other
+                for k, m in zip(x.tolist(), y.tolist(), strict=True):
+                    link = (k, int(b.component[m]))  # one link to a component is enough
+                    if link not in joined and likeness.alike(sets_a[k], sets_b[m]):
+                        joined.add(link)
+                        found.append((int(a.ids[k]), int(b.ids[m])))
             columns = list(zip(*found, strict=True)) or [(), ()]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
 
     return pairs.mapInArrow(tidy(compare), "a BIGINT, b BIGINT").distinct()
 
 
-class Block:
-    """Some members of a group: ids, components, sketches, and whole sets as they are asked for."""
-
-    def __init__(self, rows: pa.StructArray, likeness: Likeness) -> None:
+def block_pairs(left: np.ndarray, right: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places (x, y) of all pairs of a left and a right member in one row, by row and x, about BLOCK_PAIRS at a time."""
+    xs, ys, filled = [], [], 0
+    for k in range(len(left) - 1):
+        y = np.arange(right[k], right[k + 1])
+        step = max(1, BLOCK_PAIRS // max(1, len(y)))
+        for at in range(left[k], left[k + 1], step):
+            x = np.arange(at, min(at + step, left[k + 1]))
+            xs.append(np.repeat(x, len(y)))
+            ys.append(np.tile(y, len(x)))
+            filled += len(xs[-1])
+            if filled >= BLOCK_PAIRS:
+                yield np.concatenate(xs), np.concatenate(ys)
+                xs, ys, filled = [], [], 0
+    if filled:
+        yield np.concatenate(xs), np.concatenate(ys)
+
+
+class Members:
+    """The members of a column of blocks: ids, components, sketches, and whole sets as they are asked for."""
+
+    def __init__(self, blocks: pa.ListArray, likeness: Likeness) -> None:
+        rows = blocks.flatten()
+        self.bounds = np.concatenate([[0], np.cumsum(blocks.value_lengths().to_numpy(zero_copy_only=False))])
         self.ids = rows.field("id").to_numpy(zero_copy_only=False)
         self.component = rows.field("component").to_numpy(zero_copy_only=False)
         sketch = b"".join(rows.field("sketch").to_pylist())
@@ -209,7 +310,10 @@ class Block:
         self.texts, self.likeness = rows.field("text"), likeness
         self.known: dict[int, np.ndarray] = {}
 
-    def items(self, k: int) -> np.ndarray:
-        if k not in self.known:
-            self.known[k] = self.likeness.sets([self.texts[int(k)].as_py()])[0]
-        return self.known[k]
+    def sets(self, places: np.ndarray) -> dict[int, np.ndarray]:
+        """The sets at these places; those of the last call are not worked out again."""
+        wanted = np.unique(places)
+        self.known = {k: self.known[k] for k in wanted.tolist() if k in self.known}
+        missing = [k for k in wanted.tolist() if k not in self.known]
+        self.known |= zip(missing, self.likeness.sets(self.texts.take(pa.array(missing, pa.int64())).to_pylist()), strict=True)
+        return self.known

@@ -22,26 +22,31 @@ SEEDS = np.random.default_rng(20240302).integers(1 << 63, size=2048, dtype=np.ui
 
 def sketches(elements: np.ndarray, sizes: np.ndarray, bins: int) -> np.ndarray:
     """A row of `bins` values for each set; sets follow each other in `elements`. Empty sets stay EMPTY."""
-    owner = np.repeat(np.arange(len(sizes)), sizes)
     out = np.full(len(sizes) * bins, EMPTY, U)
     table = out.reshape(len(sizes), bins)
+    live = np.flatnonzero(sizes)  # sets with empty bins
+    sizes = np.asarray(sizes)[live]
+    row = np.repeat(live * bins, sizes)
     for turn in range(2 * bins):
-        if not len(elements):
+        if not len(live):
             break
         for at in range(0, len(elements), CHUNK):  # what is made on the way stays small, however large the sets
             hashed = mix(elements[at : at + CHUNK] ^ SEEDS[turn])
             if turn < bins:
                 place = (((hashed >> U(32)) * U(bins)) >> U(32)).astype(np.int64)
             else:
-                place = turn - bins
+                place = np.full(len(hashed), turn - bins)
+            place += row[at : at + CHUNK]
             value = (U(turn) << ROUND_SHIFT) | (hashed & LOW)
-            np.minimum.at(out, owner[at : at + CHUNK] * bins + place, value)
-        live = np.unique(owner)
-        open_sets = np.zeros(len(sizes), bool)
-        open_sets[live] = (table[live] == EMPTY).any(axis=1)
-        keep = open_sets[owner]
-        if not keep.all():
-            elements, owner = elements[keep], owner[keep]
+            if turn:  # bins filled in an earlier round hold less
+                free = out[place] >= U(turn) << ROUND_SHIFT
+                place, value = place[free], value[free]
+            np.minimum.at(out, place, value)
+        still = (table[live] == EMPTY).any(axis=1)
+        if not still.all():
+            keep = np.repeat(still, sizes)
+            elements, row = elements[keep], row[keep]
+            live, sizes = live[still], sizes[still]
     return table
 
 

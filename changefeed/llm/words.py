@@ -12,6 +12,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 
 SEGMENT_BYTES = 1 << 20
+PIECE_CHARS = 1 << 16  # what is worked out of a piece stays in a core's cache
 
 U = np.uint64
 BASE = U(0x9E3779B97F4A7C15)
@@ -135,10 +136,10 @@ def character_runs(texts: list[str], length: int) -> tuple[np.ndarray, np.ndarra
         np.add.at(sizes, [owner for owner, _ in pieces], counts)
 
     for owner, text in enumerate(texts):
-        for at in range(0, max(1, len(text) - length + 1), SEGMENT_BYTES):
-            pieces.append((owner, text[at : at + SEGMENT_BYTES + length - 1]))
+        for at in range(0, max(1, len(text) - length + 1), PIECE_CHARS):
+            pieces.append((owner, text[at : at + PIECE_CHARS + length - 1]))
             filled += len(pieces[-1][1])
-            if filled > SEGMENT_BYTES:
+            if filled > PIECE_CHARS:
                 flush()
                 pieces, filled = [], 0
     if pieces:
@@ -151,13 +152,17 @@ def piece_runs(texts: list[str], length: int) -> tuple[np.ndarray, np.ndarray]:
     points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4").astype(U)
     n = max(0, len(points) - length + 1)
     total = points[:n] * RUN[0]
+    term = np.empty_like(total)
     for k in range(1, length):
-        total += points[k : k + n] * RUN[k]
+        np.multiply(points[k : k + n], RUN[k], out=term)
+        total += term
     counts = np.maximum(lengths - length + 1, 0)
-    starts = np.cumsum(lengths) - lengths
-    # places of runs that lie within one text
-    places = np.arange(counts.sum()) + np.repeat(starts - (np.cumsum(counts) - counts), counts)
-    found = total[places]
+    ends = np.cumsum(lengths)
+    starts = ends - lengths
+    within = np.ones(len(points), bool)  # whether the run from a place on lies within one text
+    for k in range(1, length):
+        within[ends[ends >= k] - k] = False
+    found = total[within[:n]]
     short = np.flatnonzero((lengths > 0) & (lengths < length))
     if len(short):
         whole = [(points[starts[k] : starts[k] + lengths[k]] * RUN[: lengths[k]]).sum(dtype=U) for k in short]

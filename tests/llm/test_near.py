@@ -3,12 +3,13 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from changefeed.llm import lines, minhash
 from changefeed.llm.components import connected_components
-from changefeed.llm.near import Likeness, near_components
+from changefeed.llm.near import Likeness, block_pairs, first_met, near_components, packed
 from changefeed.llm.sketch import EMPTY, sketches
 from changefeed.llm.words import SEGMENT_BYTES, SPACES, U, character_runs, mix, runs, text_words
 from tests.llm import brute
@@ -216,3 +217,51 @@ def test_hot_keys_are_spread(spark, monkeypatch):
     assert got == brute.line_classes(rows)
     copies = spark.createDataFrame([(k, "one two three four five six" if k % 3 else f"w{k} " * 9) for k in range(40)], DOC)
     assert {r.doc_id: r.component_id for r in minhash.near_duplicates(copies).collect()} == {k: 1 if k % 3 else k for k in range(40)}
+
+
+def test_line_keys_go_in_lists():
+    """Rows between tasks grow with the parts that keys are dealt to, not with lines times bands."""
+    rng = random.Random(31)
+    bodies = [prose(rng, 20) for _ in range(300)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(300), pa.int64()), pa.array(bodies)], ["id", "body"])
+    rows = [row for out in lines.line_keys([batch, batch], 7) for row in out.to_pylist()]
+    assert len(rows) <= 7
+    got = [(row["part"], key, k) for row in rows for key, k in zip(row["keys"], row["ids"], strict=True)]
+    expected = [(key, k) for k, keys in enumerate(lines.LIKENESS.keys(bodies).tolist()) for key in keys]
+    assert sorted((key, k) for _, key, k in got) == sorted(expected)
+    assert len({(part, key) for part, key, _ in got}) == len({key for key, _ in expected})
+
+
+@pytest.mark.parametrize("held", [2, 1 << 20])
+def test_buckets_met_in_several_chunks(monkeypatch, held):
+    """All ids of a key have its first hub in common, however the key's rows come in; ids that come again add nothing."""
+    monkeypatch.setattr("changefeed.llm.near.PART_KEYS", held)
+    rng = np.random.default_rng(32)
+    keys, ids = rng.integers(-30, 30, 200), rng.integers(0, 25, 200)
+    keys, ids = np.append(keys, [99, 99, 99]), np.append(ids, [7, 7, 7])
+    batches = [packed(ids[at : at + 3], keys[at : at + 3], 1) for at in range(0, len(ids), 3)]
+    found = [(row["id"], row["hub"]) for out in first_met([batches[0].slice(0, 0), *batches]) for row in out.to_pylist()]
+    buckets = {key: set(ids[keys == key].tolist()) for key in keys.tolist()}
+    for bucket in buckets.values():
+        assert len(bucket) == 1 or any(all((k, hub) in found for k in bucket) for hub in bucket)
+    assert all(any({k, hub} <= bucket and len(bucket) > 1 for bucket in buckets.values()) for k, hub in found)
+    if held > 2:
+        assert sorted(found) == sorted({(k, min(bucket)) for bucket in buckets.values() if len(bucket) > 1 for k in bucket})
+
+
+def test_pairs_of_blocks_are_all_listed(monkeypatch):
+    monkeypatch.setattr("changefeed.llm.near.BLOCK_PAIRS", 10)
+    left, right = np.array([0, 3, 3, 20]), np.array([0, 2, 5, 9])
+    got = [(x, y) for xs, ys in block_pairs(left, right) for x, y in zip(xs.tolist(), ys.tolist(), strict=True)]
+    assert got == [(x, y) for k in range(3) for x in range(left[k], left[k + 1]) for y in range(right[k], right[k + 1])]
+
+
+def test_character_runs_do_not_depend_on_pieces(monkeypatch):
+    rng = random.Random(33)
+    texts = ["", *("".join(rng.choices("abé日", k=rng.choice((0, 1, 7, 8, 9, 40, 300)))) for _ in range(80))]
+    whole = character_runs(texts, 8)
+    monkeypatch.setattr("changefeed.llm.words.PIECE_CHARS", 16)
+    assert all((a == b).all() for a, b in zip(character_runs(texts, 8), whole, strict=True))
+    assert whole[1].tolist() == [max(len(text) - 7, min(len(text), 1)) for text in texts]
+    alone = [character_runs([text], 8)[0] for text in texts]
+    assert (np.concatenate(alone) == whole[0]).all()
