@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changefeed.llm.components import free_name, join_spread, measured, stored
@@ -31,7 +31,10 @@ LIKENESS = Likeness(line_sets, BINS, ROWS, PERCENT)
 def lines_of(docs: DataFrame) -> DataFrame:
     """(doc_id, line_no, body, id) of lines that are not blank; the id is a hash of the trimmed line."""
     exploded = docs.where("doc_id is not null").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    bodies = exploded.select("doc_id", "line_no", F.btrim("line", F.lit(TRIM)).alias("body"))
+    # trimming goes over a whole line for each of its uses, so it is left to lines that have something to lose
+    edges = [edge("line", F.lit(char)) for char in TRIM for edge in (F.startswith, F.endswith)]
+    body = F.when(reduce(Column.__or__, edges), F.btrim("line", F.lit(TRIM))).otherwise(F.col("line"))
+    bodies = exploded.select("doc_id", "line_no", body.alias("body"))
     return bodies.where("body <> ''").withColumn("id", F.xxhash64("body"))
 
 
@@ -106,15 +109,18 @@ def line_classes(docs: DataFrame) -> DataFrame:
     components = bucket_components(packed_members(keys, parts), fetch, LIKENESS).withColumnRenamed("node", "id")
     linked = first.join(components, "id")
     keepers = linked.groupBy("component").agg(F.min("first").alias("keeper"))
-    keeper_of = linked.join(keepers, "component").select("id", "keeper")
-    chosen = first.join(keeper_of, "id", "left").select("id", "n", F.coalesce("keeper", "first").alias("keeper"))
-    placed = join_spread(places, chosen, ["id"], seen["total"] or 0)
-    return placed.select(
+    keeper_of = linked.join(keepers, "component").select("id", "n", "keeper")
+    copied = first.where("n > 1").join(components, "id", "left_anti").select("id", "n", F.col("first").alias("keeper"))
+    # a line that stands once and has no link is its own keeper, and joined with nothing
+    placed = join_spread(places, keeper_of.unionByName(copied), ["id"], seen["total"] or 0)
+    own = F.struct("doc_id", "line_no")
+    kept = placed.select("doc_id", "line_no", F.coalesce("keeper", own).alias("keeper"))
+    return kept.select(
         "doc_id",
         "line_no",
         F.col("keeper.doc_id").alias("kept_doc_id"),
         F.col("keeper.line_no").alias("kept_line_no"),
-        (F.struct("doc_id", "line_no") == F.col("keeper")).alias("kept"),
+        (own == F.col("keeper")).alias("kept"),
     )
 
 

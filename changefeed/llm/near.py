@@ -35,6 +35,8 @@ BLOCK = 512
 BLOCK_BYTES = 1_000_000
 BLOCK_BINS = 192
 BLOCK_PAIRS = 1 << 14
+PARITY_BITS = 11
+PARITY_CHUNK = 1 << 19
 BLOCK_SLACK = 0.17  # of the bins, by which sketches may agree less than the sets do: over five standard deviations
 
 
@@ -74,6 +76,13 @@ class Likeness:
         shared = int(np.count_nonzero(b[places] == a))
         return 100 * shared >= self.percent * (len(a) + len(b) - shared)
 
+    def may_link(self, left: list[np.ndarray], right: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Which of the pairs (x, y) of places in the two lists of sets may be links. Sets that differ in d items
+        differ in at most d of their parities, so no link is lost."""
+        size = [np.fromiter(map(len, sets), np.int64, len(sets)) for sets in (left, right)]
+        differ = np.bitwise_count(parities(left)[x] ^ parities(right)[y]).sum(axis=1, dtype=np.int64)
+        return (100 - self.percent) * (size[0][x] + size[1][y]) >= (100 + self.percent) * differ
+
 
 def near_components(keys: DataFrame, fetch: Callable[[DataFrame], DataFrame], likeness: Likeness) -> DataFrame:
     """(node, component) of all ids that have a link.
@@ -92,7 +101,10 @@ def bucket_components(members: DataFrame, fetch: Callable[[DataFrame], DataFrame
     links = stored(verified(first, texts, likeness), "links")
     labels = connected_components(links)
     more, found = measured(residual_links(members, labels, texts, likeness), "links", rows=F.count("*"))
-    return connected_components(links.unionByName(more)) if found["rows"] else labels
+    if not found["rows"]:
+        return labels
+    # the first components are stars already, so what is new is all that is left to join
+    return connected_components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
 
 
 def bucket_members(keys: DataFrame) -> DataFrame:
@@ -264,9 +276,12 @@ def residual_links(members: DataFrame, labels: DataFrame, texts: DataFrame, like
             found: list[tuple[int, int]] = []
             joined: set[tuple[int, int]] = set()
             for x, y in block_pairs(a.bounds, b.bounds):
-                near = (a.component[x] != b.component[y]) & ((a.table[x] == b.table[y]).sum(axis=1) >= floor)
+                near = (a.component[x] != b.component[y]) & (agreeing(a.table[x], b.table[y]) >= floor)
                 x, y = x[near], y[near]
                 sets_a, sets_b = a.sets(x), b.sets(y)
+                (in_a, at_a), (in_b, at_b) = (np.unique(places, return_inverse=True) for places in (x, y))
+                near = likeness.may_link([sets_a[k] for k in in_a.tolist()], [sets_b[m] for m in in_b.tolist()], at_a, at_b)
+                x, y = x[near], y[near]
                 joined = {link for link in joined if len(x) and link[0] == x[0]}  # a member's pairs follow each other
                 for k, m in zip(x.tolist(), y.tolist(), strict=True):
                     link = (k, int(b.component[m]))  # one link to a component is enough
@@ -279,6 +294,23 @@ def residual_links(members: DataFrame, labels: DataFrame, texts: DataFrame, like
     return pairs.mapInArrow(tidy(compare), "a BIGINT, b BIGINT").distinct()
 
 
+def parities(sets: list[np.ndarray]) -> np.ndarray:
+    """For each set a row of 2 ** PARITY_BITS bits: whether an odd number of its items falls into a bin."""
+    table = np.zeros((len(sets), 1 << PARITY_BITS >> 6), np.uint64)
+    filled = np.cumsum([len(items) + (1 << PARITY_BITS) for items in sets]) // PARITY_CHUNK
+    for part in np.split(np.arange(len(sets)), np.flatnonzero(np.diff(filled)) + 1) if sets else ():
+        bins = [(sets[k] >> np.uint64(64 - PARITY_BITS)).astype(np.int64) + (at << PARITY_BITS) for at, k in enumerate(part.tolist())]
+        odd = np.bincount(np.concatenate(bins), minlength=len(part) << PARITY_BITS) & 1
+        table[part] = np.packbits(odd.astype(bool)).view(np.uint64).reshape(len(part), -1)
+    return table
+
+
+def agreeing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """In how many of BLOCK_BINS bytes each row of a agrees with that of b."""
+    eights = (a == b).view(np.uint64).sum(axis=1, dtype=np.uint64)  # eight counts side by side, each at most BLOCK_BINS / 8
+    return (eights * np.uint64(0x0101010101010101)) >> np.uint64(56)
+
+
 def block_pairs(left: np.ndarray, right: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Places (x, y) of all pairs of a left and a right member in one row, by row and x, about BLOCK_PAIRS at a time."""
     xs, ys, filled = [], [], 0

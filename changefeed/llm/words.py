@@ -38,10 +38,11 @@ def powers(name: str, base: np.uint64, length: int) -> np.ndarray:
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64 bits in which every input bit reaches every output bit."""
     x = x ^ (x >> U(30))
-    x = x * U(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> U(27))
-    x = x * U(0x94D049BB133111EB)
-    return x ^ (x >> U(31))
+    x *= U(0xBF58476D1CE4E5B9)
+    x ^= x >> U(27)
+    x *= U(0x94D049BB133111EB)
+    x ^= x >> U(31)
+    return x
 
 
 def breaks_table(separators: bytes) -> np.ndarray:
@@ -148,14 +149,19 @@ def character_runs(texts: list[str], length: int) -> tuple[np.ndarray, np.ndarra
 
 
 def piece_runs(texts: list[str], length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of products, not mixed: their upper bits depend on the whole run, their lower ones on the characters' lower ones."""
     lengths = np.fromiter(map(len, texts), np.int64, len(texts))
     points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4").astype(U)
     n = max(0, len(points) - length + 1)
-    total = points[:n] * RUN[0]
-    term = np.empty_like(total)
-    for k in range(1, length):
-        np.multiply(points[k : k + n], RUN[k], out=term)
-        total += term
+    total, done = np.zeros(n, U), 0
+    span, width = points, 1  # sums over 1, 2, 4 and so on places, each of two shorter ones
+    while width <= length:
+        if length & width:
+            total += span[done : done + n] * RUN[-1 - done.bit_length()]
+            done += width
+        if 2 * width <= length:
+            span = span[:-width] + span[width:] * RUN[width.bit_length()]
+        width *= 2
     counts = np.maximum(lengths - length + 1, 0)
     ends = np.cumsum(lengths)
     starts = ends - lengths
@@ -168,7 +174,7 @@ def piece_runs(texts: list[str], length: int) -> tuple[np.ndarray, np.ndarray]:
         whole = [(points[starts[k] : starts[k] + lengths[k]] * RUN[: lengths[k]]).sum(dtype=U) for k in short]
         found = np.insert(found, (np.cumsum(counts) - counts)[short], np.array(whole, U))
         counts[short] = 1
-    return mix(found), counts
+    return found, counts
 
 
 def slices(texts: list[str | None], size: int = SEGMENT_BYTES) -> Iterator[list[str | None]]:

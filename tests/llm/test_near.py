@@ -7,9 +7,9 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from changefeed.llm import lines, minhash
+from changefeed.llm import lines, minhash, sketch
 from changefeed.llm.components import connected_components
-from changefeed.llm.near import Likeness, block_pairs, first_met, near_components, packed
+from changefeed.llm.near import BLOCK_BINS, Likeness, agreeing, block_pairs, first_met, near_components, packed, parities
 from changefeed.llm.sketch import EMPTY, sketches
 from changefeed.llm.words import SEGMENT_BYTES, SPACES, U, character_runs, mix, runs, text_words
 from tests.llm import brute
@@ -265,3 +265,60 @@ def test_character_runs_do_not_depend_on_pieces(monkeypatch):
     assert whole[1].tolist() == [max(len(text) - 7, min(len(text), 1)) for text in texts]
     alone = [character_runs([text], 8)[0] for text in texts]
     assert (np.concatenate(alone) == whole[0]).all()
+
+
+def test_sketches_mix_each_element_once(monkeypatch):
+    """However many rounds it takes to fill all bins, and however many of them go at once."""
+    mixed = []
+    monkeypatch.setattr(sketch, "mix", lambda x: mixed.append(x.size) or mix(x))
+    rng = np.random.default_rng(34)
+    sizes = rng.integers(0, 60, 200)
+    items = rng.integers(1 << 63, size=sizes.sum(), dtype=np.uint64)
+    table = sketches(items, sizes, 80)
+    assert sum(mixed) == len(items)
+    assert ((table == EMPTY).all(axis=1) == (sizes == 0)).all() and (table[sizes > 0] != EMPTY).all()
+    monkeypatch.setattr(sketch, "AT_ONCE", 1)
+    assert (sketches(items, sizes, 80) == table).all()
+
+
+def test_pairs_ruled_out_by_parities_are_no_links(monkeypatch):
+    monkeypatch.setattr("changefeed.llm.near.PARITY_CHUNK", 5000)
+    rng = np.random.default_rng(35)
+    pool = rng.integers(1 << 63, size=8000, dtype=np.uint64) * U(2)
+    sets = [pool[:0], pool[:1], pool[1:2], pool]
+    for size in (5, 90, 900, 3000):
+        for share in (0, 0.02, 0.1, 0.11, 0.12, 0.3, 1):
+            gone = int(size * share)
+            sets += [pool[gone : gone + size], np.delete(pool[:size], rng.choice(size, gone, replace=False))]
+    sets = [np.sort(items) for items in sets]
+    assert np.bitwise_count(parities(sets)[:3]).sum(axis=1).tolist() == [0, 1, 1]
+    x, y = (places.ravel() for places in np.indices((len(sets), len(sets))))
+    for likeness in (lines.LIKENESS, minhash.LIKENESS):
+        may = likeness.may_link(sets, sets, x, y)
+        links = np.array([likeness.alike(sets[k], sets[m]) for k, m in zip(x, y, strict=True)])
+        assert not (links & ~may).any()
+        assert links.sum() <= may.sum() < 2 * links.sum()
+    assert parities([]).shape == (0, 32)
+    none = np.zeros(0, np.int64)
+    assert len(lines.LIKENESS.may_link([], [], none, none)) == 0
+
+
+def test_agreeing_bytes_are_counted():
+    rng = np.random.default_rng(36)
+    a, b = rng.integers(0, 3, (2, 50, BLOCK_BINS)).astype(np.uint8)
+    b[0], b[1] = a[0], a[1] + 1
+    assert agreeing(a, b).tolist() == (a == b).sum(axis=1).tolist()
+    assert agreeing(a[:0], b[:0]).tolist() == []
+
+
+def test_lines_are_trimmed_on_either_side(spark):
+    bodies = ["some line of text", "", "x"]
+    edges = ["", *lines.TRIM, " \t", "\u00a0", "\x1c"]
+    text = "\n".join(left + body + right for body in bodies for left in edges for right in edges)
+    got = [(r.line_no, r.body) for r in lines.lines_of(spark.createDataFrame([(1, text)], DOC)).collect()]
+    assert got == [(at, line.strip(lines.TRIM)) for at, line in enumerate(text.split("\n")) if line.strip(lines.TRIM)]
+
+
+def test_only_lines_with_something_to_lose_are_trimmed(spark):
+    plan = lines.lines_of(spark.createDataFrame([(1, "a")], DOC))._jdf.queryExecution().optimizedPlan().toString()
+    assert "trim(BOTH" not in plan.replace("THEN trim(BOTH", "").replace("THEN btrim(", "") and "EndsWith(line" in plan
